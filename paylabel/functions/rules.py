@@ -52,14 +52,21 @@ def type_rule(tranx_type: str | Column) -> Column:
     return F.when(t.isNotNull(), m[t])
 
 
+def keyword_hit_index(cleaned: Column) -> Column:
+    """1-based position of the first matching keyword in priority order, 0 if none.
+
+    One boolean array of whole-word tests and a position lookup: a compact
+    expression that stays inside whole-stage codegen.
+    """
+    return F.array_position(F.array(*[keyword_match(cleaned, kw) for _, _, kw in ordered_keywords()]), True)
+
+
 def first_keyword(cleaned: Column) -> Column:
     """Struct(label, keyword) of the first matching keyword, null if none."""
-    out = None
-    for _, label, kw in ordered_keywords():
-        cond = keyword_match(cleaned, kw)
-        hit = F.struct(F.lit(label).alias("label"), F.lit(kw).alias("keyword"))
-        out = F.when(cond, hit) if out is None else out.when(cond, hit)
-    return out
+    idx = keyword_hit_index(cleaned)
+    labels = F.array(*[F.lit(lbl) for _, lbl, _ in ordered_keywords()])
+    words = F.array(*[F.lit(kw) for _, _, kw in ordered_keywords()])
+    return F.when(idx > 0, F.struct(F.element_at(labels, idx.cast("int")).alias("label"), F.element_at(words, idx.cast("int")).alias("keyword")))
 
 
 def rule_result(msg: str | Column, tranx_type: str | Column, label_codes: Column | None = None) -> Column:

@@ -33,7 +33,10 @@ def token_dim_value(token: Column, d: Column | int) -> Column:
 def hashed_sentence_vector(text: str | Column, dim: int) -> Column:
     toks = tokens(text)
     n = F.greatest(F.size(toks), F.lit(1)).cast("double")
-    return F.array(*[F.aggregate(toks, F.lit(0.0), lambda acc, t, d=d: acc + token_dim_value(t, d)) / n for d in range(dim)])
+    def summer(d: int):
+        return lambda acc, t: acc + token_dim_value(t, d)
+
+    return F.array(*[F.aggregate(toks, F.lit(0.0), summer(d)) / n for d in range(dim)])
 
 
 def hashed_word_table(docs: DataFrame, text_col: str, dim: int) -> DataFrame:

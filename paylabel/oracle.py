@@ -153,8 +153,8 @@ ctxl AS (
 
 # hashed text vectors (16 dims) in long form: (txn_id, dim, v), dim 0..15
 TEXTLONG = """
-tok AS (SELECT txn_id, unnest(list_filter(string_split_regex(coalesce(msg_content, ''), '\\s+'), x -> x <> '')) AS w FROM txn),
-ntok AS (SELECT txn_id, greatest(len(list_filter(string_split_regex(coalesce(msg_content, ''), '\\s+'), x -> x <> '')), 1) AS n FROM txn),
+tok AS (SELECT txn_id, unnest(list_filter(string_split_regex(coalesce(msg_content, ''), '\\s+'), lambda x: x <> '')) AS w FROM txn),
+ntok AS (SELECT txn_id, greatest(len(list_filter(string_split_regex(coalesce(msg_content, ''), '\\s+'), lambda x: x <> '')), 1) AS n FROM txn),
 d16 AS (SELECT CAST(range AS INT) AS d FROM range(0, 16)),
 tv AS (SELECT t.txn_id, d.d, sum(CAST(('0x' || substr(md5(t.w || '#' || CAST(d.d AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967295.0 * 2.0 - 1.0) AS sv
        FROM tok t, d16 d GROUP BY t.txn_id, d.d),
@@ -215,40 +215,31 @@ def _type_rule_case(col: str) -> str:
     return "CASE " + " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in TYPE_RULES.items()) + " END"
 
 
-def _keyword_values() -> str:
-    rows = []
-    p = 0
+def _keyword_hits() -> str:
+    """Ordered list of matching (label, keyword) per row; constant patterns compile once."""
+    cases = []
     for label, kws in KEYWORD_RULES:
         for kw in kws:
-            rows.append(f"({p}, '{label}', '{kw}', '{duckdb_keyword_regex(kw)}')")
-            p += 1
-    return "kw(prio, label, keyword, rx) AS (VALUES " + ", ".join(rows) + ")"
+            rx = duckdb_keyword_regex(kw)
+            cases.append(f"CASE WHEN regexp_matches(cleaned, '{rx}') THEN {{'label': '{label}', 'keyword': '{kw}'}} END")
+    return "list_filter([" + ", ".join(cases) + "], lambda x: x IS NOT NULL)"
 
 
-KW = _keyword_values()
+CLEAN = "clean AS (SELECT txn_id, tranx_type, strip_accents(lower(coalesce(msg_content, ''))) AS cleaned FROM txn)"
+KWHITS = CLEAN + ",\nkwh AS (SELECT txn_id, tranx_type, " + _keyword_hits() + " AS hits FROM clean)"
 
+_TR = _type_rule_case("tranx_type")
+_Q = "'"
 # rule layer result per txn: rl(txn_id, success, label, reason)
 RULE = (
-    KW
-    + """,
-clean AS (SELECT txn_id, tranx_type, strip_accents(lower(coalesce(msg_content, ''))) AS cleaned FROM txn),
-kwhit AS (SELECT txn_id, label, keyword FROM (
-            SELECT c.txn_id, kw.label, kw.keyword, row_number() OVER (PARTITION BY c.txn_id ORDER BY kw.prio) AS rn
-            FROM clean c JOIN kw ON regexp_matches(c.cleaned, kw.rx)) x WHERE rn = 1),
-rl AS (SELECT c.txn_id,
-              CASE WHEN """
-    + _type_rule_case("c.tranx_type")
-    + """ IS NOT NULL THEN TRUE WHEN k.label IS NOT NULL THEN TRUE ELSE FALSE END AS success,
-              coalesce("""
-    + _type_rule_case("c.tranx_type")
-    + """, k.label) AS label,
-              CASE WHEN """
-    + _type_rule_case("c.tranx_type")
-    + """ IS NOT NULL THEN 'Matched tranx_type=' || c.tranx_type
-                   WHEN k.label IS NOT NULL THEN 'Keyword match ''' || k.keyword || ''''
-                   ELSE 'No rule matched' END AS reason
-       FROM clean c LEFT JOIN kwhit k USING (txn_id))
-"""
+    KWHITS
+    + ",\nrl AS (SELECT txn_id,\n"
+    + f"  ({_TR}) IS NOT NULL OR len(hits) > 0 AS success,\n"
+    + f"  coalesce({_TR}, hits[1].label) AS label,\n"
+    + f"  CASE WHEN ({_TR}) IS NOT NULL THEN 'Matched tranx_type=' || tranx_type\n"
+    + "       WHEN len(hits) > 0 THEN 'Keyword match " + _Q * 2 + "' || hits[1].keyword || '" + _Q * 2 + "'\n"
+    + "       ELSE 'No rule matched' END AS reason\n"
+    + "  FROM kwh)\n"
 )
 
 # parsed replies: rp(txn_id, parsed, has_label, label, confidence)

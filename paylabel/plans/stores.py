@@ -89,7 +89,7 @@ def build_recipient_store(
     todo = incremental_dates(spark, txn, store_root, snapshot_date)
     if todo.isEmpty():
         return None
-    edges = graph.interaction_edges(txn, spec.lookback_days).join(todo, "snapshot_date", "left_semi")
+    edges = graph.interaction_edges(txn, spec.lookback_days).join(todo, "snapshot_date", "left_semi").checkpoint(eager=True)
     ids = edges.select("recipient_canon_id").distinct()
     meta = graph.recipient_metadata(entity, merchant, person)
     hashed = graph.hashed_recipients(ids, meta, spec.hash_dim)

@@ -270,8 +270,9 @@ def q_upsert_anti(spark, sf):
 @register(
     "union_upsert",
     O.with_("txn", _B12)
-    + """SELECT 'kept' AS part, CAST(count(*) AS BIGINT) AS n FROM b1 WHERE sender_id NOT IN (SELECT sender_id FROM b2)
-UNION ALL SELECT 'new', CAST(count(*) AS BIGINT) FROM b2""",
+    + """SELECT part, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT 'kept' AS part FROM b1 WHERE sender_id NOT IN (SELECT sender_id FROM b2)
+  UNION ALL SELECT 'new' FROM b2) x GROUP BY part""",
 )
 def q_union_upsert(spark, sf):
     root, _, cut = _two_batch_store(spark, sf, "union_upsert")
@@ -771,8 +772,10 @@ _QS = [0.2, 0.4, 0.6, 0.8]
 @register(
     "amount_quantiles",
     O.with_("txn", "feat")
-    + f"""SELECT CAST(i - 1 AS INT) AS q_idx, q, {O.r6('quantile_cont(amount_log, q)')} AS value
-FROM feat, (SELECT unnest([0.2, 0.4, 0.6, 0.8]) AS q, unnest([1, 2, 3, 4]) AS i) s GROUP BY i, q""",
+    + " UNION ALL ".join(
+        f"SELECT CAST({i} AS INT) AS q_idx, {q} AS q, {O.r6(f'quantile_cont(amount_log, {q})')} AS value FROM feat"
+        for i, q in enumerate([0.2, 0.4, 0.6, 0.8])
+    ),
 )
 def q_amount_quantiles(spark, sf):
     q = exact_quantiles(feat(spark, sf), "amount_log", _QS)
@@ -993,8 +996,7 @@ def q_strip_accents(spark, sf):
 
 @register(
     "keyword_match",
-    O.with_("txn", O.KW + ", clean AS (SELECT txn_id, strip_accents(lower(coalesce(msg_content, ''))) AS cleaned FROM txn)")
-    + "SELECT c.txn_id, kw.keyword FROM clean c JOIN kw ON regexp_matches(c.cleaned, kw.rx)",
+    O.with_("txn", O.KWHITS) + "SELECT txn_id, h.keyword AS keyword FROM (SELECT txn_id, unnest(hits) AS h FROM kwh) x",
 )
 def q_keyword_match(spark, sf):
     cleaned = strip_accents(fx.fill_text("msg_content"))
@@ -1124,7 +1126,7 @@ toks AS (SELECT i.recipient_canon_id,
                                    CASE WHEN m.mcc IS NOT NULL THEN 'mcc_' || m.mcc END,
                                    CASE WHEN m.age_band IS NOT NULL THEN 'age_' || m.age_band END,
                                    CASE WHEN m.province_code IS NOT NULL THEN 'prov_' || m.province_code END,
-                                   CASE WHEN m.occupation_band IS NOT NULL THEN 'occ_' || m.occupation_band END], x -> x IS NOT NULL) END AS tokens
+                                   CASE WHEN m.occupation_band IS NOT NULL THEN 'occ_' || m.occupation_band END], lambda x: x IS NOT NULL) END AS tokens
          FROM ids i LEFT JOIN meta m ON m.recipient_entity_id = i.recipient_canon_id)
 """
 
