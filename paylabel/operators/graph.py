@@ -158,16 +158,12 @@ def recipient_svd_distributed(edges_one_date: DataFrame, svd_dim: int = 64) -> D
     u = spark.createDataFrame(u_rows, "_r long, u array<double>")
     # sign fix: per component, the sign of the entry with the largest magnitude
     comps = u.select(F.posexplode("u").alias("c", "x")).groupBy("c").agg(F.max_by("x", F.abs("x")).alias("x"))
-    sign_arr = comps.select(
-        F.sort_array(F.collect_list(F.struct("c", F.when(F.col("x") < 0, -1.0).otherwise(1.0).alias("s")))).alias("cs")
-    ).select(F.transform("cs", lambda e: e["s"]).alias("signs"))
-    signs = sign_arr.select("signs").scalar()
+    # k (<= svd_dim) signs: a bounded result brought to the driver
+    signs = {int(r.c): (-1.0 if r.x < 0 else 1.0) for r in comps.collect()}
+    factors = [float(scale[i]) * signs.get(i, 1.0) for i in range(kk)]
     scaled = u.withColumn(
         "svd_vec",
-        fx.pad_right(
-            F.zip_with(F.zip_with("u", F.array(*[F.lit(float(x)) for x in scale]), lambda a, b: a * b), signs, lambda a, b: a * b),
-            svd_dim,
-        ),
+        fx.pad_right(F.zip_with("u", F.array(*[F.lit(f) for f in factors]), lambda a, b: a * b), svd_dim),
     )
     return scaled.join(items, "_r").select(F.lit(date).cast("date").alias("snapshot_date"), "recipient_canon_id", "svd_vec")
 

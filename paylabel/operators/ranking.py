@@ -50,10 +50,13 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], accuracy: int =
     (about ``4n/accuracy`` of them) are ranked.  The sketch results enter the
     later passes as scalar subqueries.  Returns ``(q_idx, q, value)``.
     """
-    eps = 2.0 / accuracy
     m = len(qs)
     x = F.col(value).cast("double")
     base = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    # the row count sets the bracket width: the sketch's rank error is n/accuracy,
+    # and the two interpolation neighbours may sit up to two ranks from q*n
+    n_rows = base.count()
+    eps = 2.0 / accuracy + (2.0 / n_rows if n_rows else 0.0)
     stats = base.agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("_x", [max(0.0, q - eps) for q in qs], accuracy).alias("lo"),
