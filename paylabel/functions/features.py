@@ -138,18 +138,32 @@ def bin_by_edges(x: str | Column, edges: list[Column]) -> Column:
     return out.otherwise(F.lit(len(edges)))
 
 
+def _online_max_sum(acc: Column, x: Column) -> Column:
+    """One step of the streaming (max, Σexp(x - max)) fold."""
+    m = F.greatest(acc["m"], x)
+    return F.struct(m.alias("m"), (acc["s"] * F.exp(acc["m"] - m) + F.exp(x - m)).alias("s"))
+
+
+def _max_sum_init() -> Column:
+    return F.struct(F.lit(float("-inf")).alias("m"), F.lit(0.0).alias("s"))
+
+
 def softmax(logits: str | Column) -> Column:
-    mx = F.array_max(col(logits))
-    ex = F.transform(col(logits), lambda x: F.exp(x - mx))
-    tot = F.aggregate(ex, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(ex, lambda x: x / tot)
+    """exp(x - max) / Σ exp(x - max) in one fold per row.
+
+    The fold keeps a running max and a rescaled running sum; its finish step
+    maps the array, so nothing is re-evaluated per element.
+    """
+    lg = col(logits)
+    return F.aggregate(lg, _max_sum_init(), _online_max_sum, lambda acc: F.transform(lg, lambda x: F.exp(x - acc["m"]) / acc["s"]))
 
 
 def log_softmax_at(logits: str | Column, idx: str | Column) -> Column:
-    """log p[idx] computed stably from logits."""
-    mx = F.array_max(col(logits))
-    lse = F.log(F.aggregate(F.transform(col(logits), lambda x: F.exp(x - mx)), F.lit(0.0), lambda a, x: a + x)) + mx
-    return F.element_at(col(logits), col(idx) + 1) - lse
+    """log p[idx] computed stably from logits (log-sum-exp from the same fold)."""
+    lg = col(logits)
+    return F.aggregate(
+        lg, _max_sum_init(), _online_max_sum, lambda acc: F.element_at(lg, col(idx) + 1) - (acc["m"] + F.log(acc["s"]))
+    )
 
 
 def argmax(v: str | Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylabel.functions.text import keyword_match, strip_accents
@@ -69,41 +69,41 @@ def first_keyword(cleaned: Column) -> Column:
     return F.when(idx > 0, F.struct(F.element_at(labels, idx.cast("int")).alias("label"), F.element_at(words, idx.cast("int")).alias("keyword")))
 
 
-def rule_result(msg: str | Column, tranx_type: str | Column, label_codes: Column | None = None) -> Column:
-    """Struct(success, label, reason) of the rule layer.
+def apply_rules(df: DataFrame, msg: str, tranx_type: str, label_codes: list[str] | None = None, out: str = "rule") -> DataFrame:
+    """Adds struct ``out`` = (success, label, reason) of the rule layer.
 
-    ``label_codes`` (an array column of valid codes) gates the type rule the
-    way the reference checks membership in its label map.
+    The cleaned text and the keyword hit index are separate projections: each
+    is referenced several times downstream, and as columns they are evaluated
+    once per row (the optimizer does not inline a costly expression into
+    several references), which also keeps every stage inside codegen limits.
+    ``label_codes`` gates the type rule the way the reference checks
+    membership in its label map.
     """
-    m = F.col(msg) if isinstance(msg, str) else msg
-    t = F.col(tranx_type) if isinstance(tranx_type, str) else tranx_type
-    cleaned = strip_accents(F.coalesce(m, F.lit("")))
+    t = F.col(tranx_type)
     by_type = type_rule(t)
     if label_codes is not None:
-        by_type = F.when(F.array_contains(label_codes, by_type), by_type)
-    kw = first_keyword(cleaned)
-    return (
+        by_type = F.when(F.array_contains(F.array(*[F.lit(c) for c in label_codes]), by_type), by_type)
+    staged = (
+        df.withColumn("_rule_clean", strip_accents(F.coalesce(F.col(msg), F.lit(""))))
+        .withColumn("_rule_kw", keyword_hit_index(F.col("_rule_clean")).cast("int"))
+        .withColumn("_rule_type", by_type)
+    )
+    labels = F.array(*[F.lit(lbl) for _, lbl, _ in ordered_keywords()])
+    words = F.array(*[F.lit(kw) for _, _, kw in ordered_keywords()])
+    kw_hit = F.col("_rule_kw") > 0
+    res = (
         F.when(
-            by_type.isNotNull(),
-            F.struct(
-                F.lit(True).alias("success"),
-                by_type.alias("label"),
-                F.concat(F.lit("Matched tranx_type="), t).alias("reason"),
-            ),
+            F.col("_rule_type").isNotNull(),
+            F.struct(F.lit(True).alias("success"), F.col("_rule_type").alias("label"), F.concat(F.lit("Matched tranx_type="), t).alias("reason")),
         )
         .when(
-            kw.isNotNull(),
+            kw_hit,
             F.struct(
                 F.lit(True).alias("success"),
-                kw["label"].alias("label"),
-                F.concat(F.lit("Keyword match '"), kw["keyword"], F.lit("'")).alias("reason"),
+                F.element_at(labels, F.col("_rule_kw")).alias("label"),
+                F.concat(F.lit("Keyword match '"), F.element_at(words, F.col("_rule_kw")), F.lit("'")).alias("reason"),
             ),
         )
-        .otherwise(
-            F.struct(
-                F.lit(False).alias("success"),
-                F.lit(None).cast("string").alias("label"),
-                F.lit("No rule matched").alias("reason"),
-            )
-        )
+        .otherwise(F.struct(F.lit(False).alias("success"), F.lit(None).cast("string").alias("label"), F.lit("No rule matched").alias("reason")))
     )
+    return staged.withColumn(out, res).drop("_rule_clean", "_rule_kw", "_rule_type")

@@ -16,7 +16,7 @@ from paylabel import oracle as O
 from paylabel.functions import features as fx
 from paylabel.functions.hashing import token_bucket, token_sign
 from paylabel.functions.replies import confidence_gate, extract_json_reply
-from paylabel.functions.rules import KEYWORD_RULES, rule_result, type_rule
+from paylabel.functions.rules import KEYWORD_RULES, apply_rules, type_rule
 from paylabel.functions.text import keyword_match, strip_accents
 from paylabel.functions.textvec import hashed_word_table, sentence_vector_from_table
 from paylabel.operators import cascade as cz
@@ -1314,8 +1314,7 @@ _VALID_CODES = "('BIL', 'FOO', 'TRN', 'HLT', 'INS', 'SHP', 'ENT', 'EDU', 'FIN')"
 
 @register("rule_classify", O.with_("txn", O.RULE) + "SELECT txn_id, success, label, reason FROM rl")
 def q_rule_classify(spark, sf):
-    codes = F.array(*[F.lit(c) for c in label_codes(spark)])
-    r = txn(spark, sf).withColumn("r", rule_result("msg_content", "tranx_type", codes))
+    r = apply_rules(txn(spark, sf), "msg_content", "tranx_type", label_codes(spark), out="r")
     return r.select("txn_id", "r.success", "r.label", "r.reason")
 
 

@@ -5,7 +5,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from paylabel.functions.replies import confidence_gate, extract_json_reply
-from paylabel.functions.rules import rule_result
+from paylabel.functions.rules import apply_rules
 from paylabel.functions.text import keyword_match, strip_accents, strip_accents_py
 
 
@@ -41,7 +41,7 @@ def test_rule_classify_golden(spark):
         (None, None, False, None, "No rule matched"),
     ]
     df = spark.createDataFrame([(m, t) for m, t, *_ in rows], "m string, t string")
-    got = df.select(rule_result("m", "t").alias("r")).select("r.success", "r.label", "r.reason").collect()
+    got = apply_rules(df, "m", "t").select("rule.success", "rule.label", "rule.reason").collect()
     assert [tuple(r) for r in got] == [(s, lbl, why) for _, _, s, lbl, why in rows]
 
 
