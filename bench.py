@@ -51,7 +51,9 @@ def main() -> None:
     art = context.fit_ctx(t, text_dim=16)
     ctx = context.build_ctx(t, art, mode="train")
     ts = training.training_set(spark, ctx, sroot, rroot, io.scan_label_map(spark), sspec.dim, rspec.dim, lookback_days=1)
-    run(training.temporal_split(ts.where("is_valid"), 0.2).select("txn_id", "split", "features", "label_idx"))
+    # the split reads the assembled set several times (cut, then rows): materialise it once
+    ts = ts.where("is_valid").select("txn_id", "txn_date", "features", "label_idx").checkpoint(eager=True)
+    run(training.temporal_split(ts, 0.2).select("txn_id", "split", "features", "label_idx"))
     times["training_set"] = time.time() - t0
 
     t0 = time.time()

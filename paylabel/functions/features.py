@@ -95,8 +95,11 @@ def l2_norm(v: str | Column) -> Column:
 
 
 def l2_normalize(v: str | Column, eps: float = 1e-9) -> Column:
-    norm = F.greatest(l2_norm(v), F.lit(eps))
-    return F.transform(col(v), lambda x: x / norm)
+    """v / max(||v||, eps); the norm is folded once and applied in the finish step."""
+    vv = col(v)
+    return F.aggregate(
+        vv, F.lit(0.0), lambda a, x: a + x * x, lambda ss: F.transform(vv, lambda x: x / F.greatest(F.sqrt(ss), F.lit(eps)))
+    )
 
 
 def checksum(v: str | Column) -> Column:

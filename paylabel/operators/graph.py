@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from paylabel.functions import features as fx
 from paylabel.functions.hashing import hash_tokens, profile_tokens
-from paylabel.operators.snapshots import active_pairs, expand_to_snapshots
+from paylabel.operators.snapshots import expand_to_snapshots
 
 # A date whose dense window matrix (senders x recipients) is at most this many
 # cells is factorised inside one task; larger dates go to the distributed SVD.
@@ -32,7 +32,8 @@ def interaction_edges(txn: DataFrame, lookback_days: int = 10) -> DataFrame:
     """
     t = with_canonical_recipient(txn).withColumn("txn_date", fx.txn_date()).where(F.col("sender_id").isNotNull())
     daily = t.groupBy("sender_id", "recipient_canon_id", "txn_date").agg(F.sum(F.col("amount").cast("double")).alias("amt"))
-    pairs = active_pairs(t, "recipient_canon_id")
+    # active (recipient, day) pairs from the pre-aggregate, not from a second raw scan
+    pairs = daily.select("recipient_canon_id", F.col("txn_date").alias("snapshot_date")).distinct()
     expanded = expand_to_snapshots(daily, lookback_days).join(pairs, on=["recipient_canon_id", "snapshot_date"], how="inner")
     return expanded.groupBy("snapshot_date", "sender_id", "recipient_canon_id").agg(
         F.log1p(F.coalesce(F.sum("amt"), F.lit(0.0))).alias("weight")
@@ -135,37 +136,44 @@ def recipient_svd_dense(edges: DataFrame, svd_dim: int = 64) -> DataFrame:
 def recipient_svd_distributed(edges_one_date: DataFrame, svd_dim: int = 64) -> DataFrame:
     """Distributed rank-k SVD of one date's edges (``RowMatrix.computeSVD``).
 
-    The matrix is oriented with recipients as rows so their vectors come back
-    as the distributed ``U`` (``Aᵀ = V S Uᵀ``); ``V`` of that orientation (senders
-    x k) is the only local result.  Columns are signed like the dense path.
+    The larger side becomes the distributed rows and the smaller side the
+    columns, so the only local factor (``V``, columns x k) is bounded by the
+    smaller side.  Recipient vectors are ``V·sqrt(s)`` of ``A`` (senders x
+    recipients): they come from the distributed ``U`` when recipients are the
+    rows (``Aᵀ = V S Uᵀ``), else from the local ``V``.  Components are signed
+    like the dense path (largest-magnitude entry positive).
     """
     from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
 
     spark = edges_one_date.sparkSession
     date = edges_one_date.select("snapshot_date").limit(1).collect()[0][0]
-    items = edges_one_date.select("recipient_canon_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["recipient_canon_id", "_r"])
-    users = edges_one_date.select("sender_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["sender_id", "_c"])
-    n_rows, n_cols = items.count(), users.count()
-    k = svd_rank(n_rows, n_cols, svd_dim)
-    k = min(k, n_cols)
-    entries = edges_one_date.join(items, "recipient_canon_id").join(users, "sender_id").select("_r", "_c", "weight")
-    coo = CoordinateMatrix(entries.rdd.map(lambda r: MatrixEntry(r[0], r[1], float(r[2]))), n_rows, n_cols)
-    svd = coo.toIndexedRowMatrix().computeSVD(k, computeU=True)
+    items = edges_one_date.select("recipient_canon_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["recipient_canon_id", "_i"])
+    users = edges_one_date.select("sender_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["sender_id", "_u"])
+    n_items, n_users = items.count(), users.count()
+    items_as_rows = n_items >= n_users
+    n_rows, n_cols = (n_items, n_users) if items_as_rows else (n_users, n_items)
+    k = min(svd_rank(n_rows, n_cols, svd_dim), n_cols)
+    e = edges_one_date.join(items, "recipient_canon_id").join(users, "sender_id")
+    rc = ("_i", "_u") if items_as_rows else ("_u", "_i")
+    coo = CoordinateMatrix(e.select(*rc, "weight").rdd.map(lambda r: MatrixEntry(r[0], r[1], float(r[2]))), n_rows, n_cols)
+    svd = coo.toIndexedRowMatrix().computeSVD(k, computeU=items_as_rows)
     s = np.array(svd.s.toArray())
     kk = len(s)
     scale = np.sqrt(s)
-    u_rows = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
-    u = spark.createDataFrame(u_rows, "_r long, u array<double>")
-    # sign fix: per component, the sign of the entry with the largest magnitude
-    comps = u.select(F.posexplode("u").alias("c", "x")).groupBy("c").agg(F.max_by("x", F.abs("x")).alias("x"))
-    # k (<= svd_dim) signs: a bounded result brought to the driver
-    signs = {int(r.c): (-1.0 if r.x < 0 else 1.0) for r in comps.collect()}
-    factors = [float(scale[i]) * signs.get(i, 1.0) for i in range(kk)]
-    scaled = u.withColumn(
-        "svd_vec",
-        fx.pad_right(F.zip_with("u", F.array(*[F.lit(f) for f in factors]), lambda a, b: a * b), svd_dim),
-    )
-    return scaled.join(items, "_r").select(F.lit(date).cast("date").alias("snapshot_date"), "recipient_canon_id", "svd_vec")
+    if items_as_rows:
+        vec = spark.createDataFrame(svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()])), "_i long, u array<double>")
+        comps = vec.select(F.posexplode("u").alias("c", "x")).groupBy("c").agg(F.max_by("x", F.abs("x")).alias("x"))
+        # k (<= svd_dim) signs: a bounded result brought to the driver
+        signs = {int(r.c): (-1.0 if r.x < 0 else 1.0) for r in comps.collect()}
+        factors = [float(scale[i]) * signs.get(i, 1.0) for i in range(kk)]
+        scaled = vec.withColumn(
+            "svd_vec", fx.pad_right(F.zip_with("u", F.array(*[F.lit(f) for f in factors]), lambda a, b: a * b), svd_dim)
+        )
+    else:
+        v = _fix_signs(svd.V.toArray()) * scale  # n_items x k, the smaller side
+        rows = [(int(i), [float(x) for x in v[i]] + [0.0] * (svd_dim - kk)) for i in range(v.shape[0])]
+        scaled = spark.createDataFrame(rows, "_i long, svd_vec array<double>")
+    return scaled.join(items, "_i").select(F.lit(date).cast("date").alias("snapshot_date"), "recipient_canon_id", "svd_vec")
 
 
 def recipient_svd(edges: DataFrame, svd_dim: int = 64, dense_cell_limit: int = DENSE_CELL_LIMIT) -> DataFrame:

@@ -41,7 +41,7 @@ def bucketed_rank(
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: list[float], accuracy: int = 100_000) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, qs: list[float], accuracy: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas 'linear', DuckDB ``quantile_cont``).
 
     Exact without sorting the whole column in one task: a mergeable sketch
@@ -56,6 +56,9 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], accuracy: int =
     # the row count sets the bracket width: the sketch's rank error is n/accuracy,
     # and the two interpolation neighbours may sit up to two ranks from q*n
     n_rows = base.count()
+    if accuracy is None:
+        # keep the ranked bracket near 4M rows per quantile; sketch size grows with accuracy
+        accuracy = int(min(1_000_000, max(10_000, n_rows // 4_000_000)))
     eps = 2.0 / accuracy + (2.0 / n_rows if n_rows else 0.0)
     stats = base.agg(
         F.count(F.lit(1)).alias("n"),

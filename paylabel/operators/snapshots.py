@@ -135,11 +135,14 @@ def sender_state(
     k = math.log(2.0) / half_life_days
     intra = F.exp(-F.lit(k) * (F.lit(86400.0) - F.col("sod").cast("double")) / F.lit(86400.0))
     vec = _event_vector_cols(tt_vocab, ch_vocab)
-    daily = events.groupBy("sender_id", "txn_date").agg(
-        F.count(F.lit(1)).alias("n_day"),
-        *[F.sum(c * intra).alias(f"s{i}") for i, c in enumerate(vec)],
+    daily = (
+        events.where(F.col("sender_id").isNotNull())
+        .withColumn("_w", intra)
+        .groupBy("sender_id", "txn_date")
+        .agg(F.count(F.lit(1)).alias("n_day"), *[F.sum(c * F.col("_w")).alias(f"s{i}") for i, c in enumerate(vec)])
     )
-    pairs = active_pairs(events, "sender_id")
+    # one row per active (sender, day) already: the active pairs need no second scan
+    pairs = daily.select("sender_id", F.col("txn_date").alias("snapshot_date"))
     expanded = expand_to_snapshots(daily, lookback_days).join(pairs, on=["sender_id", "snapshot_date"], how="inner")
     whole = F.exp(-F.lit(k) * F.datediff("snapshot_date", "txn_date").cast("double"))
     agg = expanded.groupBy("sender_id", "snapshot_date").agg(
@@ -165,13 +168,13 @@ def sender_history(events: DataFrame) -> DataFrame:
     """Events with their exact per-sender sequence number (ordered by time, txn_id).
 
     The history stays a table keyed by ``(sender_id, seq_no)``: an unbounded
-    per-sender list is never built.  Ranks are hour-bucketed (see
+    per-sender list is never built.  Ranks are minute-bucketed (see
     ``bucketed_rank``) so a hot sender is ranked by many tasks.
     """
     return bucketed_rank(
         events,
         ["sender_id"],
-        F.date_trunc("hour", F.col("txn_time_utc")),
+        F.date_trunc("minute", F.col("txn_time_utc")),
         [F.col("txn_time_utc"), F.col("txn_id")],
         out="seq_no",
     )

@@ -915,7 +915,7 @@ def q_sender_state(spark, sf):
     O.with_("txn") + "SELECT txn_id, row_number() OVER (ORDER BY txn_time_utc, txn_id) AS pos FROM txn",
 )
 def q_sort_by_time(spark, sf):
-    r = bucketed_rank(txn(spark, sf), [], F.date_trunc("hour", F.col("txn_time_utc")), [F.col("txn_time_utc"), F.col("txn_id")], out="pos")
+    r = bucketed_rank(txn(spark, sf), [], F.date_trunc("minute", F.col("txn_time_utc")), [F.col("txn_time_utc"), F.col("txn_id")], out="pos")
     return r.select("txn_id", "pos")
 
 
@@ -1408,6 +1408,28 @@ def q_cascade_report(spark, sf):
     return rep.select("decided_by", "n", r6("mean_confidence").alias("mean_confidence"), r6("share").alias("share"))
 
 
+_CTX_FULL_SQL = O.with_("txn", "feat", O.VOCAB, O.SCALED, O.CTXLONG, O.TEXTLONG) + f""", allv AS (SELECT txn_id, dim, v FROM ctxl UNION ALL SELECT txn_id, 3 + (SELECT nt + nc FROM nv) + dim, v FROM textl)
+SELECT txn_id, {O.r6('sum((dim + 1) * v)')} AS checksum FROM allv GROUP BY txn_id"""
+
+
+@register("artifact_save_load", _CTX_FULL_SQL)
+def q_artifact_save_load(spark, sf):
+    """Fit the context artifacts, save them, load them back and apply them."""
+    path = shared_path(spark, "artifacts", "ctx", unique=True)
+    ctx_art(spark, sf).save(spark, path)
+    art = context.CtxArtifacts.load(spark, path)
+    c = context.build_ctx(txn(spark, sf), art)
+    return c.select("txn_id", r6(fx.checksum("ctx_vec")).alias("checksum"))
+
+
+@register("sink_ctx", _CTX_FULL_SQL)
+def q_sink_ctx(spark, sf):
+    """Write the context table and read it back."""
+    path = shared_path(spark, "processed", "ctx_emb", unique=True)
+    io.sink_ctx(context.build_ctx(txn(spark, sf), ctx_art(spark, sf)), path)
+    return spark.read.parquet(path).select("txn_id", r6(fx.checksum("ctx_vec")).alias("checksum"))
+
+
 # ================================ R: learned and streamed parts (rows-only check)
 
 
@@ -1472,7 +1494,13 @@ def q_stream_score(spark, sf):
     return stream_score(spark, sf)
 
 
-@register("stream_daily_edges")
+@register(
+    "stream_daily_edges",
+    O.with_("txn", "feat")
+    + f"""SELECT CAST(txn_date AS VARCHAR) AS day, sender_id, recipient_canon_id, {O.r6('sum(amount)')} AS amount_sum, CAST(count(*) AS BIGINT) AS n
+FROM feat WHERE CAST(txn_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(txn_time_utc) FROM feat) - INTERVAL 1 DAY
+GROUP BY txn_date, sender_id, recipient_canon_id""",
+)
 def q_stream_daily_edges(spark, sf):
     from paylabel.streaming.jobs import stream_daily_edges
 

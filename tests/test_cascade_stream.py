@@ -74,8 +74,12 @@ def test_svd_energy_invariant(spark):
         assert np.isclose(energy[d], w2[d], rtol=1e-9)
 
 
-def test_distributed_svd_matches_dense(spark):
-    e = graph.interaction_edges(fixtures.transactions(spark, SF), 10)
+import pytest
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])  # recipients > senders, then senders > recipients
+def test_distributed_svd_matches_dense(spark, sf):
+    e = graph.interaction_edges(fixtures.transactions(spark, sf), 10)
     d = e.agg(F.max("snapshot_date")).first()[0]
     one = e.where(F.col("snapshot_date") == F.lit(d))
     dense = {r.recipient_canon_id: np.array(r.svd_vec) for r in graph.recipient_svd_dense(one, 8).collect()}
