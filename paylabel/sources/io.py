@@ -139,9 +139,15 @@ def sink_ctx(df: DataFrame, path: str) -> None:
 
 
 def sink_daily_snapshot(df: DataFrame, store_root: str) -> None:
-    """Write one partition per ``date``, replacing only the dates present in ``df``."""
+    """Write one partition per ``date``, replacing only the dates present in ``df``.
+
+    ``REBALANCE`` on the partition key lets AQE gather each date into few
+    files and split a date that is too large, instead of every task writing
+    a file into every date folder.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", "date")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
         .parquet(daily_root(store_root))
