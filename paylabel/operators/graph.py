@@ -82,10 +82,31 @@ def recipient_metadata(entity: DataFrame, merchant: DataFrame, person: DataFrame
     return ent.join(mer, "recipient_entity_id", "left").join(per, "recipient_entity_id", "left")
 
 
-def hashed_recipients(ids: DataFrame, meta: DataFrame, hash_dim: int = 32, key: str = "recipient_canon_id") -> DataFrame:
-    """Signed hashed metadata per recipient id; ids without metadata get ``['none']``."""
-    m = meta.withColumnRenamed("recipient_entity_id", key).withColumn("_known", F.lit(True))
-    j = ids.join(m, on=key, how="left").withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
+def merchant_bridge(merchant: DataFrame, key: str = "recipient_canon_id") -> DataFrame:
+    """Canonical ``MER_<merchant_id>`` ids -> the merchant's entity id."""
+    return merchant.select(
+        F.concat(F.lit("MER_"), F.col("merchant_id")).alias(key), F.col("recipient_entity_id").alias("_entity")
+    ).dropDuplicates([key])
+
+
+def hashed_recipients(
+    ids: DataFrame,
+    meta: DataFrame,
+    hash_dim: int = 32,
+    key: str = "recipient_canon_id",
+    bridge: DataFrame | None = None,
+) -> DataFrame:
+    """Signed hashed metadata per recipient id; ids without metadata get ``['none']``.
+
+    By default metadata is looked up with the canonical id itself (reference
+    behaviour: ``MER_``/``UNK_`` ids find nothing).  With ``bridge`` (see
+    ``merchant_bridge``) merchant-only recipients use their entity's metadata.
+    """
+    m = meta.withColumnRenamed("recipient_entity_id", "_entity").withColumn("_known", F.lit(True))
+    lookup = ids.withColumn("_entity", F.col(key))
+    if bridge is not None:
+        lookup = ids.join(bridge, key, "left").withColumn("_entity", F.coalesce(F.col("_entity"), F.col(key)))
+    j = lookup.join(m, on="_entity", how="left").withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
     return j.select(*ids.columns, profile_tokens().alias("tokens")).withColumn("hash_vec", hash_tokens(F.col("tokens"), hash_dim))
 
 

@@ -120,3 +120,15 @@ def fit_ctx_embedding(ctx: DataFrame, k: int = 128):
     recon = F.array(*[F.aggregate(F.zip_with("z", F.array(*[F.lit(float(pc[i, j])) for j in range(kk)]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b) for i in range(d)])
     mse = z.select(F.avg(F.aggregate(F.zip_with("x", recon, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b) / F.lit(float(d))).alias("mse"))
     return model, mse
+
+
+def fit_word2vec(docs: DataFrame, text_col: str = "msg_content", dim: int = 16, min_count: int = 1, seed: int = 42):
+    """Word2Vec fitted on the memo corpus; its ``getVectors()`` is a word-vector table
+    for ``sentence_vector_from_table`` (the join form never broadcasts the vocabulary)."""
+    from pyspark.ml.feature import Word2Vec
+
+    from paylabel.functions.textvec import tokens
+
+    corpus = docs.select(tokens(text_col).alias("tok"))
+    w2v = Word2Vec(vectorSize=dim, minCount=min_count, inputCol="tok", outputCol="vec", seed=seed, maxIter=1)
+    return w2v.fit(corpus)

@@ -19,6 +19,7 @@ from paylabel.functions.replies import confidence_gate, extract_json_reply
 from paylabel.functions.rules import KEYWORD_RULES, apply_rules, type_rule
 from paylabel.functions.text import keyword_match, strip_accents
 from paylabel.functions.textvec import hashed_word_table, sentence_vector_from_table
+from pyspark.ml.functions import vector_to_array
 from paylabel.operators import cascade as cz
 from paylabel.operators import graph, metrics, snapshots
 from paylabel.operators.ranking import bucketed_rank, exact_quantiles
@@ -1487,6 +1488,34 @@ def q_score_batch(spark, sf):
     return scored.join(lm, "pred", "left").select("txn_id", F.coalesce("pred_code", F.lit("unknown")).alias("pred_code"), r6("confidence").alias("confidence"))
 
 
+@register("text_vector_word2vec")
+def q_text_vector_word2vec(spark, sf):
+    """Sentence vectors from a Word2Vec model fitted on the memos (table-join form)."""
+    t = txn(spark, sf)
+    model = context.fit_word2vec(t, "msg_content", 16)
+    table = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    v = sentence_vector_from_table(t, "txn_id", "msg_content", table, 16)
+    return v.select("txn_id", r6(fx.l2_norm("text_vec")).alias("norm"))
+
+
+@register(
+    "profile_tokens_bridged",
+    _TOKENS_SQL.replace(
+        "FROM ids i LEFT JOIN meta m ON m.recipient_entity_id = i.recipient_canon_id)",
+        "FROM ids i LEFT JOIN (SELECT 'MER_' || merchant_id AS cid, recipient_entity_id FROM mer) b ON b.cid = i.recipient_canon_id"
+        " LEFT JOIN meta m ON m.recipient_entity_id = coalesce(b.recipient_entity_id, i.recipient_canon_id))",
+    )
+    + "SELECT recipient_canon_id, array_to_string(tokens, ',') AS tokens FROM toks",
+)
+def q_profile_tokens_bridged(spark, sf):
+    """Metadata tokens with merchant-only recipients bridged to their entity."""
+    ids = feat(spark, sf).select("recipient_canon_id").distinct()
+    mer = fixtures.merchant_profile(spark, sf)
+    meta = graph.recipient_metadata(fixtures.recipient_entity(spark, sf), mer, fixtures.person_profile(spark, sf))
+    h = graph.hashed_recipients(ids, meta, 32, bridge=graph.merchant_bridge(mer))
+    return h.select("recipient_canon_id", F.array_join("tokens", ",").alias("tokens"))
+
+
 @register("stream_score")
 def q_stream_score(spark, sf):
     from paylabel.streaming.jobs import stream_score
