@@ -127,7 +127,8 @@ def sender_state(
     D), which is decomposable: events are first summed per (sender, day) with
     the intra-day part of the weight, only those day rows are expanded to the
     ``L+1`` snapshot dates and re-weighted by whole days.  All sums are plain
-    aggregates, so partial aggregation absorbs hot senders.
+    aggregates, so partial aggregation absorbs hot senders; the whole job is
+    one scan and two partially aggregated shuffles.
 
     Columns: ``sender_id, snapshot_date, n_window_txns, state``.
     """
@@ -141,13 +142,18 @@ def sender_state(
         .groupBy("sender_id", "txn_date")
         .agg(F.count(F.lit(1)).alias("n_day"), *[F.sum(c * F.col("_w")).alias(f"s{i}") for i, c in enumerate(vec)])
     )
-    # one row per active (sender, day) already: the active pairs need no second scan
-    pairs = daily.select("sender_id", F.col("txn_date").alias("snapshot_date"))
-    expanded = expand_to_snapshots(daily, lookback_days).join(pairs, on=["sender_id", "snapshot_date"], how="inner")
+    # (sender, D) is active iff one of its expanded day rows is day D itself, so
+    # the active-pair join becomes a filter after one partially aggregated shuffle
+    expanded = expand_to_snapshots(daily, lookback_days)
     whole = F.exp(-F.lit(k) * F.datediff("snapshot_date", "txn_date").cast("double"))
-    agg = expanded.groupBy("sender_id", "snapshot_date").agg(
-        F.sum("n_day").alias("n_window_txns"),
-        *[F.sum(F.col(f"s{i}") * whole).alias(f"h{i}") for i in range(dims)],
+    agg = (
+        expanded.groupBy("sender_id", "snapshot_date")
+        .agg(
+            F.max((F.col("txn_date") == F.col("snapshot_date")).cast("int")).alias("_active"),
+            F.sum("n_day").alias("n_window_txns"),
+            *[F.sum(F.col(f"s{i}") * whole).alias(f"h{i}") for i in range(dims)],
+        )
+        .where(F.col("_active") == 1)
     )
     return agg.select(
         "sender_id",

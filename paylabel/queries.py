@@ -1472,7 +1472,7 @@ def q_next_event_models(spark, sf):
 def q_train_classifier(spark, sf):
     ts = build_training_set(spark, sf, "clf").where("is_valid")
     split = training.temporal_split(ts, 0.2)
-    _, m = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden=(64, 32), max_iters=(30, 60), patience=1)
+    _, m = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden=(64, 32), max_iters=(20, 40), patience=1)
     return m
 
 
@@ -1480,7 +1480,7 @@ def q_train_classifier(spark, sf):
 def q_score_batch(spark, sf):
     ts = build_training_set(spark, sf, "score").where("is_valid")
     split = training.temporal_split(ts, 0.2)
-    model, _ = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden=(64, 32), max_iters=(30,), patience=1)
+    model, _ = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden=(64, 32), max_iters=(20,), patience=1)
     from pyspark.ml.functions import array_to_vector
 
     scored = training.score_batch(model, split.where("split = 'val'").withColumn("fv", array_to_vector("features")))
