@@ -1470,16 +1470,16 @@ def q_next_event_models(spark, sf):
 
 @register("train_classifier")
 def q_train_classifier(spark, sf):
-    ts = build_training_set(spark, sf, "clf").where("is_valid")
-    split = training.temporal_split(ts, 0.2)
+    ts = build_training_set(spark, sf, "clf").where("is_valid").select("txn_id", "txn_date", "features", "label_idx").checkpoint(eager=True)
+    split = training.temporal_split(ts, 0.2).checkpoint(eager=True)
     _, m = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden=(64, 32), max_iters=(20, 40), patience=1)
     return m
 
 
 @register("score_batch")
 def q_score_batch(spark, sf):
-    ts = build_training_set(spark, sf, "score").where("is_valid")
-    split = training.temporal_split(ts, 0.2)
+    ts = build_training_set(spark, sf, "score").where("is_valid").select("txn_id", "txn_date", "features", "label_idx").checkpoint(eager=True)
+    split = training.temporal_split(ts, 0.2).checkpoint(eager=True)
     model, _ = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden=(64, 32), max_iters=(20,), patience=1)
     from pyspark.ml.functions import array_to_vector
 
