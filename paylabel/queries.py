@@ -1516,11 +1516,15 @@ def q_profile_tokens_bridged(spark, sf):
     return h.select("recipient_canon_id", F.array_join("tokens", ",").alias("tokens"))
 
 
-@register("stream_score")
+@register(
+    "stream_score",
+    _CASCADE_SQL + f"SELECT txn_id, final_label, {O.r6('final_confidence')} AS final_confidence, decided_by FROM dec",
+)
 def q_stream_score(spark, sf):
     from paylabel.streaming.jobs import stream_score
 
-    return stream_score(spark, sf)
+    out = stream_score(spark, sf)
+    return out.select("txn_id", "final_label", r6("final_confidence").alias("final_confidence"), "decided_by")
 
 
 @register(

@@ -49,7 +49,8 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
             return scores.join(rest.select("txn_id"), "txn_id", "left_semi")
 
         decided = cz.cascade_classify(req, lm, codes, replies, score_fn)
-        decided.select("txn_id", "final_label", "final_confidence", "decided_by").write.mode("append").parquet(out)
+        # a retried batch rewrites its own folder: the sink stays exactly-once
+        decided.select("txn_id", "final_label", "final_confidence", "decided_by").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(landing)
@@ -59,7 +60,7 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch")
 
 
 def daily_edges_stream(events: DataFrame, delay: str = "1 day") -> DataFrame:
