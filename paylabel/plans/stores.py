@@ -52,14 +52,20 @@ def incremental_dates(spark: SparkSession, txn: DataFrame, store_root: str, snap
     return transaction_dates(txn).join(have, "snapshot_date", "left_anti")
 
 
-def restrict_to_windows(txn: DataFrame, todo: DataFrame, lookback_days: int) -> DataFrame:
+def todo_range(todo: DataFrame):
+    """(first, last) date to build, or ``None`` when there is nothing to do (one job)."""
+    lo, hi = todo.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    return None if lo is None else (lo, hi)
+
+
+def restrict_to_windows(txn: DataFrame, bounds, lookback_days: int) -> DataFrame:
     """Only the transactions that can fall in a window of a date to build.
 
     The bound is a predicate on the raw timestamp column, so it reaches the
     parquet scan as a pushed filter; an incremental run over one new date
     reads ``lookback_days + 1`` days, not the whole history.
     """
-    lo, hi = todo.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    lo, hi = bounds
     start = F.lit(str(lo - timedelta(days=lookback_days))).cast("timestamp_ntz")
     end = F.lit(str(hi + timedelta(days=1))).cast("timestamp_ntz")
     return txn.where((F.col("txn_time_utc") >= start) & (F.col("txn_time_utc") < end))
@@ -82,9 +88,10 @@ def build_sender_store(
     spark: SparkSession, txn: DataFrame, store_root: str, spec: SenderStoreSpec, snapshot_date: str | None = None
 ) -> DataFrame | None:
     todo = incremental_dates(spark, txn, store_root, snapshot_date)
-    if todo.isEmpty():
+    bounds = todo_range(todo)
+    if bounds is None:
         return None
-    txn = restrict_to_windows(txn, todo, spec.lookback_days)
+    txn = restrict_to_windows(txn, bounds, spec.lookback_days)
     events = snapshots.event_features(txn, spec.tt_vocab, spec.ch_vocab)
     states = snapshots.sender_state(events, spec.tt_vocab, spec.ch_vocab, spec.lookback_days, spec.half_life_days)
     states = states.join(todo, "snapshot_date", "left_semi")
@@ -102,9 +109,10 @@ def build_recipient_store(
     snapshot_date: str | None = None,
 ) -> DataFrame | None:
     todo = incremental_dates(spark, txn, store_root, snapshot_date)
-    if todo.isEmpty():
+    bounds = todo_range(todo)
+    if bounds is None:
         return None
-    txn = restrict_to_windows(txn, todo, spec.lookback_days)
+    txn = restrict_to_windows(txn, bounds, spec.lookback_days)
     edges = graph.interaction_edges(txn, spec.lookback_days).join(todo, "snapshot_date", "left_semi").checkpoint(eager=True)
     ids = edges.select("recipient_canon_id").distinct()
     meta = graph.recipient_metadata(entity, merchant, person)
