@@ -61,14 +61,6 @@ def keyword_hit_index(cleaned: Column) -> Column:
     return F.array_position(F.array(*[keyword_match(cleaned, kw) for _, _, kw in ordered_keywords()]), True)
 
 
-def first_keyword(cleaned: Column) -> Column:
-    """Struct(label, keyword) of the first matching keyword, null if none."""
-    idx = keyword_hit_index(cleaned)
-    labels = F.array(*[F.lit(lbl) for _, lbl, _ in ordered_keywords()])
-    words = F.array(*[F.lit(kw) for _, _, kw in ordered_keywords()])
-    return F.when(idx > 0, F.struct(F.element_at(labels, idx.cast("int")).alias("label"), F.element_at(words, idx.cast("int")).alias("keyword")))
-
-
 def apply_rules(df: DataFrame, msg: str, tranx_type: str, label_codes: list[str] | None = None, out: str = "rule") -> DataFrame:
     """Adds struct ``out`` = (success, label, reason) of the rule layer.
 

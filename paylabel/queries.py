@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from paylabel import oracle as O
 from paylabel.functions import features as fx
-from paylabel.functions.hashing import token_bucket, token_sign
 from paylabel.functions.replies import confidence_gate, extract_json_reply
 from paylabel.functions.rules import KEYWORD_RULES, apply_rules, type_rule
 from paylabel.functions.text import keyword_match, strip_accents

@@ -72,3 +72,20 @@ def test_explicit_date_rebuild_equals_full_build(spark):
     a = {(r.sender_id, tuple(round(x, 12) for x in r.snd_emb)) for r in full.where(F.col("date") == d).collect()}
     b = {(r.sender_id, tuple(round(x, 12) for x in r.snd_emb)) for r in one.collect()}
     assert a == b and len(a) > 0
+
+
+def test_scan_by_suffix_csv_with_iso_z_times(spark):
+    """CSV input with ISO-8601 ``...Z`` time strings reads back as the same rows."""
+    t = fixtures.transactions(spark, SF)
+    path = shared_path(spark, "test", "landing", unique=True) + "/txn.csv"
+    t.withColumn("txn_time_utc", F.concat(F.date_format("txn_time_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))).write.option(
+        "header", "true"
+    ).csv(path)
+    from pyspark.sql import types as T
+
+    as_text = T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name == "txn_time_utc" else f.dataType) for f in io.TRANSACTION_SCHEMA.fields]
+    )
+    back = io.scan_by_suffix(spark, path, as_text)  # the ISO strings are parsed on read
+    assert back.count() == t.count()
+    assert back.select("txn_id", "txn_time_utc").exceptAll(t.select("txn_id", "txn_time_utc")).count() == 0
