@@ -197,7 +197,9 @@ def recipient_svd_distributed(edges_one_date: DataFrame, svd_dim: int = 64) -> D
     return scaled.join(items, "_i").select(F.lit(date).cast("date").alias("snapshot_date"), "recipient_canon_id", "svd_vec")
 
 
-def recipient_svd(edges: DataFrame, svd_dim: int = 64, dense_cell_limit: int = DENSE_CELL_LIMIT) -> DataFrame:
+def recipient_svd(
+    edges: DataFrame, svd_dim: int = 64, dense_cell_limit: int = DENSE_CELL_LIMIT, max_concurrent_dates: int = 4
+) -> DataFrame:
     """All dates: size-checked dates factorised per task, the rest distributed.
 
     The check is a per-date aggregate (distinct senders x distinct
@@ -207,11 +209,20 @@ def recipient_svd(edges: DataFrame, svd_dim: int = 64, dense_cell_limit: int = D
     sizes = edges.groupBy("snapshot_date").agg(
         (F.approx_count_distinct("sender_id", 0.01) * F.approx_count_distinct("recipient_canon_id", 0.01)).alias("cells")
     )
+    # one row per oversized date: bounded by the number of dates
     big = [r[0] for r in sizes.where(F.col("cells") > F.lit(dense_cell_limit * 0.9)).select("snapshot_date").collect()]
     small_edges = edges.join(F.broadcast(sizes.where(F.col("cells") <= F.lit(dense_cell_limit * 0.9)).select("snapshot_date")), "snapshot_date", "left_semi") if big else edges
     out = recipient_svd_dense(small_edges, svd_dim)
-    for d in big:
-        out = out.unionByName(recipient_svd_distributed(edges.where(F.col("snapshot_date") == F.lit(d)), svd_dim))
+    if big:
+        # oversized dates are independent factorisations: submit them as concurrent jobs
+        from concurrent.futures import ThreadPoolExecutor
+
+        def one(d):
+            return recipient_svd_distributed(edges.where(F.col("snapshot_date") == F.lit(d)), svd_dim)
+
+        with ThreadPoolExecutor(max_workers=min(max_concurrent_dates, len(big))) as pool:
+            for part in pool.map(one, big):
+                out = out.unionByName(part)
     return out
 
 
