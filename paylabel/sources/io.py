@@ -201,6 +201,12 @@ def scan_snapshots(spark: SparkSession, store_root: str, dates: DataFrame) -> Da
         return None
     snaps = spark.read.parquet(root)
     wanted = dates.select(F.col(dates.columns[0]).cast("date").alias("date")).distinct()
+    # a literal date range prunes partitions at planning time (one tiny job for the
+    # bounds); the semi join then keeps exactly the wanted dates inside the range
+    lo, hi = wanted.agg(F.min("date"), F.max("date")).first()
+    if lo is None:
+        return snaps.limit(0).withColumn("_feature_date", F.col("date"))
+    snaps = snaps.where(F.col("date").between(F.lit(lo), F.lit(hi)))
     return snaps.join(wanted, on="date", how="left_semi").withColumn("_feature_date", F.col("date"))
 
 
