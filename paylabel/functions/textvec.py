@@ -2,9 +2,10 @@
 
 The reference averages pretrained 300-d word vectors.  Two Spark forms:
 
-* ``hashed_sentence_vector`` — every token gets a deterministic pseudo-random
-  vector from ``md5(token#d)`` and the sentence is their mean; computed per row
-  in the JVM, no lookup table, reproducible in SQL (oracle-checked).
+* ``with_hashed_sentence_vector`` — every token gets a deterministic
+  pseudo-random vector from ``sha256(token#c)`` (16 dimensions per digest) and
+  the sentence is their mean; computed per row in the JVM, no lookup table,
+  reproducible in SQL (oracle-checked).
 * ``sentence_vector_from_table`` — explode tokens, join any word-vector table
   ``(word, vector)`` (for example ``Word2VecModel.getVectors()``) and average;
   the join is a shuffle on the token, so the vocabulary is never broadcast.
@@ -23,26 +24,51 @@ def tokens(text: str | Column) -> Column:
     return F.filter(F.split(fx.fill_text(t), r"\s+"), lambda s: s != F.lit(""))
 
 
-def token_dim_value(token: Column, d: Column | int) -> Column:
-    """Value in [-1, 1] of dimension ``d`` of a token's hashed vector."""
-    dd = F.lit(d) if isinstance(d, int) else d
-    h = F.conv(F.substring(F.md5(F.concat(token, F.lit("#"), dd.cast("string"))), 1, 8), 16, 10).cast("double")
-    return h / F.lit(4294967295.0) * F.lit(2.0) - F.lit(1.0)
+# dimension d of a token's vector uses hex digits [4*(d % 16), +4) of
+# sha256(token + '#' + d // 16): one hash serves 16 dimensions
+DIMS_PER_HASH = 16
 
 
-def hashed_sentence_vector(text: str | Column, dim: int) -> Column:
+def token_hashes(token: Column, dim: int) -> Column:
+    """The sha256 hex digests a token needs for ``dim`` dimensions."""
+    n = (dim + DIMS_PER_HASH - 1) // DIMS_PER_HASH
+    return F.array(*[F.sha2(F.concat(token, F.lit(f"#{c}")), 256) for c in range(n)])
+
+
+def dim_value_from_hashes(hashes: Column, d: int) -> Column:
+    """Value in [-1, 1] of dimension ``d`` from a token's digests."""
+    h = F.element_at(hashes, d // DIMS_PER_HASH + 1)
+    v = F.conv(F.substring(h, 4 * (d % DIMS_PER_HASH) + 1, 4), 16, 10).cast("double")
+    return v / F.lit(65535.0) * F.lit(2.0) - F.lit(1.0)
+
+
+def token_vector(token: Column, dim: int) -> Column:
+    hashes = token_hashes(token, dim)
+    return F.array(*[dim_value_from_hashes(hashes, d) for d in range(dim)])
+
+
+def with_hashed_sentence_vector(df: DataFrame, text: str, dim: int, out: str) -> DataFrame:
+    """Adds ``out`` = mean of the tokens' hashed vectors (zeros for no token).
+
+    The digests of every token are a column of their own, so each token is
+    hashed once per row however many dimensions read it.
+    """
     toks = tokens(text)
-    n = F.greatest(F.size(toks), F.lit(1)).cast("double")
+    staged = df.withColumn("_tok_hashes", F.transform(toks, lambda t: token_hashes(t, dim))).withColumn(
+        "_tok_n", F.greatest(F.size(toks), F.lit(1)).cast("double")
+    )
+
     def summer(d: int):
-        return lambda acc, t: acc + token_dim_value(t, d)
+        return lambda acc, hs: acc + dim_value_from_hashes(hs, d)
 
-    return F.array(*[F.aggregate(toks, F.lit(0.0), summer(d)) / n for d in range(dim)])
+    vec = F.array(*[F.aggregate(F.col("_tok_hashes"), F.lit(0.0), summer(d)) / F.col("_tok_n") for d in range(dim)])
+    return staged.withColumn(out, vec).drop("_tok_hashes", "_tok_n")
 
 
 def hashed_word_table(docs: DataFrame, text_col: str, dim: int) -> DataFrame:
     """``(word, vector)`` for every distinct token of a text column."""
     words = docs.select(F.explode(tokens(text_col)).alias("word")).distinct()
-    return words.select("word", F.array(*[token_dim_value(F.col("word"), d) for d in range(dim)]).alias("vector"))
+    return words.select("word", token_vector(F.col("word"), dim).alias("vector"))
 
 
 def sentence_vector_from_table(docs: DataFrame, id_col: str, text_col: str, table: DataFrame, dim: int) -> DataFrame:

@@ -156,7 +156,7 @@ TEXTLONG = """
 tok AS (SELECT txn_id, unnest(list_filter(string_split_regex(coalesce(msg_content, ''), '\\s+'), lambda x: x <> '')) AS w FROM txn),
 ntok AS (SELECT txn_id, greatest(len(list_filter(string_split_regex(coalesce(msg_content, ''), '\\s+'), lambda x: x <> '')), 1) AS n FROM txn),
 d16 AS (SELECT CAST(range AS INT) AS d FROM range(0, 16)),
-tv AS (SELECT t.txn_id, d.d, sum(CAST(('0x' || substr(md5(t.w || '#' || CAST(d.d AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967295.0 * 2.0 - 1.0) AS sv
+tv AS (SELECT t.txn_id, d.d, sum(CAST(('0x' || substr(sha256(t.w || '#' || CAST(d.d // 16 AS VARCHAR)), 4 * (d.d % 16) + 1, 4)) AS BIGINT) / 65535.0 * 2.0 - 1.0) AS sv
        FROM tok t, d16 d GROUP BY t.txn_id, d.d),
 textl AS (SELECT n.txn_id, d.d AS dim, coalesce(tv.sv, 0.0) / n.n AS v FROM ntok n CROSS JOIN d16 d LEFT JOIN tv ON tv.txn_id = n.txn_id AND tv.d = d.d)
 """

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylabel.functions import features as fx
-from paylabel.functions.textvec import hashed_sentence_vector
+from paylabel.functions.textvec import with_hashed_sentence_vector
 from paylabel.operators.snapshots import fit_category_vocab
 
 NUMERIC = ["amount_log", "hour_sin", "hour_cos"]
@@ -69,20 +69,20 @@ def fit_ctx(txn: DataFrame, text_dim: int = 16) -> CtxArtifacts:
     )
 
 
-def ctx_vector(art: CtxArtifacts) -> F.Column:
-    """[scaled numerics ‖ type one-hot ‖ channel one-hot ‖ text vector]."""
+def ctx_vector(art: CtxArtifacts, text_vec: str = "_text_vec") -> F.Column:
+    """[scaled numerics ‖ type one-hot ‖ channel one-hot ‖ text vector column]."""
     scaled = F.array(*[(F.col(c) - F.lit(m)) / F.lit(s) for c, m, s in zip(NUMERIC, art.means, art.stds)])
     return fx.concat_vectors(
         scaled,
         fx.one_hot(fx.fill_unknown("tranx_type"), art.tt_vocab),
         fx.one_hot(fx.fill_unknown("channel"), art.ch_vocab),
-        hashed_sentence_vector("msg_content", art.text_dim),
+        F.col(text_vec),
     )
 
 
 def build_ctx(txn: DataFrame, art: CtxArtifacts, mode: str = "inference") -> DataFrame:
     """Context table: ``txn_id, ctx_vec`` (+ training columns in ``mode='train'``)."""
-    num = numeric_features(txn)
+    num = with_hashed_sentence_vector(numeric_features(txn), "msg_content", art.text_dim, "_text_vec")
     cols = [F.col("txn_id").cast("string").alias("txn_id"), ctx_vector(art).alias("ctx_vec")]
     if mode == "train":
         cols += [fx.txn_date().alias("txn_date"), "sender_id", "recipient_entity_id"]
