@@ -63,15 +63,24 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
+def utc_instant(ts_ntz: str) -> F.Column:
+    """The UTC instant of a wall-clock (NTZ) timestamp, whatever the session time zone."""
+    t = F.col(ts_ntz)
+    secs = F.date_format(t, "ss.SSSSSS").cast("decimal(8,6)")
+    return F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), secs, F.lit("UTC"))
+
+
 def daily_edges_stream(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    ts = F.col("txn_time_utc").cast("timestamp")
+    # windows align to epoch days; with UTC instants those are the calendar days of the
+    # transaction times, and the day label is epoch-day arithmetic (no session zone)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int"))
     return (
-        events.withColumn("event_time", ts)
+        events.withColumn("event_time", utc_instant("txn_time_utc"))
         .withColumn("recipient_canon_id", fx.canonical_recipient())
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 day").alias("w"), "sender_id", "recipient_canon_id")
         .agg(F.sum("amount").alias("amount_sum"), F.count(F.lit(1)).alias("n"))
-        .select(F.to_date(F.col("w.start")).alias("day"), "sender_id", "recipient_canon_id", "amount_sum", "n")
+        .select(day.alias("day"), "sender_id", "recipient_canon_id", "amount_sum", "n")
     )
 
 
