@@ -107,3 +107,16 @@ def test_recipient_svd_all_dates_distributed(spark):
         a = np.vstack([parts["dense"][k] for k in keys])
         b = np.vstack([parts["dist"][k] for k in keys])
         assert np.allclose(a @ a.T, b @ b.T, atol=1e-6), d
+
+
+def test_daily_edges_independent_of_session_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        utc = Q.q_stream_daily_edges(spark, SF)
+        utc_rows = {tuple(r) for r in utc.collect()}
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        other_rows = {tuple(r) for r in Q.q_stream_daily_edges(spark, SF).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert utc_rows and utc_rows == other_rows
