@@ -21,7 +21,7 @@ def with_canonical_recipient(txn: DataFrame) -> DataFrame:
     return txn.withColumn("recipient_canon_id", fx.canonical_recipient())
 
 
-def interaction_edges(txn: DataFrame, lookback_days: int = 10) -> DataFrame:
+def interaction_edges(txn: DataFrame, lookback_days: int = 10, materialize: bool = True) -> DataFrame:
     """``(snapshot_date, sender_id, recipient_canon_id, weight=log1p(Σ amount))``.
 
     For every date D and recipient active on D: the amounts each sender paid it
@@ -32,7 +32,10 @@ def interaction_edges(txn: DataFrame, lookback_days: int = 10) -> DataFrame:
     """
     t = with_canonical_recipient(txn).withColumn("txn_date", fx.txn_date()).where(F.col("sender_id").isNotNull())
     daily = t.groupBy("sender_id", "recipient_canon_id", "txn_date").agg(F.sum(F.col("amount").cast("double")).alias("amt"))
-    # active (recipient, day) pairs from the pre-aggregate, not from a second raw scan
+    if materialize:
+        # the pre-aggregate feeds both the expand and the active pairs: write it once
+        # (far smaller than the raw rows) instead of scanning the raw table twice
+        daily = daily.checkpoint(eager=True)
     pairs = daily.select("recipient_canon_id", F.col("txn_date").alias("snapshot_date")).distinct()
     expanded = expand_to_snapshots(daily, lookback_days).join(pairs, on=["recipient_canon_id", "snapshot_date"], how="inner")
     return expanded.groupBy("snapshot_date", "sender_id", "recipient_canon_id").agg(
