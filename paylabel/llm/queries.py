@@ -131,13 +131,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(range(1, len(q.w) + 1), i -> q.w[i] * c.w[i])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
         ), r AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s
@@ -169,13 +169,13 @@ ORACLES: dict[str, str] = {
         WITH RECURSIVE words AS (
             SELECT doc_id, list_filter(string_split_regex(
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
             FROM documents
         ), sets AS (
             SELECT doc_id, list_distinct(CASE
                 WHEN len(w) = 0 THEN []
                 WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
             FROM words
         ), items AS (
             SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
