@@ -12,14 +12,14 @@ stands elsewhere.  The likeness of two fingerprints is the Dice coefficient of t
 1 if their roots are equal.  The fingerprint string is the root's first 32 digits, a colon,
 and the distinct twigs in order, 8 digits each.
 
-Neighbours in descending doc_id are found without a global sort in one task: ids are dealt
-by range, a window runs within each range, and only one row per range meets in the window
-over ranges.
+Neighbours in descending doc_id are found with one shuffle: a job over the ids alone gives the
+bounds of ranges (one row per range reaches the driver), documents go to their range, the
+first document of each range also to the range before, and a window looks one row ahead.
 
 Defined cases: a null text is empty; an empty text has one empty section, paragraph and
-twig; rows that repeat a doc_id are each fingerprinted, and as a next document such an id
-stands with its greatest text; a row without a doc_id is its own next document; an empty
-table gives no rows; only doc_id and text are read.
+twig; rows that repeat a doc_id follow each other, ordered by text; a null doc_id stands
+below all others; a single document is its own next one; an empty table gives no rows; only
+doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
-
+#: Ranges of ids per shuffle partition.
+RANGES_PER_PARTITION = 3
 TWIG_CHARS = 48
 #: White space after one of these characters ends a twig; no twig is longer than TWIG_CHARS.
 TWIG_END = r"(?s)(?<=[adhlptx.,:;!?|)\]}0-9])\s|\n|(?<=\G.{" + str(TWIG_CHARS) + "})"
@@ -96,36 +96,49 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return base.withColumn("root", root(F.col("sections"))).withColumn("twigs", twigs(F.col("text")))
 
 
-def previous_in_descent(ids: DataFrame) -> DataFrame:
-    """doc_id, prev_id, prev_n: the next greater id and its n; the greatest id's is the smallest."""
-    ranged = cut(ids.repartitionByRange(F.desc("doc_id")).withColumn("range", F.spark_partition_id()))
-    tails = ranged.groupBy("range").agg(F.min_by(F.struct("doc_id", "n"), "doc_id").alias("tail"))
-    over = Window.orderBy("range")  # one row per range
-    before = F.coalesce(F.lag("tail").over(over), F.last("tail").over(over.rowsBetween(0, Window.unboundedFollowing)))
-    entries = tails.select("range", before.alias("entry"))
-    within = Window.partitionBy("range").orderBy(F.desc("doc_id"))
-    linked = ranged.withColumn("prev", F.lag(F.struct("doc_id", "n")).over(within)).join(entries, "range")
-    linked = linked.withColumn("prev", F.coalesce("prev", "entry"))
-    return linked.select("doc_id", F.col("prev.doc_id").alias("prev_id"), F.col("prev.n").alias("prev_n"))
+def range_heads(keys: DataFrame, ranges: int) -> list[int]:
+    """The greatest key of each of at most ``ranges`` ranges of about equal size, descending."""
+    dealt = keys.repartitionByRange(ranges, F.desc("key")).groupBy(F.spark_partition_id().alias("range"))
+    return sorted({r["head"] for r in dealt.agg(F.max("key").alias("head")).collect()}, reverse=True)  # one row per range
 
 
-def with_edits(docs: DataFrame) -> DataFrame:
-    """Each document beside its edited text (its second half replaced by the next document's start) and likenesses."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    ids = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
-    chain = previous_in_descent(ids.agg(F.max(F.length(text)).cast("bigint").alias("n")))
+def range_of(key: Column, heads: list[int]) -> Column:
+    """The number of the range that holds a key: a coarse search, then a fine one."""
+    step = max(1, int(len(heads) ** 0.5))
+    reached = lambda some: F.size(F.filter(some, lambda h: h >= key))
+    coarse = reached(F.lit(heads[::step])) - 1
+    return coarse * step + reached(F.slice(F.lit(heads), coarse * step + 1, F.lit(step))) - 1
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """Each fingerprinted document with its neighbour in descending doc_id as struct ``next``.
+
+    Rows go to the range of their id, and the rows of a range's greatest id also, as guests,
+    to the end of the range before (the first range's to the last): one shuffle, no join.
+    """
     own = fingerprints(docs).select("doc_id", "text", "n_chars", "root", "twigs")
+    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+    ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heads = range_heads(docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("key")), ranges) or [0]
+    home = range_of(key, heads)
+    seat = lambda at, guest: F.struct(at.alias("range"), F.lit(guest).alias("guest"))
+    seats = F.when(
+        F.get(F.lit(heads), F.col("home")) == key,
+        F.array(seat(F.col("home"), 0), seat(F.pmod(F.col("home") - 1, F.lit(len(heads))), 1)),
+    ).otherwise(F.array(seat(F.col("home"), 0)))
+    seated = own.withColumn("home", home).withColumn("seat", F.explode(seats)).drop("home").select("*", "seat.range", "seat.guest").drop("seat")
+    order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("doc_id"), "text")
+    following = F.lead(F.struct("text", "root", "twigs")).over(order)
+    return seated.withColumn("next", following).where("guest = 0").drop("range", "guest")
 
-    half = F.floor(F.col("prev_n") / 2).cast("int")
-    start = own.join(chain, "doc_id").select(
-        "prev_id", F.struct(F.substring(F.col("text"), F.lit(1), half).alias("start"), F.col("n_chars").alias("n"), "root", "twigs").alias("next")
-    )
-    start = start.groupBy("prev_id").agg(F.max("next").alias("next"))
-    both = own.join(start, own["doc_id"] == start["prev_id"], "left")
 
+def with_edits(docs: DataFrame) -> DataFrame:
+    """Each document beside its edited text (its second half replaced by the next document's start) and likenesses."""
+    both = with_next(docs)
     edit = F.floor(F.col("n_chars") / 2).cast("int")
-    next_start = F.coalesce(F.col("next.start"), F.col("text"))
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - edit).cast("int")), F.substring(next_start, F.lit(1), edit))
+    edited = F.concat(
+        F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - edit).cast("int")), F.substring(F.col("next.text"), F.lit(1), edit)
+    )
     both = both.withColumn("edited", edited)
     both = both.withColumn("edited_root", root(sections(F.col("edited")))).withColumn("edited_twigs", twigs(F.col("edited")))
     return both.select(
@@ -135,5 +148,5 @@ def with_edits(docs: DataFrame) -> DataFrame:
         as_string(F.col("root"), F.col("twigs")).alias("fingerprint"),
         as_string(F.col("edited_root"), F.col("edited_twigs")).alias("edited_fingerprint"),
         likeness(F.col("root"), F.col("twigs"), F.col("edited_root"), F.col("edited_twigs")).alias("near_edited"),
-        F.coalesce(likeness(F.col("root"), F.col("twigs"), F.col("next.root"), F.col("next.twigs")), F.lit(1.0)).alias("near_next"),
+        likeness(F.col("root"), F.col("twigs"), F.col("next.root"), F.col("next.twigs")).alias("near_next"),
     )
