@@ -196,7 +196,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataF
         F.col("v").alias("doc"), "v", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)).alias("salt"), F.lit(True).alias("lead")
     )
     routes = members.union(leads)
-    routed = texts.join(routes, texts["doc_id"] == routes["doc"]).select("v", "salt", "lead", "doc", "text")
+    routed = texts.join(routes.hint("merge"), texts["doc_id"] == routes["doc"]).select("v", "salt", "lead", "doc", "text")
     sets = routed.mapInArrow(_route_sets, "v bigint, salt int, lead boolean, doc bigint, items binary")
     ordered = sets.repartition("v", "salt").sortWithinPartitions("v", "salt", F.desc("lead"), "doc")
     return ordered.mapInArrow(_compare(percent), "u bigint, v bigint").distinct()
@@ -276,7 +276,8 @@ def _rest(members: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataFra
         blocks(F.col("n_y"), F.col("items_y")).alias("by"),
     )
     dealt = regions.join(sizes, "region")
-    items = texts.join(dealt.select("rep"), texts["doc_id"] == F.col("rep"), "inner").select("rep", "text")
+    wanted = dealt.select("rep").hint("merge")
+    items = texts.join(wanted, texts["doc_id"] == wanted["rep"]).select("rep", "text")
     items = items.mapInArrow(_items, "rep bigint, items binary")
     m = dealt.join(items, "rep")
     entry = F.struct("rep", "component", "sig", "items")
