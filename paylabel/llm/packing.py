@@ -40,6 +40,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pre-tokens whose ids a worker remembers (memory bound, not a result bound).
 MEMO_PARTS = 400_000
+#: New pre-tokens that one tokenizer call takes, and texts whose pre-tokens are numbered together.
+NEW_PARTS, NUMBERED_TEXTS = 1000, 1000
 #: Rounds of the fit, steps of one round, and partners tried for a pattern's largest document.
 FIT_ROUNDS, FIT_STEPS, PARTNERS = 4, 150, 12
 
@@ -75,12 +77,18 @@ class WordIds:
         self.parts.turn()
         found = list(map(self.parts.new.get, parts))
         fresh = [p for p, ids in zip(parts, found) if ids is None and self.parts.get(p) is None]
-        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.parts.new[p] = np.array(e.ids, "<u4").tobytes()
+        for i in range(0, len(fresh), NEW_PARTS):  # the tokenizer's own results are large
+            some = fresh[i : i + NEW_PARTS]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.parts.new[p] = np.array(e.ids, "<u4").tobytes()
         return [self.parts.new[p] if ids is None else ids for p, ids in zip(parts, found)]
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         """Each text's ids as little-endian 32-bit words."""
+        for i in range(0, len(texts), NUMBERED_TEXTS):
+            yield from self._numbered(texts[i : i + NUMBERED_TEXTS])
+
+    def _numbered(self, texts: list[str | None]) -> Iterator[bytes]:
         flat_parts, offsets = [], [0]
         for text in texts:
             flat_parts += self._parts_of(text or "")
