@@ -27,22 +27,28 @@ def interaction_edges(txn: DataFrame, lookback_days: int = 10, materialize: bool
     For every date D and recipient active on D: the amounts each sender paid it
     in ``[D-L, D]``.  Amounts are first summed per (sender, recipient, day),
     then only those day rows are expanded to snapshot dates and joined with the
-    active ``(recipient, D)`` pairs.  Null senders are dropped (as grouping
-    keys they would form a group of their own).
+    active ``(recipient, D)`` pairs.  Null senders make a recipient active but
+    give no edge (as grouping keys they would form a group of their own).
     """
-    t = with_canonical_recipient(txn).withColumn("txn_date", fx.txn_date()).where(F.col("sender_id").isNotNull())
+    t = with_canonical_recipient(txn).withColumn("txn_date", fx.txn_date())
     daily = t.groupBy("sender_id", "recipient_canon_id", "txn_date").agg(F.sum(F.col("amount").cast("double")).alias("amt"))
     if materialize:
         # the pre-aggregate feeds both the expand and the active pairs: write it once
         # (far smaller than the raw rows) instead of scanning the raw table twice
         daily = daily.checkpoint(eager=True)
     pairs = daily.select("recipient_canon_id", F.col("txn_date").alias("snapshot_date")).distinct()
-    expanded = expand_to_snapshots(daily, lookback_days).join(pairs, on=["recipient_canon_id", "snapshot_date"], how="inner")
+    expanded = expand_to_snapshots(daily.where(F.col("sender_id").isNotNull()), lookback_days).join(pairs, on=["recipient_canon_id", "snapshot_date"], how="inner")
     return expanded.groupBy("snapshot_date", "sender_id", "recipient_canon_id").agg(
         F.log1p(F.coalesce(F.sum("amt"), F.lit(0.0))).alias("weight")
     )
 
 
+def active_recipients(txn: DataFrame) -> DataFrame:
+    """``(recipient_canon_id, snapshot_date)`` of every recipient paid on the date, by whomever."""
+    t = with_canonical_recipient(txn).withColumn("snapshot_date", fx.txn_date())
+    return t.where(F.col("snapshot_date").isNotNull()).select("recipient_canon_id", "snapshot_date").distinct()
+
+
 def copay_graph(edges: DataFrame, id_col: str = "recipient_canon_id", group_col: str = "sender_id") -> DataFrame:
     """Gram matrix ``AᵀA`` of an edge list as ``(i, j, value)`` through block products.
 
@@ -157,6 +163,21 @@ def recipient_svd_dense(edges: DataFrame, svd_dim: int = 64) -> DataFrame:
     return edges.groupBy("snapshot_date").applyInPandas(lambda pdf: _dense_svd_group(pdf, svd_dim), schema)
 
 
+def _window_matrix(edges_one_date: DataFrame):
+    """One date's matrix with the larger side as rows: (matrix, columns, numbered recipients, whether they are the rows, rows)."""
+    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
+
+    items = edges_one_date.select("recipient_canon_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["recipient_canon_id", "_i"])
+    users = edges_one_date.select("sender_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["sender_id", "_u"])
+    n_items, n_users = items.count(), users.count()
+    items_as_rows = n_items >= n_users
+    n_rows, n_cols = (n_items, n_users) if items_as_rows else (n_users, n_items)
+    e = edges_one_date.join(items, "recipient_canon_id").join(users, "sender_id")
+    rc = ("_i", "_u") if items_as_rows else ("_u", "_i")
+    coo = CoordinateMatrix(e.select(*rc, "weight").rdd.map(lambda r: MatrixEntry(r[0], r[1], float(r[2]))), n_rows, n_cols)
+    return coo, n_cols, items, items_as_rows, n_rows
+
+
 def recipient_svd_distributed(edges_one_date: DataFrame, svd_dim: int = 64) -> DataFrame:
     """Distributed rank-k SVD of one date's edges (``RowMatrix.computeSVD``).
 
@@ -167,19 +188,10 @@ def recipient_svd_distributed(edges_one_date: DataFrame, svd_dim: int = 64) -> D
     rows (``Aᵀ = V S Uᵀ``), else from the local ``V``.  Components are signed
     like the dense path (largest-magnitude entry positive).
     """
-    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
-
     spark = edges_one_date.sparkSession
     date = edges_one_date.select("snapshot_date").limit(1).collect()[0][0]
-    items = edges_one_date.select("recipient_canon_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["recipient_canon_id", "_i"])
-    users = edges_one_date.select("sender_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["sender_id", "_u"])
-    n_items, n_users = items.count(), users.count()
-    items_as_rows = n_items >= n_users
-    n_rows, n_cols = (n_items, n_users) if items_as_rows else (n_users, n_items)
+    coo, n_cols, items, items_as_rows, n_rows = _window_matrix(edges_one_date)
     k = min(svd_rank(n_rows, n_cols, svd_dim), n_cols)
-    e = edges_one_date.join(items, "recipient_canon_id").join(users, "sender_id")
-    rc = ("_i", "_u") if items_as_rows else ("_u", "_i")
-    coo = CoordinateMatrix(e.select(*rc, "weight").rdd.map(lambda r: MatrixEntry(r[0], r[1], float(r[2]))), n_rows, n_cols)
     svd = coo.toIndexedRowMatrix().computeSVD(k, computeU=items_as_rows)
     s = np.array(svd.s.toArray())
     kk = len(s)
@@ -229,9 +241,16 @@ def recipient_svd(
     return out
 
 
-def recipient_state(edges: DataFrame, hashed: DataFrame, svd_dim: int = 64) -> DataFrame:
-    """``[svd ‖ hash]`` normalised jointly, per active recipient and date."""
+def recipient_state(edges: DataFrame, hashed: DataFrame, svd_dim: int = 64, active: DataFrame | None = None) -> DataFrame:
+    """``[svd ‖ hash]`` normalised jointly, per active recipient and date.
+
+    ``active`` names recipients that may have no edge (paid by unknown senders only): their
+    graph part is zero.
+    """
     svd = recipient_svd(edges, svd_dim)
+    if active is not None:
+        zero = F.array_repeat(F.lit(0.0), svd_dim)
+        svd = active.join(svd, ["recipient_canon_id", "snapshot_date"], "left").withColumn("svd_vec", F.coalesce("svd_vec", zero))
     j = svd.join(hashed.select("recipient_canon_id", "hash_vec"), "recipient_canon_id", "inner")
     return j.select(
         "recipient_canon_id",
@@ -257,15 +276,26 @@ def _singular_group(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"snapshot_date": pdf["snapshot_date"].iloc[0], "rank": np.arange(1, len(s) + 1, dtype="int32"), "singular_value": s})
 
 
-def singular_values(edges: DataFrame) -> DataFrame:
-    """Singular values of every date's window matrix, descending (``rank`` 1 = largest).
+def _singular_distributed(edges_one_date: DataFrame, date) -> DataFrame:
+    """The same values from the distributed decomposition; those under its cut-off are zero."""
+    matrix, n_cols = _window_matrix(edges_one_date)[:2]
+    s = [float(x) for x in matrix.toIndexedRowMatrix().computeSVD(n_cols).s.toArray()]
+    rows = [(date, i + 1, x) for i, x in enumerate(s + [0.0] * (n_cols - len(s)))]  # as many as the smaller side
+    return edges_one_date.sparkSession.createDataFrame(rows, "snapshot_date date, rank int, singular_value double")
 
-    Dates are size-checked like ``recipient_svd``; oversized dates are left to
-    the distributed path, which reports its leading ``svd_dim`` values only.
+
+def singular_values(edges: DataFrame, dense_cell_limit: int = DENSE_CELL_LIMIT) -> DataFrame:
+    """All singular values of every date's window matrix, descending (``rank`` 1 = largest).
+
+    Dates are size-checked like ``recipient_svd``; larger ones are decomposed distributed.
     """
     sizes = edges.groupBy("snapshot_date").agg(
         (F.approx_count_distinct("sender_id", 0.01) * F.approx_count_distinct("recipient_canon_id", 0.01)).alias("cells")
     )
-    small = edges.join(sizes.where(F.col("cells") <= F.lit(DENSE_CELL_LIMIT * 0.9)).select("snapshot_date"), "snapshot_date", "left_semi")
-    schema = "snapshot_date date, rank int, singular_value double"
-    return small.groupBy("snapshot_date").applyInPandas(_singular_group, schema)
+    large = F.col("cells") > F.lit(dense_cell_limit * 0.9)
+    big = [r[0] for r in sizes.where(large).select("snapshot_date").collect()]  # at most one row per date
+    small = edges.where(~F.col("snapshot_date").isin(big)) if big else edges
+    out = small.groupBy("snapshot_date").applyInPandas(_singular_group, "snapshot_date date, rank int, singular_value double")
+    for date in big:
+        out = out.unionByName(_singular_distributed(edges.where(F.col("snapshot_date") == F.lit(date)), date))
+    return out

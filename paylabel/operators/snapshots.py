@@ -228,6 +228,6 @@ def pad_sequences(hist: Column, field: str, maxlen: int, fill: float = 0.0) -> C
 
 def latest_per_key(df: DataFrame, key: str, keep: str = "last", date_col: str = "snapshot_date") -> DataFrame:
     """One row per key: newest snapshot (``keep='last'``) or oldest (``'first'``)."""
-    order = F.col(date_col).desc() if keep == "last" else F.col(date_col).asc()
-    w = Window.partitionBy(key).orderBy(order)
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+    # an aggregate, so that each task passes on one row per key instead of all embeddings
+    pick = F.max_by if keep == "last" else F.min_by
+    return df.groupBy(key).agg(pick(F.struct(*df.columns), F.struct(date_col)).alias("_row")).select("_row.*")

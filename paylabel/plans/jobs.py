@@ -113,7 +113,7 @@ def fit_classifier(
     elif split_method == "random":
         split = training.stratified_split(ts, val_split)
     else:
-        raise ValueError(f"Unknown split_method: {split_method}. Use 'date' or 'random'")
+        raise ValueError(f"split_method must be 'date' or 'random', not {split_method!r}")
     split = split.checkpoint(eager=True)
     model, metrics = training.fit_classifier(
         split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden, max_iters, patience

@@ -71,15 +71,15 @@ def restrict_to_windows(txn: DataFrame, bounds, lookback_days: int) -> DataFrame
     return txn.where((F.col("txn_time_utc") >= start) & (F.col("txn_time_utc") < end))
 
 
-def _finish(spark: SparkSession, states: DataFrame, store_root: str, key: str, emb_col: str) -> DataFrame | None:
+def _finish(spark: SparkSession, states: DataFrame, store_root: str, key: str, emb_col: str, todo: DataFrame) -> DataFrame | None:
     out = snapshots.with_snapshot_metadata(states.withColumnRenamed("state", emb_col), FEATURE_VERSION).withColumn(
         "date", F.date_format("snapshot_date", "yyyy-MM-dd")
     )
     io.sink_daily_snapshot(out, store_root)
     # read back what was just written: the cumulative upsert starts from the written
     # partitions instead of recomputing the snapshot plan
-    new_dates = out.select("date").distinct()
-    written = spark.read.parquet(io.daily_root(store_root)).join(new_dates, "date", "left_semi")
+    new_dates = [r[0] for r in todo.select(F.date_format("snapshot_date", "yyyy-MM-dd")).collect()]  # one row per date built
+    written = spark.read.schema(out.schema).parquet(io.daily_root(store_root)).where(F.date_format("date", "yyyy-MM-dd").isin(new_dates))
     io.sink_upsert_cumulative(spark, written.drop("date"), store_root, key=key)
     return written
 
@@ -87,7 +87,7 @@ def _finish(spark: SparkSession, states: DataFrame, store_root: str, key: str, e
 def build_sender_store(
     spark: SparkSession, txn: DataFrame, store_root: str, spec: SenderStoreSpec, snapshot_date: str | None = None
 ) -> DataFrame | None:
-    todo = incremental_dates(spark, txn, store_root, snapshot_date)
+    todo = incremental_dates(spark, txn, store_root, snapshot_date).checkpoint(eager=True)
     bounds = todo_range(todo)
     if bounds is None:
         return None
@@ -95,7 +95,7 @@ def build_sender_store(
     events = snapshots.event_features(txn, spec.tt_vocab, spec.ch_vocab)
     states = snapshots.sender_state(events, spec.tt_vocab, spec.ch_vocab, spec.lookback_days, spec.half_life_days)
     states = states.join(todo, "snapshot_date", "left_semi")
-    return _finish(spark, states.select("sender_id", "snapshot_date", "n_window_txns", "state"), store_root, "sender_id", "snd_emb")
+    return _finish(spark, states.select("sender_id", "snapshot_date", "n_window_txns", "state"), store_root, "sender_id", "snd_emb", todo)
 
 
 def build_recipient_store(
@@ -108,14 +108,15 @@ def build_recipient_store(
     spec: RecipientStoreSpec,
     snapshot_date: str | None = None,
 ) -> DataFrame | None:
-    todo = incremental_dates(spark, txn, store_root, snapshot_date)
+    todo = incremental_dates(spark, txn, store_root, snapshot_date).checkpoint(eager=True)
     bounds = todo_range(todo)
     if bounds is None:
         return None
     txn = restrict_to_windows(txn, bounds, spec.lookback_days)
     edges = graph.interaction_edges(txn, spec.lookback_days).join(todo, "snapshot_date", "left_semi").checkpoint(eager=True)
-    ids = edges.select("recipient_canon_id").distinct()
+    active = graph.active_recipients(txn).join(todo, "snapshot_date", "left_semi").checkpoint(eager=True)
+    ids = active.select("recipient_canon_id").distinct()
     meta = graph.recipient_metadata(entity, merchant, person)
     hashed = graph.hashed_recipients(ids, meta, spec.hash_dim)
-    states = graph.recipient_state(edges, hashed, spec.svd_dim)
-    return _finish(spark, states, store_root, "recipient_canon_id", "rcv_emb")
+    states = graph.recipient_state(edges, hashed, spec.svd_dim, active)
+    return _finish(spark, states, store_root, "recipient_canon_id", "rcv_emb", todo)

@@ -1344,11 +1344,10 @@ def q_external_label_layer(spark, sf):
 @register(
     "external_prompt",
     O.with_("txn", O.RULE)
-    + """SELECT r.txn_id, 'You are a transaction classifier. Choose exactly one of these labels (exclude OTH): '
-       || '[''BIL'', ''FOO'', ''TRN'', ''HLT'', ''INS'', ''SHP'', ''ENT'', ''EDU'', ''FIN''].' || chr(10)
-       || '- message: "' || coalesce(t.msg_content, '') || '"' || chr(10)
-       || '- recipient: "' || coalesce(t.recipient_entity_id, '') || '"' || chr(10)
-       || 'If confidence < 0.8 -> label must be "unknown".' AS prompt
+    + """SELECT r.txn_id, 'Label the payment below with one code out of BIL FOO TRN HLT INS SHP ENT EDU FIN.' || chr(10)
+       || 'memo: ' || coalesce(t.msg_content, '') || chr(10)
+       || 'payee: ' || coalesce(t.recipient_entity_id, '') || chr(10)
+       || 'Reply with a single JSON object {"label": code, "confidence": number from 0 to 1}; below 0.8 the label is "unknown".' AS prompt
 FROM rl r JOIN txn t USING (txn_id) WHERE NOT r.success""",
 )
 def q_external_prompt(spark, sf):

@@ -68,7 +68,7 @@ def scan_by_suffix(spark: SparkSession, path: str, schema: T.StructType | None =
         reader = spark.read.option("header", "true")
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
         return normalize_time(reader.csv(path)) if "txn_time_utc" in (schema.names if schema else []) else reader.csv(path)
-    raise ValueError(f"Unsupported file type: {suffix or '<none>'}. Use .csv or .parquet")
+    raise ValueError(f"cannot read {path}: the extension must be .parquet or .csv, not {suffix or 'empty'}")
 
 
 def scan_label_map(spark: SparkSession, path: str = LABEL_MAP_PATH) -> DataFrame:

@@ -120,3 +120,22 @@ def test_daily_edges_independent_of_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert utc_rows and utc_rows == other_rows
+
+
+def test_oversized_dates_keep_their_singular_values(spark):
+    rows = [("2024-01-0%d" % d, f"s{i}", f"r{(i * 7 + j) % 11}", float(i + j + d)) for d, n in ((1, 4), (2, 30)) for i in range(n) for j in range(3)]
+    e = spark.createDataFrame(rows, "snapshot_date string, sender_id string, recipient_canon_id string, weight double")
+    e = e.withColumn("snapshot_date", F.to_date("snapshot_date")).groupBy("snapshot_date", "sender_id", "recipient_canon_id").agg(F.sum("weight").alias("weight"))
+    values = lambda df: {(r.snapshot_date, r["rank"]): r.singular_value for r in df.collect()}
+    dense, mixed = values(graph.singular_values(e)), values(graph.singular_values(e, dense_cell_limit=60))
+    assert dense.keys() == mixed.keys() and {d for d, _ in dense} == {r[0] for r in e.select("snapshot_date").distinct().collect()}
+    assert all(abs(dense[k] - mixed[k]) < 1e-5 for k in dense)
+
+
+def test_recipient_paid_by_unknown_senders_only_stays_active(spark):
+    edges = spark.createDataFrame([("2024-01-01", "s", "r1", 1.0), ("2024-01-01", "t", "r2", 2.0)], "d string, sender_id string, recipient_canon_id string, weight double")
+    edges = edges.withColumn("snapshot_date", F.to_date("d")).drop("d")
+    active = spark.createDataFrame([("r1",), ("r2",), ("r3",)], "recipient_canon_id string").withColumn("snapshot_date", F.to_date(F.lit("2024-01-01")))
+    hashed = active.select("recipient_canon_id", F.array(F.lit(1.0), F.lit(0.0)).alias("hash_vec"))
+    rows = {r.recipient_canon_id: list(r.state) for r in graph.recipient_state(edges, hashed, 2, active).collect()}
+    assert set(rows) == {"r1", "r2", "r3"} and rows["r3"] == [0.0, 0.0, 1.0, 0.0]
