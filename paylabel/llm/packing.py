@@ -291,6 +291,7 @@ def pack(docs: DataFrame, vocabulary_file: str, capacity: int = CAPACITY) -> Dat
                 [*(batch.column(n) for n in names), pa.array(sequence), pa.array(plan_rows[at, 4])], names=[*names, "sequence_id", "offset"]
             )
 
-    ranked = cut.join(firsts.select("part", "length", "first"), ["part", "length"]).withColumn("rank", F.col("first") + F.col("place"))
+    # the counts grow with the partitions, so they are shuffled rather than broadcast
+    ranked = cut.join(firsts.select("part", "length", "first").hint("merge"), ["part", "length"]).withColumn("rank", F.col("first") + F.col("place"))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
     return ranked.mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
