@@ -84,23 +84,31 @@ def daily_edges_stream(events: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
+def daily_edges(events: DataFrame) -> DataFrame:
+    """Per (day, sender, recipient): amount sum and row count of the rows given."""
+    t = events.withColumn("day", fx.txn_date()).withColumn("recipient_canon_id", fx.canonical_recipient())
+    return t.groupBy("day", "sender_id", "recipient_canon_id").agg(F.sum("amount").alias("amount_sum"), F.count(F.lit(1)).alias("n"))
+
+
 def stream_daily_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """All days, late rows included: every micro-batch adds its own sums, a reader merges them by key.
+
+    A batch overwrites the partition of its own id, so a repeated batch counts once; no state
+    is kept, so no row is ever too late.
+    """
     landing, schema = _stage_transactions(spark, sf, "edges")
     out = shared_path(spark, "streams", "edges", "out", unique=True)
     ckpt = shared_path(spark, "streams", "edges", "ckpt", unique=True)
-    # one trigger over what is present: rows are only dropped as late when they
-    # arrive after a later batch moved the watermark past their day
-    stream = spark.readStream.schema(schema).parquet(landing)
-    q = (
-        daily_edges_stream(stream)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        daily_edges(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(landing)
+    q = stream.writeStream.foreachBatch(add).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema("day date, sender_id string, recipient_canon_id string, amount_sum double, n long").parquet(out).select(
+    kind = "day date, sender_id string, recipient_canon_id string, amount_sum double, n long, batch int"
+    merged = spark.read.schema(kind).parquet(out).groupBy("day", "sender_id", "recipient_canon_id")
+    merged = merged.agg(F.sum("amount_sum").alias("amount_sum"), F.sum("n").alias("n"))
+    return merged.select(
         F.col("day").cast("string").alias("day"), "sender_id", "recipient_canon_id", fx.round6("amount_sum").alias("amount_sum"), "n"
     )
