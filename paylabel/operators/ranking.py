@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylabel.session import ensure_checkpoint_dir
+
 
 def bucketed_rank(
     df: DataFrame,
@@ -41,50 +43,34 @@ def bucketed_rank(
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: list[float], accuracy: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, qs: list[float]) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas 'linear', DuckDB ``quantile_cont``).
 
-    Exact without sorting the whole column in one task: a mergeable sketch
-    (``percentile_approx``) brackets each target rank, one distributed pass
-    counts the rows below each bracket, and only the rows inside a bracket
-    (about ``4n/accuracy`` of them) are ranked.  The sketch results enter the
-    later passes as scalar subqueries.  Returns ``(q_idx, q, value)``.
+    One scan counts the rows of each distinct value, so a value that most rows share is one
+    row; the counts are dealt by range of value and checkpointed; running sums within each
+    range start at the total of the ranges before it, for which one row per range meets in
+    one window.  Returns ``(q_idx, q, value)``.
     """
-    m = len(qs)
+    ensure_checkpoint_dir(df.sparkSession)
     x = F.col(value).cast("double")
-    base = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    # the row count sets the bracket width: the sketch's rank error is n/accuracy,
-    # and the two interpolation neighbours may sit up to two ranks from q*n
-    n_rows = base.count()
-    if accuracy is None:
-        # keep the ranked bracket near 4M rows per quantile; sketch size grows with accuracy
-        accuracy = int(min(1_000_000, max(10_000, n_rows // 4_000_000)))
-    eps = 2.0 / accuracy + (2.0 / n_rows if n_rows else 0.0)
-    stats = base.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_x", [max(0.0, q - eps) for q in qs], accuracy).alias("lo"),
-        F.percentile_approx("_x", [min(1.0, q + eps) for q in qs], accuracy).alias("hi"),
-    )
-    n = stats.select("n").scalar()
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    counts = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")).groupBy("_x").agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.repartitionByRange("_x").withColumn("range", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.groupBy("range").agg(F.sum("c").alias("total")).withColumn("start", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    n = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    within = Window.partitionBy("range").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("inside", F.coalesce(F.sum("c").over(within), F.lit(0))).join(starts.select("range", "start"), "range")
+    first = F.col("start") + F.col("inside")  # rank, from 0, of a value's first row; its last is first + c - 1
     qarr = F.array(*[F.lit(float(q)) for q in qs])
-    below = base.agg(
-        F.array(*[F.count_if(F.col("_x") < F.element_at(lo, i + 1)) for i in range(m)]).alias("below")
+    wanted = F.transform(
+        qarr, lambda q, i: F.struct(i.alias("q_idx"), ((F.lit(n) - 1) * q).alias("h"))
     )
-    hits = [
-        F.when((F.col("_x") >= F.element_at(lo, i + 1)) & (F.col("_x") <= F.element_at(hi, i + 1)), F.lit(i))
-        for i in range(m)
-    ]
-    inside = base.select("_x", F.explode(F.array_compact(F.array(*hits))).alias("q_idx"))
-    below_arr = below.select("below").scalar()
-    w = Window.partitionBy("q_idx").orderBy("_x")
-    ranked = inside.withColumn("pos", F.element_at(below_arr, F.col("q_idx") + 1) + F.row_number().over(w) - 1)
-    h = (n - 1) * F.element_at(qarr, F.col("q_idx") + 1)
-    ranked = ranked.withColumn("h", h)
-    picks = ranked.where((F.col("pos") == F.floor("h")) | (F.col("pos") == F.floor("h") + 1)).groupBy("q_idx", "h").agg(
-        F.max(F.when(F.col("pos") == F.floor("h"), F.col("_x"))).alias("v0"),
-        F.max(F.when(F.col("pos") == F.floor("h") + 1, F.col("_x"))).alias("v1"),
+    covers = lambda w: (F.floor(w["h"]) + 1 >= first) & (F.floor(w["h"]) < first + F.col("c"))
+    hits = placed.select("_x", "c", first.alias("first"), F.explode(F.filter(wanted, covers)).alias("w")).select("_x", "c", "first", "w.*")
+    at = lambda pos: (F.col("first") <= pos) & (pos < F.col("first") + F.col("c"))
+    picks = hits.groupBy("q_idx", "h").agg(
+        F.max(F.when(at(F.floor("h")), F.col("_x"))).alias("v0"),
+        F.max(F.when(at(F.floor("h") + 1), F.col("_x"))).alias("v1"),
     )
     frac = F.col("h") - F.floor("h")
     v1 = F.coalesce(F.col("v1"), F.col("v0"))

@@ -3,9 +3,9 @@
 * ``stream_score`` — transaction files arriving in a folder are scored by the
   cascade in micro-batches (``foreachBatch``: each batch runs the exact batch
   cascade against the static stores and replies, so batch = stream).
-* ``stream_daily_edges`` — per-day sender -> recipient activity as an
-  event-time tumbling window with a watermark; a day is emitted once the
-  watermark passes its end (append mode).
+* ``stream_daily_edges`` — per-day sender -> recipient activity: each micro-batch
+  stores its own sums under its id and a reader merges them, so all days and late
+  rows count (``daily_edges_stream`` is the watermarked append form).
 
 Both run with ``trigger(availableNow=True)`` so they drain what is present and
 stop; on a cluster the same code runs with a processing-time trigger.

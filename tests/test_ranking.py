@@ -14,7 +14,7 @@ from paylabel.operators.ranking import bucketed_rank, exact_quantiles
 def test_exact_quantiles_match_numpy(spark, xs):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     qs = [0.0, 0.2, 0.5, 0.8, 1.0]
-    got = sorted((r.q_idx, r.value) for r in exact_quantiles(df, "x", qs, accuracy=50).collect())
+    got = sorted((r.q_idx, r.value) for r in exact_quantiles(df, "x", qs).collect())
     want = np.quantile(np.array(xs), qs)
     assert [i for i, _ in got] == list(range(len(qs)))
     assert np.allclose([v for _, v in got], want, rtol=1e-12, atol=1e-9)
@@ -36,3 +36,12 @@ def test_global_bucketed_rank(spark):
     got = [r.v for r in ranked.orderBy("pos").select("v").collect()]
     assert got == sorted(got)
     assert ranked.agg(F.min("pos"), F.max("pos"), F.countDistinct("pos")).first() == (1, 5000, 5000)
+
+
+def test_quantiles_of_tied_values(spark):
+    df = spark.range(0, 20000).select(F.when(F.col("id") % 100 == 0, F.col("id").cast("double")).otherwise(F.lit(7.0)).alias("x"))
+    xs = np.array([r.x for r in df.collect()])
+    qs = [0.0, 0.004, 0.005, 0.5, 0.995, 0.9951, 1.0]
+    got = [r.value for r in exact_quantiles(df, "x", qs).orderBy("q_idx").collect()]
+    assert np.allclose(got, np.quantile(xs, qs))
+    assert exact_quantiles(df.limit(0), "x", qs).count() == 0
