@@ -9,15 +9,16 @@ A document's set is its distinct word shingles (64-bit hashes of whole five-word
    slice.
 2. *Classes.*  Documents with equal sets (128-bit digest) form one class; only its smallest
    id goes on.  Copies are thus never paired with each other.
-3. *Banding.*  Each class has BANDS keys of ROWS coordinates; a pair at the least linked
-   similarity shares no key with probability (1 - 0.85^6)^24, about 1e-5.
+3. *Banding.*  Each class has one key for each band of coordinates; rows and bands follow
+   from the least linked similarity (``scheme``), at which a pair shares no key with
+   probability MISS or less.
 4. *Leaders.*  In every bucket each member is paired with the bucket's smallest member: at
    most one pair per class and band, whatever the bucket's size.  Pairs are confirmed by
    exact Jaccard over the full sets, and confirmed links give first components.
 5. *The rest.*  Buckets that still span several components are open.  Open buckets that share
    members form regions, and each region is searched completely: its members outside the
    region's largest component against all its members, in cells of two blocks of bounded
-   size.  A pair of different components whose signatures agree in at least AGREE of K
+   size.  A pair of different components whose signatures agree in at least ``agree`` of K
    coordinates (five standard deviations below the least linked similarity) is confirmed by
    exact Jaccard in the cell, which returns links only.  No partner or candidate is capped or
    dropped, and no pairs are emitted.
@@ -33,7 +34,9 @@ empty table gives no rows.  Only doc_id and the text column are read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +47,13 @@ from .common import worker_cache, written
 from .components import connected_components
 
 WORDS = 5
-PERCENT = 85
-ROWS, BANDS = 6, 24
-K = ROWS * BANDS
+#: Least linked similarity, in percent, where the caller names none.
+PERCENT = 80
+#: Probability that a pair at the least linked similarity shares one band, about, and none.
+BAND, MISS = 0.35, 1.2e-5
 PLACE_BITS = 22
 #: Low bits of a coordinate that the signature comparison keeps.
 BYTE = 0xFF
-AGREE = int(K * PERCENT / 100 - 5 * (K * PERCENT / 100 * (1 - PERCENT / 100)) ** 0.5)
 #: Members of one block of a complete bucket search.
 BLOCK = 512
 #: Shingles of such a block, about: bounds a cell's memory when documents are long.
@@ -62,6 +65,31 @@ PARTNERS = 256
 STEP, MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+class Scheme(NamedTuple):
+    percent: int
+    rows: int
+    bands: int
+
+    @property
+    def k(self) -> int:
+        """Coordinates of a signature."""
+        return self.rows * self.bands
+
+    @property
+    def agree(self) -> int:
+        """Agreeing coordinates, five standard deviations below a pair at the least similarity."""
+        mean = self.k * self.percent / 100
+        return int(mean - 5 * (mean * (1 - self.percent / 100)) ** 0.5)
+
+
+def scheme(percent: int = PERCENT) -> Scheme:
+    """6 rows and 24 bands at 85 percent, 5 and 29 at 80."""
+    if not 0 < percent < 100:
+        raise ValueError(f"percent must lie between 1 and 99, not {percent}")
+    rows = max(1, round(math.log(BAND) / math.log(percent / 100)))
+    return Scheme(percent, rows, math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** rows))))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words."""
     x = (x ^ (x >> np.uint64(30))) * MIX_A
@@ -85,64 +113,67 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(acc + np.uint64(size < words and size))
 
 
-def second_permutation(places: int = 2**PLACE_BITS, shifts: int = K) -> np.ndarray:
+def second_permutation(shifts: int, places: int = 2**PLACE_BITS) -> np.ndarray:
     """The shifted permutation: a table over the places, wrapped so that every shift is a slice."""
     table = np.random.default_rng(20240917).permutation(places).astype(np.uint32)
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([table, table[: shifts - 1]]), shifts)
 
 
 def signature(sets: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """K minima; the first permutation is applied here."""
+    """One minimum for each shift; the first permutation is applied here."""
     with np.errstate(over="ignore"):
         places = mix(sets * STEP + MIX_B) >> np.uint64(64 - PLACE_BITS)
-    out = np.full(K, np.iinfo(np.uint32).max, np.uint32)
+    out = np.full(windows.shape[1], np.iinfo(np.uint32).max, np.uint32)
     for i in range(0, len(places), 1024):
         np.minimum(out, windows[places[i : i + 1024]].min(axis=0), out=out)
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
+def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        acc = np.arange(1, BANDS + 1, dtype=np.uint64) * MIX_A
-        for column in sig.reshape(BANDS, ROWS).T.astype(np.uint64):
+        acc = np.arange(1, bands + 1, dtype=np.uint64) * MIX_A
+        for column in sig.reshape(bands, -1).T.astype(np.uint64):
             acc = mix(acc * STEP + column + np.uint64(1))
     return acc.view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    windows = worker_cache("circulant", second_permutation)
-    for batch in batches:
-        sizes, digests, sigs, keys = [], [], [], []
-        for text in batch.column("text").to_pylist():
-            s = shingles(text)
-            sizes.append(len(s))
-            if len(s):
-                sig = signature(s, windows)
-                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                sigs.append((sig & BYTE).astype(np.uint8).tobytes())
-                keys.append(band_keys(sig))
-            else:
-                digests.append(None)
-                sigs.append(None)
-                keys.append(np.empty(0, np.int64))
-        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-        flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array(sizes, pa.int64()),
-                pa.array(digests, pa.binary()),
-                pa.array(sigs, pa.binary()),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-            ],
-            names=["doc_id", "n_shingles", "digest", "sig", "keys"],
-        )
-
-
-def sign(docs: DataFrame) -> DataFrame:
+def _sign(plan: Scheme):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = worker_cache(f"circulant{plan.k}", lambda: second_permutation(plan.k))
+        for batch in batches:
+            sizes, digests, sigs, keys = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                s = shingles(text)
+                sizes.append(len(s))
+                if len(s):
+                    sig = signature(s, windows)
+                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    sigs.append((sig & BYTE).astype(np.uint8).tobytes())
+                    keys.append(band_keys(sig, plan.bands))
+                else:
+                    digests.append(None)
+                    sigs.append(None)
+                    keys.append(np.empty(0, np.int64))
+            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(sigs, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                ],
+                names=["doc_id", "n_shingles", "digest", "sig", "keys"],
+            )
+
+    return run
+
+
+def sign(docs: DataFrame, plan: Scheme) -> DataFrame:
     """doc_id, n_shingles, digest, sig (low bytes of the K coordinates), keys (bands)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(_sign, "doc_id bigint, n_shingles bigint, digest binary, sig binary, keys array<bigint>")
+    return rows.mapInArrow(_sign(plan), "doc_id bigint, n_shingles bigint, digest binary, sig binary, keys array<bigint>")
 
 
 def _route_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +213,7 @@ def _compare(percent: int):
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets have 100 * intersection >= percent * union.
 
     Each text goes to its partners' v, where v's own text stands first; a v with many partners
@@ -215,14 +246,14 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(items, pa.binary())], names=["rep", "items"])
 
 
-def _search(percent: int):
+def _search(plan: Scheme):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Cells of a region: each row holds a block of outsiders and a block of members."""
         for batch in batches:
             for row in batch.to_pylist():
                 left, right = row["x"], row["y"]
-                ls = np.frombuffer(b"".join(m["sig"] for m in left), np.uint8).reshape(-1, K)
-                rs = np.frombuffer(b"".join(m["sig"] for m in right), np.uint8).reshape(-1, K)
+                ls = np.frombuffer(b"".join(m["sig"] for m in left), np.uint8).reshape(-1, plan.k)
+                rs = np.frombuffer(b"".join(m["sig"] for m in right), np.uint8).reshape(-1, plan.k)
                 sets = [np.frombuffer(m["items"], np.uint64) for m in right]
                 sizes = np.array([len(s) for s in sets])
                 component = np.array([m["component"] for m in right], np.int64)
@@ -237,13 +268,13 @@ def _search(percent: int):
                 for k, x in enumerate(left):
                     mine = np.frombuffer(x["items"], np.uint64)
                     agree = (rs == ls[k]).sum(axis=1)
-                    near = (agree >= AGREE) & (100 * np.minimum(sizes, len(mine)) >= percent * np.maximum(sizes, len(mine)))
+                    near = (agree >= plan.agree) & (100 * np.minimum(sizes, len(mine)) >= plan.percent * np.maximum(sizes, len(mine)))
                     for at in np.flatnonzero(near & (component != x["component"])):
                         a, b = find(x["component"]), find(int(component[at]))
                         if a == b:
                             continue
                         common = len(np.intersect1d(mine, sets[at], assume_unique=True))
-                        if 100 * common >= percent * (len(mine) + len(sets[at]) - common):
+                        if 100 * common >= plan.percent * (len(mine) + len(sets[at]) - common):
                             root[max(a, b)] = min(a, b)
                             us.append(x["component"])
                             vs.append(int(component[at]))
@@ -252,7 +283,7 @@ def _search(percent: int):
     return run
 
 
-def _rest(members: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+def _rest(members: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataFrame, plan: Scheme) -> DataFrame:
     """Links (u, v) between first components whose members share an open bucket."""
     m = members.join(labels, "rep").join(labels.select(F.col("rep").alias("leader"), F.col("component").alias("home")), "leader")
     is_open = m.groupBy("key").agg(F.max((F.col("component") != F.col("home")).cast("int")).alias("open")).where("open = 1")
@@ -288,13 +319,14 @@ def _rest(members: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataFra
     y = m.select("region", spread(2, "by").alias("j"), every("bx").alias("i"), entry.alias("e"))
     x = x.groupBy("region", "i", "j").agg(F.collect_list("e").alias("x"))
     y = y.groupBy("region", "i", "j").agg(F.collect_list("e").alias("y"))
-    return x.join(y, ["region", "i", "j"]).select("x", "y").mapInArrow(_search(percent), "u bigint, v bigint").distinct()
+    return x.join(y, ["region", "i", "j"]).select("x", "y").mapInArrow(_search(plan), "u bigint, v bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document."""
+def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document; sets link from ``percent`` Jaccard on."""
+    plan = scheme(percent)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = written(sign(texts), "neardup_signatures")
+    signed = written(sign(texts, plan), "neardup_signatures")
 
     reps = written(
         signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
@@ -307,10 +339,10 @@ def near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     members = written(bands.join(buckets, "key").distinct(), "neardup_members")
 
     first = members.where("rep <> leader").select(F.col("rep").alias("u"), F.col("leader").alias("v")).distinct()
-    links = written(confirm(written(first, "neardup_pairs"), texts), "neardup_links")
+    links = written(confirm(written(first, "neardup_pairs"), texts, percent), "neardup_links")
     labels = written(_label(reps.select("rep").distinct(), connected_components(links, "u", "v")), "neardup_labels")
 
-    bridges = written(_rest(members, reps, labels, texts), "neardup_bridges")
+    bridges = written(_rest(members, reps, labels, texts, plan), "neardup_bridges")
     joined = connected_components(bridges, "u", "v")
     final = labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select(
         "rep", F.coalesce("root", "component").alias("component")

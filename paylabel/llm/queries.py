@@ -83,7 +83,7 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

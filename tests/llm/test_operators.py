@@ -232,7 +232,8 @@ def test_main_text_of_pages(spark):
     assert htmlmain.extract(pages.limit(0)).count() == 0
 
 
-def test_near_duplicates_match_brute_force(spark):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_match_brute_force(spark, percent):
     rnd = random.Random(8)
     word = lambda: "".join(rnd.choice("abcdefg") for _ in range(4))
     texts = list(ODD)
@@ -242,7 +243,7 @@ def test_near_duplicates_match_brute_force(spark):
         base[rnd.randrange(len(base))] = word()
         texts.append(" ".join(base))
     texts += ["  ".join(texts[12].upper().split()), "w1 w2 w3 w4", "W1 w2\nw3 w4", "w1 w2 w3"]
-    got = {r.doc_id: r for r in neardup.near_duplicates(docs_of(spark, texts)).collect()}
+    got = {r.doc_id: r for r in neardup.near_duplicates(docs_of(spark, texts), percent=percent).collect()}
 
     def shingles(text):
         words = (text or "").encode().lower().split()
@@ -258,7 +259,7 @@ def test_near_duplicates_match_brute_force(spark):
 
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     for i, s in sets.items():
