@@ -80,10 +80,16 @@ def ctx_vector(art: CtxArtifacts, text_vec: str = "_text_vec") -> F.Column:
     )
 
 
+def with_ctx_vector(txn: DataFrame, art: CtxArtifacts) -> DataFrame:
+    """The transactions' columns and ``ctx_vec``."""
+    num = with_hashed_sentence_vector(numeric_features(txn), "msg_content", art.text_dim, "_text_vec")
+    return num.select(*txn.columns, ctx_vector(art).alias("ctx_vec"))
+
+
 def build_ctx(txn: DataFrame, art: CtxArtifacts, mode: str = "inference") -> DataFrame:
     """Context table: ``txn_id, ctx_vec`` (+ training columns in ``mode='train'``)."""
-    num = with_hashed_sentence_vector(numeric_features(txn), "msg_content", art.text_dim, "_text_vec")
-    cols = [F.col("txn_id").cast("string").alias("txn_id"), ctx_vector(art).alias("ctx_vec")]
+    num = with_ctx_vector(txn, art)
+    cols = [F.col("txn_id").cast("string").alias("txn_id"), F.col("ctx_vec")]
     if mode == "train":
         cols += [fx.txn_date().alias("txn_date"), "sender_id", "recipient_entity_id"]
         if "category" in txn.columns:
@@ -122,6 +128,19 @@ def fit_ctx_embedding(ctx: DataFrame, k: int = 128):
     return model, mse
 
 
+def load_ctx_embedding(path: str):
+    from pyspark.ml.feature import PCAModel
+
+    return PCAModel.load(path)
+
+
+def embed(ctx: DataFrame, model) -> DataFrame:
+    """Adds ``ctx_emb``, the fitted embedding of ``ctx_vec``."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    return model.transform(ctx.withColumn("x", array_to_vector("ctx_vec"))).withColumn("ctx_emb", vector_to_array("z")).drop("x", "z")
+
+
 def fit_word2vec(docs: DataFrame, text_col: str = "msg_content", dim: int = 16, min_count: int = 1, seed: int = 42):
     """Word2Vec fitted on the memo corpus; its ``getVectors()`` is a word-vector table
     for ``sentence_vector_from_table`` (the join form never broadcasts the vocabulary)."""

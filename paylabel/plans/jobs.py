@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylabel.plans import context, stores, training
+from paylabel.plans import context, scoring, stores, training
 from paylabel.plans.encoders import fit_next_event_models
 from paylabel.operators import snapshots
 from paylabel.operators.ranking import exact_quantiles
@@ -21,6 +21,16 @@ from paylabel.sources import io
 
 REQUIRED_TABLES = ["transactions", "recipient_entity", "merchant_profile", "person_profile"]
 
+#: Reported name and folder of each fitted artifact.
+ARTIFACTS = {
+    "ctx_artifacts": "ctx",
+    "ctx_embedding": "ctx_pca",
+    "amount_quantiles": "amount_quantiles",
+    "next_event_type": "next_event_y_type",
+    "next_event_amount": "next_event_y_amount",
+    "classifier": "classifier",
+}
+
 
 @dataclass
 class Paths:
@@ -46,20 +56,21 @@ class Paths:
 def check_inputs(spark: SparkSession, data: dict[str, DataFrame | None], paths: Paths) -> DataFrame:
     """Presence report of the input tables and fitted artifacts."""
     rows = [(name, "table", data.get(name) is not None) for name in REQUIRED_TABLES]
-    rows.append(("ctx_artifacts", "artifact", io.path_exists(spark, f"{paths.artifacts}/ctx")))
+    for item, folder in ARTIFACTS.items():
+        rows.append((item, "artifact", io.path_exists(spark, f"{paths.artifacts}/{folder}")))
     rows.append(("x_snd", "store", bool(io.stored_dates(spark, paths.x_snd))))
     rows.append(("x_rcv", "store", bool(io.stored_dates(spark, paths.x_rcv))))
     return spark.createDataFrame(rows, "item string, kind string, present boolean")
 
 
-def fit_encoders(spark: SparkSession, data: dict[str, DataFrame], paths: Paths, text_dim: int = 16) -> context.CtxArtifacts:
+def fit_encoders(spark: SparkSession, data: dict[str, DataFrame], paths: Paths, text_dim: int = 16, emb_dim: int = 128) -> context.CtxArtifacts:
     """Fit context artifacts (scaler, vocabularies), the PCA context embedding and
     the next-event models; save the artifacts and the amount quantiles."""
     t = data["transactions"]
     art = context.fit_ctx(t, text_dim)
     art.save(spark, f"{paths.artifacts}/ctx")
     ctx = context.build_ctx(t, art)
-    model, _ = context.fit_ctx_embedding(ctx, 128)
+    model, _ = context.fit_ctx_embedding(ctx, emb_dim)
     io.save_model(model, f"{paths.artifacts}/ctx_pca")
     ev = snapshots.event_features(t, art.tt_vocab, art.ch_vocab)
     q = exact_quantiles(ev, "amount_log", [0.2, 0.4, 0.6, 0.8])
@@ -67,13 +78,17 @@ def fit_encoders(spark: SparkSession, data: dict[str, DataFrame], paths: Paths,
     edges = [q.where(F.col("q_idx") == i).select("value").scalar() for i in range(4)]
     hist = snapshots.sender_history(ev.withColumn("amt_bin", fx.bin_by_edges("amount_log", edges)))
     ex = snapshots.next_event_examples(hist, ["amount_log", "hour_sin", "hour_cos", "tt_idx", "ch_idx"], ["tt_idx", "amt_bin"])
-    io.save_table(fit_next_event_models(ex, len(art.tt_vocab)), f"{paths.artifacts}/next_event_losses")
+    heads, losses = fit_next_event_models(ex, len(art.tt_vocab))
+    for head, fitted in heads.items():
+        io.save_model(fitted, f"{paths.artifacts}/next_event_{head}")
+    io.save_table(losses, f"{paths.artifacts}/next_event_losses")
     return art
 
 
 def build_ctx(spark: SparkSession, data: dict[str, DataFrame], paths: Paths, mode: str = "inference") -> DataFrame:
     art = context.CtxArtifacts.load(spark, f"{paths.artifacts}/ctx")
     out = context.build_ctx(data["transactions"], art, mode)
+    out = context.embed(out, context.load_ctx_embedding(f"{paths.artifacts}/ctx_pca"))
     io.sink_ctx(out, f"{paths.ctx}_{mode}")
     return spark.read.parquet(f"{paths.ctx}_{mode}")
 
@@ -106,7 +121,7 @@ def fit_classifier(
     art = context.CtxArtifacts.load(spark, f"{paths.artifacts}/ctx")
     ctx = spark.read.parquet(f"{paths.ctx}_train")
     snd_dim = len(snapshots.state_dims(art.tt_vocab, art.ch_vocab))
-    ts = training.training_set(spark, ctx, paths.x_snd, paths.x_rcv, io.scan_label_map(spark), snd_dim, svd_dim + hash_dim, lookback_days)
+    ts = training.training_set(spark, ctx, paths.x_snd, paths.x_rcv, io.scan_label_map(spark), snd_dim, svd_dim + hash_dim, lookback_days, ctx_col="ctx_emb")
     ts = ts.where("is_valid")
     if split_method == "date":
         split = training.temporal_split(ts, val_split)
@@ -128,8 +143,18 @@ def run_inference_features(spark, data, paths: Paths):
     build_recipient_store(spark, data, paths)
 
 
-def run_training(spark, data, paths: Paths, **clf_args):
-    fit_encoders(spark, data, paths)
+def score_requests(spark: SparkSession, requests: DataFrame, paths: Paths) -> DataFrame:
+    """``txn_id, logits, prob`` of the requests whose sender and recipient are stored."""
+    return scoring.score_requests(requests, scoring.load_scorer(spark, paths.artifacts, paths.x_snd, paths.x_rcv))
+
+
+def classify_requests(spark: SparkSession, requests: DataFrame, replies: DataFrame, paths: Paths) -> tuple[DataFrame, DataFrame]:
+    """``(decided, rejected)`` by rules, external replies and the trained model."""
+    return scoring.classify_requests(requests, scoring.load_scorer(spark, paths.artifacts, paths.x_snd, paths.x_rcv), replies)
+
+
+def run_training(spark, data, paths: Paths, text_dim: int = 16, emb_dim: int = 128, **clf_args):
+    fit_encoders(spark, data, paths, text_dim, emb_dim)
     build_ctx(spark, data, paths, "train")
     build_sender_store(spark, data, paths)
     build_recipient_store(spark, data, paths)

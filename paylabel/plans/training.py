@@ -45,24 +45,29 @@ def training_set(
     rcv_dim: int,
     lookback_days: int = 1,
     recipient_key: str = "raw",
+    ctx_col: str = "ctx_vec",
 ) -> DataFrame:
     """Context ⟕ sender snapshot ⟕ recipient snapshot at ``txn_date - lookback``.
 
     ``recipient_key='raw'`` joins the raw ``recipient_entity_id`` (reference
     behaviour: merchant-only rows get zeros); ``'canonical'`` joins the
     canonical id when the context table carries ``recipient_canon_id``.
-    Output adds ``features`` (ctx ‖ snd ‖ rcv), ``label_idx``, ``is_valid``.
+    Output adds ``features`` (``ctx_col`` ‖ snd ‖ rcv), ``label_idx``, ``is_valid``.  A store
+    without any snapshot is an error, a date without one gives zeros.
     """
     require_columns(ctx)
     base = ctx.withColumn("_feature_date", fx.feature_date("txn_date", lookback_days))
     wanted = base.select("_feature_date").distinct()
     snd = io.scan_snapshots(spark, snd_root, wanted)
     rcv = io.scan_snapshots(spark, rcv_root, wanted)
+    for tower, found in ((snd_root, snd), (rcv_root, rcv)):
+        if found is None:
+            raise ValueError(f"The feature store {tower} is empty. Build it before the training set.")
     j = pit_join(base, snd, "sender_id", "snd_emb", snd_dim)
     rkey = "recipient_canon_id" if recipient_key == "canonical" else "recipient_entity_id"
     j = pit_join(j, rcv, rkey, "rcv_emb", rcv_dim, snap_key="recipient_canon_id")
     j = label_lookup(j, label_map)
-    return j.withColumn("features", fx.concat_vectors("ctx_vec", "snd_emb", "rcv_emb")).withColumn(
+    return j.withColumn("features", fx.concat_vectors(ctx_col, "snd_emb", "rcv_emb")).withColumn(
         "is_valid", F.col("label_idx") >= 0
     )
 
@@ -112,7 +117,8 @@ def fit_classifier(
     seed: int = 42,
 ):
     """Multilayer perceptron (distributed L-BFGS); the candidate with the lowest
-    validation log-loss wins, stopping after ``patience`` non-improving ones.
+    validation log-loss wins, stopping after ``patience`` non-improving ones.  Each candidate
+    goes on from the weights of the one before it, so ``max_iters`` are totals.
 
     Returns ``(model, metrics_df)``.
     """
@@ -127,12 +133,17 @@ def fit_classifier(
     tr, va = prep(train), prep(val)
     d = train.select(F.size("features")).first()[0]
     best, best_loss, best_metrics, bad = None, math.inf, None, 0
+    done, weights = 0, None
     for it in max_iters:
         mlp = MultilayerPerceptronClassifier(
-            featuresCol="fv", labelCol="label_d", layers=[d, *hidden, n_classes], maxIter=it, seed=seed, blockSize=128
+            featuresCol="fv", labelCol="label_d", layers=[d, *hidden, n_classes], maxIter=it - done, seed=seed, blockSize=128
         )
+        if weights is not None:
+            mlp.setInitialWeights(weights)
         model = mlp.fit(tr)
-        scored = score_batch(model, va)
+        done, weights = it, model.weights
+        # every metric reads the scored rows: score them once
+        scored = score_batch(model, va).select("label", "pred", "logits", "prob").checkpoint(eager=True)
         metrics = evaluate(scored, n_classes)
         loss = metrics.select("log_loss").first()[0]
         if loss < best_loss - 1e-9:
@@ -144,11 +155,23 @@ def fit_classifier(
     return best, best_metrics
 
 
+def load_classifier(path: str):
+    from pyspark.ml.classification import MultilayerPerceptronClassificationModel
+
+    return MultilayerPerceptronClassificationModel.load(path)
+
+
+def class_probabilities(model, df: DataFrame) -> DataFrame:
+    """``logits`` and ``prob`` for a table with ``fv`` or ``features``; labels are not needed."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    rows = df if "fv" in df.columns else df.withColumn("fv", array_to_vector("features"))
+    return model.transform(rows).withColumn("logits", vector_to_array("rawPrediction")).withColumn("prob", fx.softmax("logits"))
+
+
 def score_batch(model, df: DataFrame) -> DataFrame:
     """``logits``, ``prob``, ``pred`` and ``confidence`` for a feature table."""
-    from pyspark.ml.functions import vector_to_array
-
-    out = model.transform(df).withColumn("logits", vector_to_array("rawPrediction")).withColumn("prob", fx.softmax("logits"))
+    out = class_probabilities(model, df)
     return out.withColumn("pred", fx.argmax("prob")).withColumn("confidence", F.array_max("prob")).withColumn(
         "label", F.col("label_idx").cast("int")
     )

@@ -1476,7 +1476,7 @@ def q_ctx_embedding(spark, sf):
 def q_next_event_models(spark, sf):
     from paylabel.plans.encoders import fit_next_event_models
 
-    return fit_next_event_models(_examples(spark, sf), n_types=len(vocabs(spark, sf)[0]))
+    return fit_next_event_models(_examples(spark, sf), n_types=len(vocabs(spark, sf)[0]))[1]
 
 
 @register("train_classifier")
