@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from paylabel.operators import cascade as cz
 from paylabel.operators import graph, metrics, snapshots
 from paylabel.operators.ranking import bucketed_rank, exact_quantiles
-from paylabel.plans import context, stores, training
+from paylabel.plans import context, scoring, stores, training
 from paylabel.session import shared_path
 from paylabel.sources import fixtures, io
 
@@ -84,6 +84,9 @@ def sender_states(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.sender_state(ev, spec.tt_vocab, spec.ch_vocab, spec.lookback_days, spec.half_life_days)
 
 
+#: Width of the context embedding: below the context vector's 26, so that it is learned.
+EMB_DIM = 16
+
 #: Stores that queries only read: built once per application and input.
 _BUILT: dict[tuple[str, str, str], tuple] = {}
 
@@ -1386,6 +1389,13 @@ dec AS (
 )
 
 
+#: With trained vectors: rows whose sender or recipient has no stored vector fall back.
+_DECIDED_SQL = """CASE WHEN r.success THEN 'layer1_rule' WHEN l2.l2ok THEN 'layer2_llm'
+              WHEN q.txn_id IN (SELECT txn_id FROM txn WHERE sender_id IN (SELECT sender_id FROM feat)
+                                AND recipient_entity_id IN (SELECT recipient_canon_id FROM feat)) THEN 'layer3_model'
+              ELSE 'fallback_oth' END AS decided_by"""
+
+
 def _cascade(spark: SparkSession, sf: str) -> DataFrame:
     t = txn(spark, sf)
     req = cz.validate_requests(cz.requests_from_transactions(t)).where("is_valid").drop("is_valid", "reject_reason")
@@ -1468,7 +1478,7 @@ def q_recipient_snapshot(spark, sf):
 @register("ctx_embedding")
 def q_ctx_embedding(spark, sf):
     c = context.build_ctx(txn(spark, sf), ctx_art(spark, sf))
-    model, mse = context.fit_ctx_embedding(c, 128)
+    model, mse = context.fit_ctx_embedding(c, EMB_DIM)
     return mse.select(F.lit(model.getK()).alias("k"), r6("mse").alias("reconstruction_mse"))
 
 
@@ -1479,24 +1489,85 @@ def q_next_event_models(spark, sf):
     return fit_next_event_models(_examples(spark, sf), n_types=len(vocabs(spark, sf)[0]))[1]
 
 
+def trained_parts(spark: SparkSession, sf: str) -> dict:
+    """Classifier, its validation metrics, scored rows and scorer: trained once per application and input."""
+    key = (spark.sparkContext.applicationId, sf, "trained")
+    if key not in _BUILT:
+        root = shared_path(spark, "artifacts", "trained", unique=True)
+        art = ctx_art(spark, sf)
+        ctx = context.build_ctx(txn(spark, sf), art, mode="train")
+        embedder, _ = context.fit_ctx_embedding(ctx, EMB_DIM)
+        sroot, sspec = built_sender_store(spark, sf, "trained")
+        rroot, rspec = built_recipient_store(spark, sf, "trained")
+        ctx = context.embed(ctx, embedder)
+        ts = training.training_set(spark, ctx, sroot, rroot, label_map(spark), sspec.dim, rspec.dim, lookback_days=1, ctx_col="ctx_emb")
+        ts = ts.where("is_valid").select("txn_id", "txn_date", "features", "label_idx").checkpoint(eager=True)
+        split = training.temporal_split(ts, 0.2).checkpoint(eager=True)
+        model, m = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10)
+        # saved and loaded, as the jobs do
+        art.save(spark, f"{root}/ctx")
+        io.save_model(embedder, f"{root}/ctx_pca")
+        io.save_model(model, f"{root}/classifier")
+        _BUILT[key] = {"metrics": m.checkpoint(eager=True), "rows": split, "scorer": scoring.load_scorer(spark, root, sroot, rroot)}
+    return _BUILT[key]
+
+
 @register("train_classifier")
 def q_train_classifier(spark, sf):
-    ts = build_training_set(spark, sf, "clf").where("is_valid").select("txn_id", "txn_date", "features", "label_idx").checkpoint(eager=True)
-    split = training.temporal_split(ts, 0.2).checkpoint(eager=True)
-    _, m = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden=(64, 32), max_iters=(20, 40), patience=1)
-    return m
+    return trained_parts(spark, sf)["metrics"]
 
 
-@register("score_batch")
+@register(
+    "score_batch",
+    O.with_("txn", "feat", "lm", _VALID) + "SELECT txn_id, true AS label_in_taxonomy, true AS confidence_in_range FROM valid",
+)
 def q_score_batch(spark, sf):
-    ts = build_training_set(spark, sf, "score").where("is_valid").select("txn_id", "txn_date", "features", "label_idx").checkpoint(eager=True)
-    split = training.temporal_split(ts, 0.2).checkpoint(eager=True)
-    model, _ = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden=(64, 32), max_iters=(20,), patience=1)
-    from pyspark.ml.functions import array_to_vector
-
-    scored = training.score_batch(model, split.where("split = 'val'").withColumn("fv", array_to_vector("features")))
-    lm = F.broadcast(label_map(spark).select(F.col("idx").alias("pred"), F.col("code").alias("pred_code")))
-    return scored.join(lm, "pred", "left").select("txn_id", F.coalesce("pred_code", F.lit("unknown")).alias("pred_code"), r6("confidence").alias("confidence"))
+    """All valid rows scored; the fitted outputs are checked by their domain."""
+    parts = trained_parts(spark, sf)
+    scored = training.score_batch(parts["scorer"].classifier, parts["rows"])
+    lm = F.broadcast(label_map(spark).select(F.col("idx").alias("pred"), F.col("code").alias("pred_code")))  # 10 rows
+    return scored.join(lm, "pred", "left").select(
+        "txn_id", F.col("pred_code").isNotNull().alias("label_in_taxonomy"), F.col("confidence").between(0.1 - 1e-9, 1.0 + 1e-9).alias("confidence_in_range")
+    )
+
+
+def _timed_requests(spark: SparkSession, sf: str) -> DataFrame:
+    t = txn(spark, sf)
+    return cz.requests_from_transactions(t).join(t.select("txn_id", "txn_time_utc"), "txn_id")
+
+
+@register(
+    "score_requests",
+    O.with_("txn", "feat")
+    + """SELECT txn_id, true AS sums_to_one FROM txn
+WHERE sender_id IN (SELECT sender_id FROM feat) AND recipient_entity_id IN (SELECT recipient_canon_id FROM feat)""",
+)
+def q_score_requests(spark, sf):
+    """Unlabelled requests scored with the trained parts; exactly those with stored vectors."""
+    s = scoring.score_requests(_timed_requests(spark, sf), trained_parts(spark, sf)["scorer"])
+    total = F.aggregate("prob", F.lit(0.0), lambda a, x: a + x)
+    return s.select("txn_id", (F.abs(total - 1.0) < 1e-9).alias("sums_to_one"))
+
+
+@register(
+    "cascade_model",
+    _CASCADE_SQL.replace("CASE WHEN r.success THEN 'layer1_rule' WHEN l2.l2ok THEN 'layer2_llm' ELSE 'layer3_model' END AS decided_by", _DECIDED_SQL)
+    + """SELECT txn_id, decided_by, CASE decided_by WHEN 'layer3_model' THEN 'model' WHEN 'fallback_oth' THEN 'OTH' ELSE final_label END AS label,
+       CAST(NULL AS VARCHAR) AS reject_reason FROM dec
+UNION ALL SELECT txn_id, 'rejected', NULL, CASE WHEN coalesce(trim(msg_content), '') = '' THEN 'message must not be empty'
+       WHEN amount IS NULL OR amount <= 0 THEN 'amount must be greater than 0' ELSE 'recipient_entity_id is required' END
+FROM txn WHERE txn_id NOT IN (SELECT txn_id FROM dec)""",
+)
+def q_cascade_model(spark, sf):
+    """Every request decided by rules, replies and the trained model, or rejected with its reason.
+
+    The model's own label is fitted, so it stands as ``model`` where it is in the taxonomy.
+    """
+    decided, rejected = scoring.classify_requests(_timed_requests(spark, sf), trained_parts(spark, sf)["scorer"], fixtures.external_replies(spark, sf))
+    by_model = (F.col("decided_by") == "layer3_model") & F.col("final_label").isin(label_codes(spark)) & F.col("final_confidence").between(0.0, 1.0)
+    return decided.select(
+        "txn_id", "decided_by", F.when(by_model, "model").otherwise(F.col("final_label")).alias("label"), F.lit(None).cast("string").alias("reject_reason")
+    ).unionByName(rejected.withColumn("decided_by", F.lit("rejected")), allowMissingColumns=True)
 
 
 @register("text_vector_word2vec")
