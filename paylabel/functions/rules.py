@@ -55,10 +55,12 @@ def type_rule(tranx_type: str | Column) -> Column:
 def keyword_hit_index(cleaned: Column) -> Column:
     """1-based position of the first matching keyword in priority order, 0 if none.
 
-    One boolean array of whole-word tests and a position lookup: a compact
-    expression that stays inside whole-stage codegen.
+    A chain of whole-word tests that ends at the first match.
     """
-    return F.array_position(F.array(*[keyword_match(cleaned, kw) for _, _, kw in ordered_keywords()]), True)
+    first = F
+    for i, (_, _, kw) in enumerate(ordered_keywords(), 1):
+        first = first.when(keyword_match(cleaned, kw), F.lit(i))
+    return first.otherwise(F.lit(0))
 
 
 def apply_rules(df: DataFrame, msg: str, tranx_type: str, label_codes: list[str] | None = None, out: str = "rule") -> DataFrame:
@@ -77,8 +79,9 @@ def apply_rules(df: DataFrame, msg: str, tranx_type: str, label_codes: list[str]
         by_type = F.when(F.array_contains(F.array(*[F.lit(c) for c in label_codes]), by_type), by_type)
     staged = (
         df.withColumn("_rule_clean", strip_accents(F.coalesce(F.col(msg), F.lit(""))))
-        .withColumn("_rule_kw", keyword_hit_index(F.col("_rule_clean")).cast("int"))
         .withColumn("_rule_type", by_type)
+        # rows that the type decides test no keyword
+        .withColumn("_rule_kw", F.when(F.col("_rule_type").isNull(), keyword_hit_index(F.col("_rule_clean"))))
     )
     labels = F.array(*[F.lit(lbl) for _, lbl, _ in ordered_keywords()])
     words = F.array(*[F.lit(kw) for _, _, kw in ordered_keywords()])

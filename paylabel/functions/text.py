@@ -1,13 +1,12 @@
 """Accent stripping and whole-word keyword matching.
 
 ``strip_accents`` is lower-case + NFKD + removal of combining marks.  Spark has
-no NFKD function, so the default mode is one JVM ``translate`` whose table is
-generated at import time from Python's own ``unicodedata`` by rule: every BMP
-character whose NFKD form, minus combining marks, is a single different
-character maps to it, and every combining mark is deleted.  Characters whose
-compatibility form is several characters (ligatures such as ``ﬁ``, Hangul
-syllables) are left unchanged in that mode; ``mode='exact'`` runs the real
-normalisation in an Arrow-batched pandas UDF.
+no NFKD function, so most rows take one JVM ``translate`` whose table is
+generated from Python's own ``unicodedata`` by rule: every BMP character whose
+NFKD form, minus combining marks, is a single different character maps to it,
+and every combining mark is deleted.  Only rows that hold a character beyond
+such a table (ligatures such as ``ﬁ``, Hangul syllables, mathematical letters)
+send their text through the real normalisation, an Arrow-batched pandas UDF.
 """
 
 from __future__ import annotations
@@ -46,12 +45,29 @@ def _translate_table() -> tuple[str, str]:
     return "".join(src) + "".join(marks), "".join(dst)
 
 
-def strip_accents(c: str | Column, mode: str = "translate") -> Column:
+@lru_cache(maxsize=1)
+def _beyond_table() -> str:
+    """Java character class of the characters whose stripped form the table cannot give."""
+    spans: list[list[int]] = []
+    for cp in range(0x80, 0x30000):
+        ch = chr(cp)
+        if 0xD800 <= cp <= 0xDFFF or (cp < 0x10000 and unicodedata.combining(ch)):
+            continue
+        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        if base != ch and (cp >= 0x10000 or len(base) != 1):
+            if spans and spans[-1][1] == cp - 1:
+                spans[-1][1] = cp
+            else:
+                spans.append([cp, cp])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in spans) + "]"
+
+
+def strip_accents(c: str | Column) -> Column:
     column = F.col(c) if isinstance(c, str) else c
-    if mode == "exact":
-        return _strip_exact(column)
     src, dst = _translate_table()
-    return F.translate(F.lower(column), src, dst)
+    # null for the rows that translate serves: their texts never leave the JVM
+    rest = F.when(column.rlike(_beyond_table()), column)
+    return F.coalesce(_strip_exact(rest), F.translate(F.lower(column), src, dst))
 
 
 @pandas_udf(StringType())

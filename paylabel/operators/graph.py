@@ -50,26 +50,16 @@ def active_recipients(txn: DataFrame) -> DataFrame:
 
 
 def copay_graph(edges: DataFrame, id_col: str = "recipient_canon_id", group_col: str = "sender_id") -> DataFrame:
-    """Gram matrix ``AᵀA`` of an edge list as ``(i, j, value)`` through block products.
+    """Per recipient its place in the co-payment graph ``AᵀA`` (senders x recipients ``A``).
 
-    ``BlockMatrix.multiply`` multiplies dense blocks shuffled by block index,
-    so a payer with many recipients costs one block product rather than a
-    pairwise expansion of its edges.  Indices come from ``zipWithIndex`` over
-    the distinct ids (a distributed numbering).
+    ``self_weight`` is the recipient's diagonal entry and ``strength`` its row sum,
+    ``Aᵀ(A·1)``: two sums and a join on the payer.  The matrix itself, one entry per pair of
+    recipients, is never formed, and no payer is capped.
     """
-    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
-
-    spark = edges.sparkSession
-    rows = edges.select(group_col).distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF([group_col, "_r"])
-    cols = edges.select(id_col).distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF([id_col, "_c"])
-    entries = edges.join(rows, group_col).join(cols, id_col).select("_r", "_c", "weight")
-    coo = CoordinateMatrix(entries.rdd.map(lambda r: MatrixEntry(r[0], r[1], float(r[2]))))
-    blocks = coo.toBlockMatrix(1024, 1024).cache()
-    gram = blocks.transpose().multiply(blocks).toCoordinateMatrix().entries
-    out = spark.createDataFrame(gram.map(lambda e: (int(e.i), int(e.j), float(e.value))), "i long, j long, value double")
-    names_i = cols.select(F.col("_c").alias("i"), F.col(id_col).alias("recipient_a"))
-    names_j = cols.select(F.col("_c").alias("j"), F.col(id_col).alias("recipient_b"))
-    return out.where(F.col("value") != 0).join(names_i, "i").join(names_j, "j").select("recipient_a", "recipient_b", "value")
+    payers = edges.groupBy(group_col).agg(F.sum("weight").alias("_paid"))
+    return edges.join(payers, group_col).groupBy(id_col).agg(
+        F.sum(F.col("weight") * F.col("weight")).alias("self_weight"), F.sum(F.col("weight") * F.col("_paid")).alias("strength")
+    )
 
 
 # -------------------------------------------------------------- metadata

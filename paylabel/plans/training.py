@@ -88,15 +88,21 @@ def temporal_split(df: DataFrame, val_split: float = 0.2, date_col: str = "txn_d
     return df.withColumn("split", F.when(F.unix_date(F.col(date_col)).cast("double") < cut, "train").otherwise("val"))
 
 
+#: Rows of one bucket of a label's rank, about.
+RANK_BUCKET_ROWS = 4096
+
+
 def stratified_split(df: DataFrame, val_split: float = 0.2, seed: int = 42, label_col: str = "label_idx", id_col: str = "txn_id") -> DataFrame:
     """Per label, the ``ceil(n·val_split)`` rows with the smallest ``md5(id#seed)`` go to ``val``.
 
-    Exact and repeatable; the per-label rank is bucketed on the hash prefix,
-    so a dominant label is ranked by many tasks.
+    Exact and repeatable; the per-label rank is bucketed on the hash prefix, whose length
+    grows with the largest label, so that a dominant label is ranked by many small tasks.
     """
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"#{seed}")))
-    ranked = bucketed_rank(df.withColumn("_h", h), [label_col], F.substring("_h", 1, 3), [F.col("_h"), F.col(id_col)], out="_rk")
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    largest = sizes.agg(F.max("_n")).first()[0] or 1
+    digits = max(1, math.ceil(math.log(max(largest / RANK_BUCKET_ROWS, 1), 16)))
+    ranked = bucketed_rank(df.withColumn("_h", h), [label_col], F.substring("_h", 1, digits), [F.col("_h"), F.col(id_col)], out="_rk")
     return (
         ranked.join(sizes, label_col)
         .withColumn("split", F.when(F.col("_rk") <= F.ceil(F.col("_n") * F.lit(val_split)), "val").otherwise("train"))

@@ -823,12 +823,13 @@ def q_fit_category_index(spark, sf):
 @register(
     "copay_graph",
     O.with_("txn", "feat", "e AS (SELECT sender_id, recipient_canon_id, ln(1 + sum(amount)) AS w FROM feat GROUP BY ALL)")
-    + f"""SELECT a.recipient_canon_id AS recipient_a, b.recipient_canon_id AS recipient_b, {O.r6('sum(a.w * b.w)')} AS value
+    + f"""SELECT a.recipient_canon_id, {O.r6('sum(CASE WHEN a.recipient_canon_id = b.recipient_canon_id THEN a.w * b.w END)')} AS self_weight,
+       {O.r6('sum(a.w * b.w)')} AS strength
 FROM e a JOIN e b ON a.sender_id = b.sender_id GROUP BY ALL""",
 )
 def q_copay_graph(spark, sf):
     g = graph.copay_graph(edges_all_period(spark, sf))
-    return g.select("recipient_a", "recipient_b", r6("value").alias("value"))
+    return g.select("recipient_canon_id", r6("self_weight").alias("self_weight"), r6("strength").alias("strength"))
 
 
 # ================================================== 2.5 windows / sequences

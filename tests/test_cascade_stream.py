@@ -132,3 +132,16 @@ def test_recipient_paid_by_unknown_senders_only_stays_active(spark):
     hashed = active.select("recipient_canon_id", F.array(F.lit(1.0), F.lit(0.0)).alias("hash_vec"))
     rows = {r.recipient_canon_id: list(r.state) for r in graph.recipient_state(edges, hashed, 2, active).collect()}
     assert set(rows) == {"r1", "r2", "r3"} and rows["r3"] == [0.0, 0.0, 1.0, 0.0]
+
+
+def test_copay_graph_sums_the_gram_matrix(spark):
+    rows = [("s1", "a", 1.0), ("s1", "b", 2.0), ("s2", "b", 3.0), ("s2", "c", 0.5), ("s3", "d", 4.0)] + [("hot", f"r{i}", 1.0) for i in range(500)]
+    got = {r.recipient_canon_id: (r.self_weight, r.strength) for r in graph.copay_graph(spark.createDataFrame(rows, "sender_id string, recipient_canon_id string, weight double")).collect()}
+    senders, ids = sorted({r[0] for r in rows}), sorted({r[1] for r in rows})
+    a = np.zeros((len(senders), len(ids)))
+    for s, r, w in rows:
+        a[senders.index(s), ids.index(r)] = w
+    gram = a.T @ a
+    assert set(got) == set(ids)
+    for i, r in enumerate(ids):
+        assert np.allclose(got[r], (gram[i, i], gram[i].sum()))

@@ -17,9 +17,15 @@ def test_strip_accents_matches_python(spark):
     assert strip_accents_py("đan") == "đan"  # đ has no decomposition
 
 
-def test_strip_accents_exact_mode_handles_ligatures(spark):
+def test_strip_accents_beyond_the_table(spark):
+    texts = ["ﬁ\u0301le", "한국 Café", "𝐠𝐫𝐚𝐛 ĐÀ NẴNG", "½ kg", "", None, "日本 é", "ǆ Ⅷ"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(strip_accents("t")).collect()] == [None if t is None else strip_accents_py(t) for t in texts]
+
+
+def test_strip_accents_handles_ligatures(spark):
     df = spark.createDataFrame([("ﬁle café",)], "t string")
-    assert df.select(strip_accents("t", mode="exact")).first()[0] == unicodedata.normalize("NFKD", "ﬁle café").replace("́", "")
+    assert df.select(strip_accents("t")).first()[0] == unicodedata.normalize("NFKD", "ﬁle café").replace("́", "")
 
 
 def test_keyword_whole_word(spark):
