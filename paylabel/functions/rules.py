@@ -55,12 +55,10 @@ def type_rule(tranx_type: str | Column) -> Column:
 def keyword_hit_index(cleaned: Column) -> Column:
     """1-based position of the first matching keyword in priority order, 0 if none.
 
-    A chain of whole-word tests that ends at the first match.
+    One boolean array of whole-word tests and a position lookup: a compact
+    expression that stays inside whole-stage codegen.
     """
-    first = F
-    for i, (_, _, kw) in enumerate(ordered_keywords(), 1):
-        first = first.when(keyword_match(cleaned, kw), F.lit(i))
-    return first.otherwise(F.lit(0))
+    return F.array_position(F.array(*[keyword_match(cleaned, kw) for _, _, kw in ordered_keywords()]), True).cast("int")
 
 
 def apply_rules(df: DataFrame, msg: str, tranx_type: str, label_codes: list[str] | None = None, out: str = "rule") -> DataFrame:
