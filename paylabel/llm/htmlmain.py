@@ -16,7 +16,8 @@ all pages of a large host.
 A page is then read with its host's wrapper.  If the wrapper has article regions, the page's
 text is what they hold, else its whole body without constant slots.  Regions whose tag or
 class marks menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-reader comments are left out in either case.  Character references are decoded, white space
+reader comments are left out in either case; a class word never drops an article region, nor the only
+one's surroundings.  Character references are decoded, white space
 inside a block becomes one space, and non-empty blocks are joined by one line end.
 
 Defined cases: null or empty html gives an empty text; pages without a host share one
@@ -51,7 +52,7 @@ SALTS = 16
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math".split())
+RAW = frozenset("script style textarea title noscript template iframe svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
@@ -60,7 +61,7 @@ CLOSES_P = BLOCK - frozenset("body html caption tbody td tfoot th thead tr title
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog footer form head header iframe input math menu nav noscript object script select style svg "
+    "aside audio button canvas datalist dialog footer form head header iframe input menu nav noscript object script select style svg "
     "template textarea title video".split()
 )
 DROPPED_WORDS = frozenset(
@@ -77,38 +78,57 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.DOTALL,
 )
-ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-label)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+#: One attribute: its name, and its whole value (quoted or not).
+ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 WORD = re.compile(r"[a-z]+")
+#: Before a dropped word in one class name these say what an element has or lacks, not what it is (has-sidebar).
+LAYOUT_WORDS = frozenset("has have no non not with without".split())
 
 
-def key_of(tag: str, attrs: str) -> str:
-    """The tag, with ! if its attributes mark a region that is no article text, or * if they mark the main one."""
+def names_dropped(value: str) -> bool:
+    """Whether a class or id value names a region that is no article text."""
+    for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().split():
+        words = WORD.findall(name)
+        if any(w in DROPPED_WORDS and (i == 0 or words[i - 1] not in LAYOUT_WORDS) for i, w in enumerate(words)):
+            return True
+    return False
+
+
+def key_of(tag: str, attrs: str) -> tuple[str, bool]:
+    """The tag, with ! if its attributes mark a region that is no article text, or * if they mark the main one;
+    and whether only a class or id word says !."""
     if not attrs or tag in ("html", "body"):
-        return tag
+        return tag, False
+    found: dict[str, str] = {}
     for name, a, b, c in ATTR.findall(attrs):
-        name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden":
-            return tag + "!"
-        if name == "role":
-            if value.strip() in DROPPED_ROLES:
-                return tag + "!"
-            if value.strip() in ("main", "article"):
-                return tag + "*"
-        elif name in ("class", "id") and not DROPPED_WORDS.isdisjoint(WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", a or b or c).lower())):
-            return tag + "!"
-    return tag
+        found.setdefault(name.lower(), a or b or c)  # of repeated attributes the first one counts
+    role = found.get("role", "").strip().lower()
+    if "hidden" in found or role in DROPPED_ROLES:
+        return tag + "!", False
+    if role in ("main", "article"):
+        return tag + "*", False
+    if tag not in MAIN and (names_dropped(found.get("class", "")) or names_dropped(found.get("id", ""))):
+        return tag + "!", True
+    return tag, False
 
 
 def parse(page: str | None) -> list:
-    """The page as nested [key, children]; a text is a plain string."""
+    """The page as nested [key, children]; a text is a plain string.
+
+    A class word is a loose mark: where every article region stands inside loosely marked
+    elements, those around the least enclosed ones lose their mark.
+    """
     top: list = ["#page", []]
     stack = [top]
+    # Per open element, the loosely marked ones around its content as (count, node, outer ones); None in a dropped one.
+    around: list[tuple | None] = [(0, None, None)]
+    regions: list[tuple] = []
 
     def pop_to(names: set[str], stops: set[str]) -> None:
         for at in range(len(stack) - 1, 0, -1):
             tag = stack[at][0].rstrip("!*")
             if tag in names:
-                del stack[at:]
+                del stack[at:], around[at:]
                 return
             if tag in stops:
                 return
@@ -138,13 +158,28 @@ def parse(page: str | None) -> list:
             pop_to({"p"}, {"article", "aside", "blockquote", "body", "button", "div", "footer", "form", "header", "li", "main", "nav", "section", "table", "td", "th"})
         if tag in SIBLINGS:
             pop_to(SIBLINGS[tag], STOPS[tag])
-        node = [key_of(tag, m.group("attrs")), []]
+        key, loose = key_of(tag, m.group("attrs"))
+        node = [key, []]
         stack[-1][1].append(node)
+        marks = around[-1]
+        if marks is not None:
+            if loose and tag not in DROPPED:
+                marks = (marks[0] + 1, node, marks)
+            elif is_dropped(key):
+                marks = None
+            elif is_main(key):
+                regions.append(marks)
         if tag in RAW and not m.group().endswith("/>"):
             raw_end = re.compile(rf"</{tag}\s*[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             at = len(page) if raw_end is None else raw_end.end()
         elif tag not in VOID and not m.group().endswith("/>") and len(stack) < DEPTH:
             stack.append(node)
+            around.append(marks)
+    least = min((r[0] for r in regions), default=0)
+    for marks in [r for r in regions if r[0] == least]:
+        while marks[0] and marks[1][0].endswith("!"):
+            marks[1][0] = marks[1][0][:-1]
+            marks = marks[2]
     return top
 
 

@@ -232,6 +232,29 @@ def test_main_text_of_pages(spark):
     assert htmlmain.extract(pages.limit(0)).count() == 0
 
 
+def page_text(page):
+    tree = htmlmain.parse(page)
+    return htmlmain.main_text(tree, htmlmain.wrapper_of(tree))
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<article><p style="overflow: hidden">a</p><p title="a hidden gem">b</p><p hidden>c</p><p HIDDEN="">d</p></article>', "a\nb"),
+        ('<main class="has-sidebar"><p>a</p></main>', "a"),
+        ('<div id="page" class="no-sidebar"><p>a</p></div>', "a"),
+        ('<article class="post social"><p>a</p></article>', "a"),
+        ('<div class="page social"><div class="share"><article>a</article></div><div class="comments"><div class="reply"><article>c</article></div></div></div>', "a"),
+        ('<div class="related"><article>t</article></div><main>a<div class="related">r</div></main>', "a"),
+        ('<div role="main" class="widget">a</div><div class="widget">w</div>', "a"),
+        ('<aside><article>t</article></aside><div class=widget>w</div>b', "b"),
+        ("<article>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</article>", "so x=1 holds"),
+    ],
+)
+def test_marks_drop_only_what_they_name(page, want):
+    assert page_text(page) == want
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_near_duplicates_match_brute_force(spark, percent):
     rnd = random.Random(8)
