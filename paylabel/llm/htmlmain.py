@@ -22,7 +22,7 @@ inside a block becomes one space, and non-empty blocks are joined by one line en
 
 Defined cases: null or empty html gives an empty text; pages without a host share one
 wrapper; markup that is cut off or wrongly nested is closed where HTML would close it;
-nesting beyond DEPTH is flattened, without loss of text; repeated rows give repeated results;
+a page may nest to any depth (a wrapper's own nesting beyond DEPTH is flattened); repeated rows give repeated results;
 an empty table gives no rows; only page_id, url and html are read.
 """
 
@@ -32,6 +32,7 @@ import html as html_lib
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 from .common import worker_cache, written
 from .urlfilter import host_of
 
+#: Items of a wrapper's node, levels of a wrapper, items of a repeated group.
 WIDTH, DEPTH, GROUP = 64, 60, 3
 #: Hosts whose partial wrappers a partition holds before it passes them on.
 OPEN_HOSTS = 2000
@@ -113,7 +115,7 @@ def key_of(tag: str, attrs: str) -> tuple[str, bool]:
 
 
 def parse(page: str | None) -> list:
-    """The page as nested [key, children]; a text is a plain string.
+    """The page as nested [key, children], however deep; a text is a plain string.
 
     A class word is a loose mark: where every article region stands inside loosely marked
     elements, those around the least enclosed ones lose their mark.
@@ -124,13 +126,18 @@ def parse(page: str | None) -> list:
     around: list[tuple | None] = [(0, None, None)]
     regions: list[tuple] = []
 
+    tags = ["#page"]
+    opened: Counter[str] = Counter()
+
     def pop_to(names: set[str], stops: set[str]) -> None:
+        if not any(opened[n] for n in names):
+            return
         for at in range(len(stack) - 1, 0, -1):
-            tag = stack[at][0].rstrip("!*")
-            if tag in names:
-                del stack[at:], around[at:]
+            if tags[at] in names:
+                opened.subtract(tags[at:])
+                del stack[at:], tags[at:], around[at:]
                 return
-            if tag in stops:
+            if tags[at] in stops:
                 return
 
     raw_end = None
@@ -151,8 +158,7 @@ def parse(page: str | None) -> list:
             continue
         tag = tag.lower()
         if m.group("close"):
-            if any(n[0].rstrip("!*") == tag for n in stack[1:]):
-                pop_to({tag}, set())
+            pop_to({tag}, set())
             continue
         if tag in CLOSES_P:
             pop_to({"p"}, {"article", "aside", "blockquote", "body", "button", "div", "footer", "form", "header", "li", "main", "nav", "section", "table", "td", "th"})
@@ -172,8 +178,10 @@ def parse(page: str | None) -> list:
         if tag in RAW and not m.group().endswith("/>"):
             raw_end = re.compile(rf"</{tag}\s*[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             at = len(page) if raw_end is None else raw_end.end()
-        elif tag not in VOID and not m.group().endswith("/>") and len(stack) < DEPTH:
+        elif tag not in VOID and not m.group().endswith("/>"):
             stack.append(node)
+            tags.append(tag)
+            opened[tag] += 1
             around.append(marks)
     least = min((r[0] for r in regions), default=0)
     for marks in [r for r in regions if r[0] == least]:
@@ -263,7 +271,18 @@ def bounded(items: list) -> list:
     return [by_key[k] for k in sorted(by_key)]
 
 
-def wrapper_of(node: list) -> list:
+def flattened(node: list) -> list:
+    """All elements and texts below the node as its children, without what stands in dropped regions."""
+    out, todo = [], node[1][::-1]
+    while todo:
+        child = todo.pop()
+        out.append(child if isinstance(child, str) else [child[0], []])
+        if not isinstance(child, str) and not is_dropped(child[0]):
+            todo += child[1][::-1]
+    return out
+
+
+def wrapper_of(node: list, level: int = 1) -> list:
     """The wrapper of one page."""
     items, texts = [], []
 
@@ -272,12 +291,12 @@ def wrapper_of(node: list) -> list:
             items.append(slot)
         texts.clear()
 
-    for child in node[1]:
+    for child in node[1] if level < DEPTH else flattened(node):
         if isinstance(child, str):
             texts.append(child)
         else:
             flush()
-            items.append(wrapper_of(child))
+            items.append(wrapper_of(child, level + 1))
     flush()
     return [node[0], "", bounded(folded(items))]
 
@@ -289,11 +308,11 @@ def has_main(wrapper: list) -> bool:
     return is_main(wrapper[0]) or any(has_main(x) for x in wrapper[2])
 
 
-def constants(wrapper: list, path: str = "") -> set[tuple[str, int]]:
+def constants(wrapper: list, path: int = 0) -> set[tuple[int, int]]:
     """(path, checksum) of slots with the same text on every page, on enough pages to tell."""
     if wrapper[0] == "#text":
         return {(path, wrapper[2])} if wrapper[2] is not None and wrapper[3] >= CONSTANT_PAGES else set()
-    path = path if wrapper[0].startswith("#group") else f"{path}/{wrapper[0]}"
+    path = path if wrapper[0].startswith("#group") else step(path, wrapper[0])
     return set().union(*(constants(x, path) for x in wrapper[2]))
 
 
@@ -315,10 +334,22 @@ def main_text(page: list, wrapper: list) -> str:
 
 
 def _find_main(node: list) -> bool:
-    return any(not isinstance(c, str) and not is_dropped(c[0]) and (is_main(c[0]) or _find_main(c)) for c in node[1])
+    todo = [node]
+    while todo:
+        for child in todo.pop()[1]:
+            if not isinstance(child, str) and not is_dropped(child[0]):
+                if is_main(child[0]):
+                    return True
+                todo.append(child)
+    return False
 
 
-def _blocks(page: list, only_main: bool, constant: set[tuple[str, int]]) -> str:
+def step(path: int, key: str) -> int:
+    """The number of a path that goes one element on; of fixed size, so that a deep page's paths stay small."""
+    return (path * 1_000_003 + zlib.crc32(key.encode()) + 1) % (2**61 - 1)
+
+
+def _blocks(page: list, only_main: bool, constant: set[tuple[int, int]]) -> str:
     blocks: list[str] = []
     run: list[str] = []
 
@@ -328,27 +359,29 @@ def _blocks(page: list, only_main: bool, constant: set[tuple[str, int]]) -> str:
         if text:
             blocks.append(text)
 
-    def walk(node: list, path: str, inside: bool) -> None:
+    todo: list[tuple | None] = [(page, 0, not only_main)]
+    while todo:
+        if (item := todo.pop()) is None:
+            end_block()
+            continue
+        node, path, inside = item
+        if isinstance(node, str):
+            if inside and not (constant and (path, zlib.crc32(squash(node).encode())) in constant):
+                run.append(node)
+            continue
         key = node[0]
         if is_dropped(key):
-            return
-        path = f"{path}/{key}"
+            continue
+        path = step(path, key)
         inside = inside or is_main(key)
         tag = key.rstrip("*")
         if tag == "br":
             run.append(" ")
-            return
-        if tag in BLOCK:
-            end_block()
-        for child in node[1]:
-            if not isinstance(child, str):
-                walk(child, path, inside)
-            elif inside and not (constant and (path, zlib.crc32(squash(child).encode())) in constant):
-                run.append(child)
+            continue
         if tag in BLOCK:
             end_block()
-
-    walk(page, "", not only_main)
+            todo.append(None)
+        todo += [(child, path, inside) for child in reversed(node[1])]
     end_block()
     return "\n".join(blocks)
 

@@ -255,6 +255,20 @@ def test_marks_drop_only_what_they_name(page, want):
     assert page_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<body><div><article>" + "<div>" * 60 + "</div>" * 60 + "<p>rest</p></article>", "rest"),
+        ("<body>" + "<div>" * 80 + "<article>a<p>b</article>" + "</div>" * 80 + "<p>c", "a\nb"),
+        ("<body><article>" + "<font>" * 100 + "a<nav>n</nav><p>b <b>c</b> d</p></article>e", "a\nb c d"),
+        ("<body>" + "<div>" * 80 + "<article></article></div>x", ""),
+        ("<div>" * 50_000 + "<article>deep</article>" + "</div>" * 50_000 + "<p>x", "deep"),
+    ],
+)
+def test_pages_nest_to_any_depth(page, want):
+    assert page_text(page) == want
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_near_duplicates_match_brute_force(spark, percent):
     rnd = random.Random(8)
