@@ -5,7 +5,7 @@ tags, and the streams of a host are aligned one after the other into a wrapper:
 
 * equal tokens match; a token on one side only becomes an optional;
 * neighbouring repetitions of one token, or of a group of up to three, become a repeated group;
-* text becomes a slot; a slot whose text is the same on every page is marked constant.
+* text becomes a slot.
 
 A wrapper holds no alternatives (it is union-free), no page texts, and at most WIDTH items
 per node (a wider one becomes a repeated group of optionals), so it stays small however many
@@ -14,7 +14,11 @@ key, and the rest are aligned in two rounds, the first of them salted, so that n
 all pages of a large host.
 
 A page is then read with its host's wrapper.  If the wrapper has article regions, the page's
-text is what they hold, else its whole body without constant slots.  Regions whose tag or
+text is what they hold.  A page without one gives its whole body without constant slots: a
+text at one place (path of elements) is constant if it stands on CONSTANT_PAGES pages of the
+host or more, and on CONSTANT_SHARE of them.  Pages count once for each different text that
+they hold, so copies of a page, and repetitions within one, make nothing constant; the counts
+are aggregates over the whole table, whatever its partitions.  Regions whose tag or
 class marks menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
 reader comments are left out in either case; a class word never drops an article region, nor the only
 one's surroundings.  Character references are decoded, white space
@@ -28,6 +32,7 @@ an empty table gives no rows; only page_id, url and html are read.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
 import json
 import re
@@ -47,8 +52,8 @@ from .urlfilter import host_of
 WIDTH, DEPTH, GROUP = 64, 60, 3
 #: Hosts whose partial wrappers a partition holds before it passes them on.
 OPEN_HOSTS = 2000
-#: Pages that must agree before a slot counts as constant.
-CONSTANT_PAGES = 3
+#: Pages of different text that must agree before a slot counts as constant, and their share of the host's.
+CONSTANT_PAGES, CONSTANT_SHARE = 3, 0.5
 #: Tasks over which the partial wrappers of a host are dealt at first.
 SALTS = 16
 
@@ -191,18 +196,13 @@ def parse(page: str | None) -> list:
     return top
 
 
-# -- wrappers: [key, quantifier, items] and slots ["#text", quantifier, constant, pages] ----
+# -- wrappers: [key, quantifier, items] and slots ["#text", quantifier] ----------------------
 
 
 def squash(text: str) -> str:
     return " ".join(html_lib.unescape(text).split())
 
 
-def leaf(texts: list[str]) -> list | None:
-    text = squash(" ".join(texts))
-    return ["#text", "", zlib.crc32(text.encode()), 1] if text else None
-
-
 def more(a: str, b: str) -> str:
     """The quantifier that allows what both allow."""
     optional = a in ("?", "*") or b in ("?", "*")
@@ -214,7 +214,7 @@ def merged(a: list, b: list, quantifier: str | None = None) -> list:
     """One node that stands for both; their keys are equal."""
     q = more(a[1], b[1]) if quantifier is None else quantifier
     if a[0] == "#text":
-        return ["#text", q, a[2] if a[2] == b[2] else None, min(CONSTANT_PAGES, a[3] + b[3])]
+        return ["#text", q]
     return [a[0], q, aligned(a[2], b[2])]
 
 
@@ -287,8 +287,8 @@ def wrapper_of(node: list, level: int = 1) -> list:
     items, texts = [], []
 
     def flush() -> None:
-        if texts and (slot := leaf(texts)):
-            items.append(slot)
+        if squash(" ".join(texts)):
+            items.append(["#text", ""])
         texts.clear()
 
     for child in node[1] if level < DEPTH else flattened(node):
@@ -308,14 +308,6 @@ def has_main(wrapper: list) -> bool:
     return is_main(wrapper[0]) or any(has_main(x) for x in wrapper[2])
 
 
-def constants(wrapper: list, path: int = 0) -> set[tuple[int, int]]:
-    """(path, checksum) of slots with the same text on every page, on enough pages to tell."""
-    if wrapper[0] == "#text":
-        return {(path, wrapper[2])} if wrapper[2] is not None and wrapper[3] >= CONSTANT_PAGES else set()
-    path = path if wrapper[0].startswith("#group") else step(path, wrapper[0])
-    return set().union(*(constants(x, path) for x in wrapper[2]))
-
-
 def is_dropped(key: str) -> bool:
     return key.endswith("!") or key.rstrip("*") in DROPPED
 
@@ -324,13 +316,10 @@ def is_main(key: str) -> bool:
     return key.endswith("*") or key in MAIN
 
 
-def main_text(page: list, wrapper: list) -> str:
-    """The blocks of the page's main regions under its host's wrapper."""
-    in_main = has_main(wrapper)
-    text = _blocks(page, in_main, set() if in_main else constants(wrapper))
-    if in_main and not text and not _find_main(page):
-        text = _blocks(page, False, constants(wrapper))  # the region is optional and this page lacks it
-    return text
+def main_text(page: list, wrapper: list, constant: set[int] | frozenset[int] = frozenset()) -> str:
+    """The blocks of the page's main regions under its host's wrapper and constant slots."""
+    in_main = has_main(wrapper) and _find_main(page)  # the region is optional: this page may lack it
+    return _blocks(page, in_main, frozenset() if in_main else constant)
 
 
 def _find_main(node: list) -> bool:
@@ -349,7 +338,13 @@ def step(path: int, key: str) -> int:
     return (path * 1_000_003 + zlib.crc32(key.encode()) + 1) % (2**61 - 1)
 
 
-def _blocks(page: list, only_main: bool, constant: set[tuple[int, int]]) -> str:
+def slot_of(path: int, text: str) -> int:
+    """The number of a text at its place."""
+    return int.from_bytes(hashlib.blake2b(f"{path} {text}".encode(errors="surrogatepass"), digest_size=8).digest(), signed=True)
+
+
+def _blocks(page: list, only_main: bool, constant: set[int] | frozenset[int], slots: set[int] | None = None) -> str:
+    """The text by blocks; slots receives the slots that give text."""
     blocks: list[str] = []
     run: list[str] = []
 
@@ -366,7 +361,9 @@ def _blocks(page: list, only_main: bool, constant: set[tuple[int, int]]) -> str:
             continue
         node, path, inside = item
         if isinstance(node, str):
-            if inside and not (constant and (path, zlib.crc32(squash(node).encode())) in constant):
+            if slots is not None and (text := squash(node)):
+                slots.add(slot_of(path, text))
+            if inside and not (constant and (text := squash(node)) and slot_of(path, text) in constant):
                 run.append(node)
             continue
         key = node[0]
@@ -389,18 +386,27 @@ def _blocks(page: list, only_main: bool, constant: set[tuple[int, int]]) -> str:
 # -- the jobs ----------------------------------------------------------------------------------
 
 
+WRAPPERS = "host string, wrapper string, whole boolean"
+
+
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str, list] = {}
+    whole: set[str] = set()
 
     def passed_on() -> pa.RecordBatch:
         hosts, wrappers = list(known), [json.dumps(w, separators=(",", ":")) for w in known.values()]
+        columns = [pa.array(hosts, pa.string()), pa.array(wrappers, pa.string()), pa.array([h in whole for h in hosts], pa.bool_())]
         known.clear()
-        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(wrappers, pa.string())], names=["host", "wrapper"])
+        whole.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["host", "wrapper", "whole"])
 
     for batch in batches:
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            w = wrapper_of(parse(page))
+            tree = parse(page)
+            w = wrapper_of(tree)
             known[host] = merged(known[host], w) if host in known else w
+            if host not in whole and not _find_main(tree):
+                whole.add(host)
         if len(known) > OPEN_HOSTS:
             yield passed_on()
     yield passed_on()
@@ -411,35 +417,66 @@ def _merge_all(group: pd.DataFrame) -> pd.DataFrame:
     for text in sorted(group["wrapper"]):
         w = json.loads(text)
         out = w if out is None else merged(out, w)
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(out, separators=(",", ":"))]})
+    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(out, separators=(",", ":"))], "whole": [bool(group["whole"].any())]})
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON): one row per host."""
-    kind = "host string, wrapper string"
-    partial = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_infer, kind).distinct()
-    salted = partial.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).alias("salt")).applyInPandas(_merge_all, kind)
-    return salted.groupBy("host").applyInPandas(_merge_all, kind)
+    """host, wrapper (JSON), whole (whether a page of the host lacks an article region): one row per host."""
+    partial = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_infer, WRAPPERS).distinct()
+    salted = partial.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).alias("salt")).applyInPandas(_merge_all, WRAPPERS)
+    return salted.groupBy("host").applyInPandas(_merge_all, WRAPPERS)
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests, slots = [], []
+        for page in batch.column("html").to_pylist():
+            found: set[int] = set()
+            digests.append(slot_of(0, _blocks(parse(page), False, frozenset(), found)))
+            slots.append(sorted(found))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("host"), pa.array(digests, pa.int64()), pa.array(slots, pa.list_(pa.int64()))], names=["host", "page", "slots"]
+        )
+
+
+def constant_slots(pages: DataFrame, hosts: DataFrame) -> DataFrame:
+    """host, constant array<bigint>: the constant slots of the given hosts that have any.
+
+    At most 1 / CONSTANT_SHARE times as many as a page holds on average.
+    """
+    of_hosts = pages.select(host_of(F.col("url")).alias("host"), "html").join(hosts, "host", "left_semi")
+    slots = written(of_hosts.mapInArrow(_slots, "host string, page bigint, slots array<bigint>"), "html_slots")
+    total = slots.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("total"))
+    counts = slots.select("host", "page", F.explode("slots").alias("slot")).distinct().groupBy("host", "slot").agg(F.count("*").alias("n"))
+    often = counts.where(F.col("n") >= CONSTANT_PAGES).join(total, "host").where(F.col("n") >= F.col("total") * CONSTANT_SHARE)
+    return often.groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("constant"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, host, text: the main text of every page."""
     wrappers = written(infer_wrappers(pages), "html_wrappers")
+    whole = wrappers.where("whole").select("host")
+    if whole.isEmpty():
+        wrappers = wrappers.withColumn("constant", F.lit(None).cast("array<bigint>"))
+    else:
+        wrappers = written(wrappers.join(constant_slots(pages, whole), "host", "left"), "html_readers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded = worker_cache("html-wrappers", dict)
         for batch in batches:
             texts = []
-            for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
-                if wrapper not in loaded:
+            columns = (batch.column(n) for n in ("html", "wrapper", "constant"))
+            for page, wrapper, constant in zip(*(c.to_pylist() for c in columns)):
+                key = wrapper, tuple(constant or ())
+                if key not in loaded:
                     if len(loaded) >= OPEN_HOSTS:
                         loaded.clear()
-                    loaded[wrapper] = json.loads(wrapper) if wrapper else ["#page", "", []]
-                texts.append(main_text(parse(page), loaded[wrapper]))
+                    loaded[key] = json.loads(wrapper) if wrapper else ["#page", "", []], frozenset(key[1])
+                texts.append(main_text(parse(page), *loaded[key]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(texts, pa.string())],
                 names=["page_id", "url", "host", "text"],
             )
 
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    return rows.join(wrappers, "host", "left").mapInArrow(run, "page_id bigint, url string, host string, text string")
+    return rows.join(wrappers.drop("whole"), "host", "left").mapInArrow(run, "page_id bigint, url string, host string, text string")

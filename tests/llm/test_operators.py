@@ -269,6 +269,20 @@ def test_pages_nest_to_any_depth(page, want):
     assert page_text(page) == want
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_constant_slots_need_different_pages(spark, parts):
+    copies = [(i, "http://copies/" + str(i), f"<script>{i}</script><body><p>head</p><div>same text</div></body>") for i in range(3)]
+    same = [(10 + i, "http://list/" + str(i), f"<body><ul><li>x</li><li>x</li><li>x</li></ul><p>p{i}</p></body>") for i in range(2)]
+    few = [(20 + i, "http://few/" + str(i), f"<body><h2>{'part' if i < 3 else i}</h2><p>foot</p><div>t{i}</div></body>") for i in range(8)]
+    mixed = [(30 + i, "http://mixed/" + str(i), f"<body><p>menu</p>{f'<div>d{i}</div>' if i else '<article>a</article>'}</body>") for i in range(4)]
+    rows = copies + same + few + mixed
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts, "page_id")
+    got = {r.page_id: r.text for r in htmlmain.extract(pages).collect()}
+    want = {i: "head\nsame text" for i in range(3)} | {10 + i: f"x\nx\nx\np{i}" for i in range(2)}
+    want |= {20 + i: f"{'part' if i < 3 else i}\nt{i}" for i in range(8)} | {30: "a", 31: "d1", 32: "d2", 33: "d3"}
+    assert got == want
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_near_duplicates_match_brute_force(spark, percent):
     rnd = random.Random(8)
