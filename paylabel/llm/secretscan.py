@@ -3,16 +3,22 @@
 Base spans come from three patterns (assign, access, hex).  The battery looks at every
 maximal run of key characters of MIN_LENGTH or more and adds spans of kind ``random``:
 
-1. An encoding (hex, base32, base62 or base64) is inferred: the smallest alphabet that holds
-   the run.
-2. Uniformity battery under "drawn uniformly from that alphabet": a chi-squared test of the
-   alphabet, a Wald-Wolfowitz runs test about the alphabet's middle and a lag-one serial
-   correlation test.  A run that any of them rejects at BATTERY_ALPHA is not random
-   (repeated, sequential or worded).
-3. Discovery p-value under "ordinary text": words and identifiers change between lower case,
-   upper case, digits and signs at most at TEXT_CHANGE_RATE of their joints, so the p-value
-   is the binomial tail of the changes seen.  It is length-aware by construction.
-4. Benjamini-Hochberg at FDR over all runs of the table, within length strata, so that the
+1. An encoding (hex, base32, base36, base62 or base64) is inferred: the smallest alphabet
+   that holds the run.
+2. The null hypothesis of the battery is ordinary text of that encoding: a first-order model of
+   symbols and pairs, counted by Spark in the distinct words of every text of the table, outside
+   base spans and the runs under test (whose own pairs would hide them), folded to the alphabet's case and
+   restricted to its symbols.  A prior of PRIOR pairs per symbol, which changes character class
+   at TEXT_CHANGE_RATE, stands in where a table is small.
+3. Each of the three tests weighs "drawn uniformly" against that null on what it looks at:
+   chi-squared the symbols within their classes, runs the changes of side about the alphabet's
+   middle, serial the adjacent pairs.  Each weight is a likelihood ratio with mean 1 under the
+   null (for the symbols, if they are independent given their class).  The geometric mean of
+   the three then has a mean of 1 at most, however they depend on each other, so its inverse
+   is a p-value at any length; a fluke of one test does not outweigh the other two.
+4. The same three statistics tested against uniformity itself reject repeated, sequential or
+   worded runs at BATTERY_ALPHA: unlike text is not enough.
+5. Benjamini-Hochberg at FDR over all runs of the table, within length strata, so that the
    many short runs do not set the bar for long ones.  P-values enter as integer decibel
    grades (rounded up to the less significant side), so the corpus-wide count is a table of
    at most strata x grades rows, whatever the input.
@@ -30,6 +36,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,15 +58,28 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
 
 BATTERY_ALPHA = 0.003
 TEXT_CHANGE_RATE = 0.2
+#: Pairs per symbol that the text model's prior counts for.
+PRIOR = 50
 FDR = 0.01
 STRATA = (16, 20, 24, 32, 40, 48, 64, 96, 128, 256)
 MAX_GRADE = 3000
 
 HEX_LOWER, HEX_UPPER = "0123456789abcdef", "0123456789ABCDEF"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+BASE36_LOWER, BASE36_UPPER = "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASE64 = BASE62 + "+/-_"
-ALPHABETS = [("hex", HEX_LOWER), ("hex", HEX_UPPER), ("base32", BASE32), ("base62", BASE62), ("base64", BASE64)]
+ALPHABETS = [
+    ("hex", HEX_LOWER),
+    ("hex", HEX_UPPER),
+    ("base32", BASE32),
+    ("base32", BASE32.lower()),
+    ("base36", BASE36_LOWER),
+    ("base36", BASE36_UPPER),
+    ("base62", BASE62),
+    ("base64", BASE64),
+]
+PLACE = {c: i for i, c in enumerate(BASE64)}
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -135,42 +155,111 @@ def class_of(c: str) -> int:
     return 0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3
 
 
-def text_grade(run: str) -> int:
-    """-10 log10 of the binomial tail of class changes, rounded down: higher is less like text."""
-    classes = [class_of(c) for c in run]
-    n, q = len(run) - 1, TEXT_CHANGE_RATE
-    changes = sum(a != b for a, b in zip(classes, classes[1:]))
-    if changes <= n * q:
-        return 0
-    logs = [
-        math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1) + x * math.log(q) + (n - x) * math.log1p(-q)
-        for x in range(changes, n + 1)
-    ]
-    top = max(logs)
-    log_p = top + math.log(sum(math.exp(v - top) for v in logs))
-    return min(MAX_GRADE, max(0, int(-10 * log_p / math.log(10))))
+class TextModel:
+    """Ordinary text as the null: what each test gains by "uniform" over it, per alphabet."""
+
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        self.pairs, self.gains = pairs, {}
+
+    def __getstate__(self) -> dict:
+        return {"pairs": self.pairs, "gains": {}}
+
+    def of(self, alphabet: str) -> tuple[dict[str, int], list[float], list[list[float]], list[list[float]]]:
+        """Places of the symbols; log gains by symbol, by symbol and next side, by symbol and next symbol."""
+        if alphabet not in self.gains:
+            k, place = len(alphabet), {c: i for i, c in enumerate(alphabet)}
+            fold = str.lower if alphabet.islower() else str.upper if alphabet.isupper() else str
+            to = [place.get(fold(c), -1) for c in BASE64]
+            counts = np.zeros((k, k))
+            for (a, b), n in self.pairs.items():
+                if to[a] >= 0 and to[b] >= 0:
+                    counts[to[a], to[b]] += n
+            kinds = np.array([class_of(c) for c in alphabet])
+            same = kinds[:, None] == kinds[None, :]
+            size = same.sum(1)
+            others = np.maximum(k - size, 1)
+            prior = np.where(same, (1 - TEXT_CHANGE_RATE * (size < k))[:, None] / size[:, None], TEXT_CHANGE_RATE / others[:, None])
+            p = (counts + PRIOR * prior) / (counts.sum(1, keepdims=True) + PRIOR)
+            high = 2 * np.arange(k) >= k
+            sides = np.stack([p[:, ~high].sum(1), p[:, high].sum(1)], 1)
+            uniform = np.array([np.mean(~high), np.mean(high)])
+            seen = counts.sum(0) + PRIOR / k
+            within = seen / (same @ seen)
+            self.gains[alphabet] = (
+                place,
+                (-np.log(size) - np.log(within)).tolist(),
+                (np.log(uniform) - np.log(sides)).tolist(),
+                (-np.log(k) - np.log(p)).tolist(),
+            )
+        return self.gains[alphabet]
+
+    def grade(self, run: str, alphabet: str) -> int:
+        """-10 log10 of the battery's p-value under text, rounded down: higher is less like text."""
+        place, by_symbol, by_side, by_pair = self.of(alphabet)
+        k = len(alphabet)
+        values = [place.get(c, -1) for c in run]  # a sign that is not in the alphabet parts its neighbours
+        pairs = [(a, b) for a, b in zip(values, values[1:]) if a >= 0 and b >= 0]
+        logs = (
+            sum(by_symbol[v] for v in values if v >= 0),
+            sum(by_side[a][2 * b >= k] for a, b in pairs),
+            sum(by_pair[a][b] for a, b in pairs),
+        )
+        return min(MAX_GRADE, max(0, int(10 * sum(logs) / len(logs) / math.log(10))))
 
 
 def stratum_of(length: int) -> int:
     return max(s for s in STRATA if s <= length)
 
 
-def random_runs(text: str) -> list[tuple[int, int, int, int]]:
+def random_runs(text: str, model: TextModel) -> list[tuple[int, int, int, int]]:
     """(start, end, stratum, grade) of every run; grade 0 where the battery rejects it."""
     out = []
     for m in RUN.finditer(text):
         run = m.group().rstrip("=")
         if len(run) < MIN_LENGTH:
             continue
-        grade = 0
-        if not (run.isalpha() and (run.islower() or run[1:].islower() or run.isupper())):
-            grade = text_grade(run)
-            if grade and not is_uniform(run, infer_encoding(run)[1]):
-                grade = 0
+        alphabet = infer_encoding(run)[1]
+        grade = model.grade(run, alphabet)
+        if grade and not is_uniform(run, alphabet):
+            grade = 0
         out.append((m.start(), m.end(), stratum_of(len(run)), grade))
     return out
 
 
+#: Number of each symbol by its byte, from 1; 0 for all others.
+BYTES = np.zeros(256, np.int64)
+for _c, _i in PLACE.items():
+    BYTES[ord(_c)] = _i + 1
+SIDE = len(BASE64) + 1
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adjacent symbols of ordinary text: one row per pair that the partition holds."""
+    counts = np.zeros(SIDE * SIDE, np.int64)
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            text = text or ""
+            parts, at = [], 0
+            for start, end in sorted([(s, e) for s, e, _ in base_spans(text)] + [m.span() for m in RUN.finditer(text)]):
+                if start > at:
+                    parts.append(text[at:start])
+                at = max(at, end)
+            parts.append(text[at:])
+            # the distinct words of each text: one that it repeats says no more about the language
+            parts = set(" ".join(parts).split())
+            codes = BYTES[np.frombuffer(" ".join(parts).encode(errors="replace"), np.uint8)]
+            counts += np.bincount(codes[:-1] * SIDE + codes[1:], minlength=SIDE * SIDE)
+    counts = counts.reshape(SIDE, SIDE)[1:, 1:]
+    a, b = counts.nonzero()
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(counts[a, b])], names=["a", "b", "n"])
+
+
+def text_model(docs: DataFrame) -> TextModel:
+    """The model of the whole table."""
+    counts = docs.select("text").mapInArrow(_pairs, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return TextModel({(r["a"], r["b"]): r["n"] for r in counts.collect()})  # at most one row per pair of symbols
+
+
 def clear_of(spans: list[tuple[int, int, str]], start: int, end: int) -> bool:
     return all(end <= s or e <= start for s, e, _ in spans)
 
@@ -181,23 +270,23 @@ ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("
 ARROW_RUNS = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "end", "stratum", "grade")]))
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        base, runs = [], []
-        for text in batch.column("text").to_pylist():
-            spans = base_spans(text or "")
-            base.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
-            runs.append([dict(zip(("start", "end", "stratum", "grade"), r)) for r in random_runs(text or "")])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(base, ARROW_SPANS), pa.array(runs, ARROW_RUNS)], names=["doc_id", "base", "runs"]
-        )
-
-
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, model: TextModel) -> DataFrame:
     """doc_id, base spans and graded runs of every whole text."""
     doc_id = docs.schema["doc_id"]
     schema = T.StructType([doc_id, T.StructField("base", T.ArrayType(SPAN)), T.StructField("runs", T.ArrayType(RUN_TYPE))])
-    return docs.select("doc_id", "text").mapInArrow(_scan, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base, runs = [], []
+            for text in batch.column("text").to_pylist():
+                spans = base_spans(text or "")
+                base.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
+                runs.append([dict(zip(("start", "end", "stratum", "grade"), r)) for r in random_runs(text or "", model)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(base, ARROW_SPANS), pa.array(runs, ARROW_RUNS)], names=["doc_id", "base", "runs"]
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def thresholds(scanned: DataFrame, fdr: float = FDR) -> dict[int, int]:
@@ -232,7 +321,7 @@ def with_random(base: list, runs: list, least: dict[int, int]) -> list[tuple[int
 
 def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """doc_id, spans array<struct<start, end, kind>> of every document."""
-    scanned = written(scan(docs), "secret_runs")
+    scanned = written(scan(docs, text_model(docs)), "secret_runs")
     least = thresholds(scanned, fdr)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,15 +339,16 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
     """docs with every secret in the text replaced by a mark, and n_chars, if present, to match.
 
-    A first pass over the texts keeps only graded runs, for the thresholds; the second one
-    rewrites the texts, so no text is shuffled.  Overlapping spans become one mark; a null
+    One pass over the texts counts the text model, the next keeps only graded runs, for the
+    thresholds; the last one rewrites the texts, so no text is shuffled.  Overlapping spans become one mark; a null
     text stays null.
     """
-    least = thresholds(written(scan(docs), "secret_runs"), fdr)
+    model = text_model(docs)
+    least = thresholds(written(scan(docs, model), "secret_runs"), fdr)
     names = docs.columns
 
     def clean(text: str) -> str:
-        runs = [dict(zip(("start", "end", "stratum", "grade"), r)) for r in random_runs(text)]
+        runs = [dict(zip(("start", "end", "stratum", "grade"), r)) for r in random_runs(text, model)]
         base = [{"start": s, "end": e, "kind": k} for s, e, k in base_spans(text)]
         out, at = [], 0
         for start, end, _ in with_random(base, runs, least):

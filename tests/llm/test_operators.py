@@ -145,6 +145,19 @@ def test_secrets_base_spans_and_random_runs(spark):
     assert secretscan.find_secrets(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_random_runs_of_encodings_that_seldom_change_class(spark):
+    rnd = random.Random(11)
+    words = "the quick brown fox jumps over a lazy dog while nine zebras watch and keep very still in what might be just extra big boxes".split()
+    prose = [" ".join(rnd.choice(words) for _ in range(60)) + f" {rnd.randrange(3000)}" for _ in range(300)]
+    alphabets = [secretscan.BASE32, secretscan.BASE32.lower(), "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", secretscan.HEX_LOWER, secretscan.BASE62]
+    keys = ["".join(rnd.choice(a) for _ in range(n)) for a in alphabets for n in (20, 32) for _ in range(5) if (a, n) != (secretscan.HEX_LOWER, 32)]
+    plain = ["".join(rnd.choice("0123456789") for _ in range(20)) for _ in range(20)] + ["".join(rnd.choice(words) for _ in range(8)) for _ in range(60)]
+    texts = prose + [f"see {x} there" for x in keys + plain]
+    rows = secretscan.find_secrets(docs_of(spark, texts)).collect()
+    found = {texts[r.doc_id][s.start : s.end] for r in rows for s in r.spans if s.kind == "random"}
+    assert not found & set(plain) and len(found & set(keys)) >= 0.95 * len(keys)
+
+
 def test_bpe_equals_the_library_and_round_trips(spark):
     import tiktoken
 
