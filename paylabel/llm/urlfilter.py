@@ -7,7 +7,9 @@ and redirect edges.  A class that holds an explicitly allowed url allows, else o
 a blocked url blocks, else the url is allowed.  An explicit rule of the url itself always
 stands.
 
-A url's identity in the graph is its scheme-less form without fragment, host in lower case.
+A url's identity in the graph is its scheme-less form without fragment, host in lower case,
+dot segments taken out and the empty path as /.  Links are resolved against their page's url,
+with all character references decoded.  Rules judge a page by its path as written.
 Rules are a policy of at most a few hundred entries, compiled into one expression; the pages
 themselves never leave their partition except through equi-joins on the url.
 
@@ -19,9 +21,13 @@ clash.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import html as html_lib
+import re
+from collections.abc import Iterator, Sequence
+from html.entities import html5
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,29 +57,61 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
+def normal_path(path: Column) -> Column:
+    """An absolute path without dot segments; the empty path is the root."""
+    segments = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(segments, 2, F.size(segments)),
+        F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(s))),
+    )
+    folder = path.rlike(r"/\.\.?$") & (F.size(kept) > 0)
+    dotless = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+    return F.when(path == "", F.lit("/")).when(path.rlike(r"/\.\.?(/|$)"), dotless).otherwise(path)
+
+
 def url_key(url: Column) -> Column:
     """Identity of a url; null if it has no host."""
-    key = F.concat(host_of(url), path_of(url), F.regexp_extract(url, URL, 3))
+    key = F.concat(host_of(url), normal_path(path_of(url)), F.regexp_extract(url, URL, 3))
     return F.when(host_of(url) != "", key)
 
 
 def resolve(base: Column, href: Column) -> Column:
-    """An absolute form of href as found on the page at base."""
+    """An absolute form of href as found on the page at base; url_key takes out its dot segments."""
     root = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*", 0)
     folder = F.regexp_replace(path_of(base), r"[^/]*$", "")
     return (
-        F.when(href.contains("://"), href)
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"(?s)^.*?:(?=//)", 0), href))
         .when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("?"), F.concat(root, path_of(base), href))
+        .when(href.startswith("#"), base)
         .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), href))
     )
 
 
+def _decoded(m: re.Match) -> str:
+    """A character reference as an attribute's value has it: without ; a name before = or a longer word stands."""
+    name = m.group(1)
+    if name.startswith("#"):
+        return html_lib.unescape(m.group())
+    if not name.endswith(";") and m.string[m.end() : m.end() + 1] == "=":
+        return m.group()
+    return html5.get(name, m.group())
+
+
+def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    reference = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)")
+    for batch in batches:
+        hrefs = [reference.sub(_decoded, h) for h in batch.column("href").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("url"), pa.array(hrefs, pa.string())], names=["url", "href"])
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """src, dst: identities that a canonical link or a redirect joins."""
     found = pages.where(F.col("html").rlike("(?i)canonical|refresh"))
     href = F.explode(F.concat(F.regexp_extract_all("html", F.lit(CANONICAL), 1), F.regexp_extract_all("html", F.lit(REFRESH), 1)))
-    links = found.select("url", href.alias("href")).withColumn("href", F.replace("href", F.lit("&amp;"), F.lit("&")))
+    links = found.select("url", href.alias("href")).mapInArrow(_decode, "url string, href string")
     edges = links.select(url_key(F.col("url")).alias("src"), url_key(resolve(F.col("url"), F.col("href"))).alias("dst"))
     return edges.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct()
 

@@ -96,6 +96,25 @@ def test_url_rules_and_redirect_classes(spark):
     assert urlfilter.judge(pages.limit(0), RULES).count() == 0
 
 
+def test_url_aliases_are_normalised(spark):
+    link = lambda u: f'<link rel="canonical" href="{u}">'
+    rows = [
+        ("http://a.org/x/y/z", link("../../b/./c")),
+        ("http://a.org/x/..", link("/")),
+        ("http://b.org/dir/page?x=1", link("?y=2")),
+        ("http://c.org", link("http://d.org")),
+        ("http://e.org/p", link("/q&#x2f;r&sol;s?a=1&#38;b=2&amp;c=3&copy=4")),
+        ("http://f.org/p", link("/login?next=http://bad.net/")),
+        ("http://g.org/a/../../b/.", link("//h.org/b/../")),
+        ("http://i.org/p#top", link("#top")),
+    ]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.src: r.dst for r in urlfilter.link_edges(pages).collect()}
+    want = {"a.org/x/y/z": "a.org/b/c", "b.org/dir/page?x=1": "b.org/dir/page?y=2", "c.org/": "d.org/", "g.org/b/": "h.org/"}
+    want |= {"e.org/p": "e.org/q/r/s?a=1&b=2&c=3&copy=4", "f.org/p": "f.org/login?next=http://bad.net/"}
+    assert got == want
+
+
 def test_components_match_union_find(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 440)] + [(500, i) for i in range(501, 560)] + [(3, None)]
