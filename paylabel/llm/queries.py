@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, chat, fingerprint, htmlmain, neardup, packing, quality, secretscan, topk, urlfilter
+from . import align, bpe, chat, fingerprint, htmlmain, neardup, packing, quality, secretscan, topk, urlfilter
 from .common import table
 
 # The url policy of op3 and the added conversation of op10.
@@ -112,6 +112,13 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.align(table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -125,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html,
         op9_near_duplicates,
         op10_chat,
+        op11_align,
     )
 }
 
