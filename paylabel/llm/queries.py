@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import align, bpe, chat, fingerprint, htmlmain, neardup, packing, quality, secretscan, topk, urlfilter
+from . import align, balltree, bpe, chat, fingerprint, htmlmain, metricjoin, neardup, packing, quality, secretscan, topk, urlfilter
 from .common import table
 
 # The url policy of op3 and the added conversation of op10.
@@ -119,6 +119,14 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), a, b)
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metricjoin.metric_join(table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -133,6 +141,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_near_duplicates,
         op10_chat,
         op11_align,
+        op12_ranked_search,
+        op13_jaccard_join,
     )
 }
 
@@ -221,4 +231,64 @@ ORACLES: dict[str, str] = {
                CAST(sum(text_chars + CASE WHEN before IS NULL OR before <> role THEN 14 + role_chars ELSE 7 END) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id
     """,
+    "op12_ranked_search": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), sizes AS (
+            SELECT row_id, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0
+        ), totals AS (
+            SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes
+        ), tfs AS (
+            SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(terms) AS term FROM docs) GROUP BY row_id, term
+        ), dfs AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tfs, totals GROUP BY term, n_docs
+        ), asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), scored AS (
+            SELECT item_id, row_id, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM asked JOIN dfs USING (term) JOIN tfs USING (term) JOIN sizes USING (row_id), totals
+            WHERE doc_id IS NOT NULL
+            GROUP BY item_id, row_id, doc_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0
+        )
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+    """,
+    "op13_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, list_distinct(CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+            FROM words
+        ), items AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT a AS doc_id, a AS seen FROM links
+            UNION
+            SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.seen = l.a
+        ), least AS (
+            SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id
+        FROM sets s LEFT JOIN least l USING (doc_id)
+    """,
 }
