@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_cache, written
+from .common import one_thread_per_task, worker_cache, written
 
 #: Distinct segments and segment occurrences after which a chunk is closed (memory bounds of a row).
 CHUNK_SEGMENTS, CHUNK_PLACES = 150_000, 6_000_000
@@ -58,6 +58,7 @@ class Pair:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        one_thread_per_task()
         spec = json.loads(a_json)
         self.a = Tokenizer.from_buffer(a_json)
         self.a.encode_special_tokens = True
@@ -77,6 +78,9 @@ class Pair:
         self.identity = np.array([by_bytes.get(x, -1) for x in self.a_bytes], np.int32)
         self.a_lens = np.array(list(map(len, self.a_bytes)), np.int64)
         self.b_lens = np.array(list(map(len, self.b_bytes)), np.int64)
+        marks = [[mark + str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))] for mark in ",|;"]
+        #: an id after each of the three marks between ids
+        self.marked = np.array(marks, object)
         self.lone_space = self.b.piece_to_id(SPACE)
         pre = spec.get("pre_tokenizer") or {}
         apart = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec.get("normalizer")
@@ -94,10 +98,38 @@ class Pair:
         return self._cuts(spaced) if self._odd(spaced) else self._runs(spaced)
 
     def encode(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Each segment's ids."""
         a = [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
         b = self.b.encode([s[1:] for s in segments], num_threads=1)
         return a, [ids if s != " " else [self.lone_space] for s, ids in zip(segments, b)]
 
+    def flat(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All segments' ids in a row and how many each one has, by A and by B; none where they do not spell the segment.
+
+        Segments that end in no white space can stand side by side: one call encodes them all.
+        """
+        if self.apart and not any(s[-1].isspace() for s in segments):
+            joined = "".join(segments)
+            raw = joined.encode()
+            a = self.a.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+            b = self.b.encode(joined[1:], num_threads=1)
+            if self._spelt(a, self.a_bytes) == raw == self._spelt(b, self.b_bytes):
+                a, b = np.array(a, np.int64), np.array(b, np.int64)
+                bounds = np.cumsum([len(s.encode()) for s in segments])
+                counts = (np.diff(np.searchsorted(np.cumsum(lens[ids]), bounds, "right"), prepend=0) for ids, lens in ((a, self.a_lens), (b, self.b_lens)))
+                return a, b, *counts
+        a, b = self.encode(segments)
+        for k, s in enumerate(segments):
+            raw = s.encode()
+            if self._spelt(a[k], self.a_bytes) != raw or self._spelt(b[k], self.b_bytes) != raw:
+                a[k] = b[k] = []
+        rows = lambda lists: np.array([i for ids in lists for i in ids], np.int64)
+        return rows(a), rows(b), np.array(list(map(len, a)), np.int64), np.array(list(map(len, b)), np.int64)
+
+    @staticmethod
+    def _spelt(ids: list[int], table: list[bytes]) -> bytes:
+        return b"".join(map(table.__getitem__, ids))
+
 
 class Links:
     """The aligned segments of a chunk, numbered in order of appearance."""
@@ -113,19 +145,16 @@ class Links:
         self.regular: list[np.ndarray] = []
 
     def add(self, fresh: list[str]) -> None:
-        for i in range(0, len(fresh), NEW_SEGMENTS):
-            self._add(fresh[i : i + NEW_SEGMENTS])
+        """Segments in calls of bounded size, those that end in white space apart."""
+        plain = [s for s in fresh if not s[-1].isspace()]
+        for some in (plain, [s for s in fresh if s[-1].isspace()]):
+            for i in range(0, len(some), NEW_SEGMENTS):
+                self._add(some[i : i + NEW_SEGMENTS])
 
     def _add(self, fresh: list[str]) -> None:
         pair, first = self.pair, len(self.index)
         self.index.update(zip(fresh, range(first, first + len(fresh))))
-        a_ids, b_ids = pair.encode(fresh)
-        for k, (s, x, y) in enumerate(zip(fresh, a_ids, b_ids)):
-            raw = s.encode()
-            if b"".join([pair.a_bytes[i] for i in x]) != raw or b"".join([pair.b_bytes[i] for i in y]) != raw:
-                a_ids[k] = b_ids[k] = []
-        n_a, n_b = np.array(list(map(len, a_ids)), np.int64), np.array(list(map(len, b_ids)), np.int64)
-        a, b = (np.array([i for ids in some for i in ids], np.int64) for some in (a_ids, b_ids))
+        a, b, n_a, n_b = pair.flat(fresh)
         a_ends, b_ends = np.cumsum(pair.a_lens[a]), np.cumsum(pair.b_lens[b])
         group_ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
         a_group, b_group = np.searchsorted(group_ends, a_ends), np.searchsorted(group_ends, b_ends)
@@ -142,18 +171,17 @@ class Links:
         self.a.append(a[a_at])
         self.b.append(b[b_at])
         self.regular.append(alone & (pair.identity[a[a_at]] == b[b_at]))
-        self._write(len(fresh), a, b, a_group, b_group, a_of, n_a + n_b)
+        self._write(a, b, a_group, b_group, n_a + n_b)
 
-    def _write(self, n: int, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, a_of: np.ndarray, sizes: np.ndarray) -> None:
+    def _write(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, sizes: np.ndarray) -> None:
         """Each segment's groups as text: ids joined by ",", sides by "|", groups by ";"."""
-        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
-        slots = np.concatenate([2 * a_group, 2 * b_group + 1])[order]
-        marks = np.where(np.diff(slots, prepend=-1) == 0, ",", np.where(slots % 2 == 1, "|", ";"))
-        tokens = [m + i for m, i in zip(marks.tolist(), map(str, np.concatenate([a, b])[order].tolist()))]
-        at = 0
-        for size in sizes.tolist():
-            self.strings.append("".join(tokens[at : at + size])[1:] if size else None)
-            at += size
+        sides = np.concatenate([2 * a_group, 2 * b_group + 1])
+        order = np.argsort(sides, kind="stable")
+        sides = sides[order]
+        marks = np.where(np.diff(sides, prepend=-1) == 0, 0, np.where(sides % 2 == 1, 1, 2))
+        tokens = self.pair.marked[marks, np.concatenate([a, b])[order]].tolist()
+        ends = np.cumsum(sizes).tolist()
+        self.strings += ["".join(tokens[i:j])[1:] if i < j else None for i, j in zip([0, *ends], ends)]
 
 
 def _packed(x: np.ndarray) -> bytes:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 from collections.abc import Callable
@@ -47,6 +48,11 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
     return store[name]
 
 
+def one_thread_per_task() -> None:
+    """Spark runs a task per core; a tokenizer's own thread pool would only add to its CPU time."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
 class Memo:
     """A bounded memo of two generations: what is still used moves on when the older one is dropped.
 
