@@ -34,76 +34,106 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import COMMON_END, common_pattern
-from .common import Memo, worker_cache, written
+from .common import Memo, one_thread_per_task, worker_cache, written
 
 CAPACITY = 2048
 END_ID = 0
 #: Pre-tokens whose ids a worker remembers (memory bound, not a result bound).
 MEMO_PARTS = 400_000
-#: New pre-tokens that one tokenizer call takes, and texts whose pre-tokens are numbered together.
-NEW_PARTS, NUMBERED_TEXTS = 1000, 1000
+#: New pre-tokens that one tokenizer call takes, and characters of the texts whose pre-tokens are numbered together, about.
+NEW_PARTS, NUMBERED_CHARS = 1000, 3_000_000
 #: Rounds of the fit, steps of one round, and partners tried for a pattern's largest document.
 FIT_ROUNDS, FIT_STEPS, PARTNERS = 4, 150, 12
 
 
 class WordIds:
-    """Token ids of texts: pre-tokens are numbered by Arrow, looked up once a batch, and tokenised if new.
+    """Token ids of texts: pre-tokens are numbered by Arrow, looked up once a batch, and encoded if new.
 
-    The pre-split pattern and whether text is lower-cased are read from the vocabulary file;
-    a text with characters that this short cut does not cover is cut at white space only and
-    its words go to the tokenizer whole.
+    The pre-split pattern and whether text is lower-cased are read from the vocabulary file.  New
+    pre-tokens are encoded many in one call by the file's merges alone: each ends with the one token
+    of it that ends a word, where the call's ids are cut.  A text with characters that this short cut does not cover, before or
+    after lower-casing, is cut at white space only and its words go to the tokenizer as they stand.
     """
 
     def __init__(self, vocabulary: bytes):
         from tokenizers import Tokenizer
 
+        one_thread_per_task()
         self.tokenizer = Tokenizer.from_buffer(vocabulary)
         self.tokenizer.encode_special_tokens = True
         self.parts = Memo(MEMO_PARTS)
+        self.words = Memo(MEMO_PARTS)
         spec = json.loads(vocabulary)
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         lowers = any(n.get("type") == "Lowercase" for n in (spec.get("normalizer") or {}).get("normalizers") or [])
-        pattern = steps[0].get("pattern", {}).get("Regex")
-        self.split = re.compile(common_pattern(pattern)).findall if pattern and lowers else None
+        pattern, suffix = steps[0].get("pattern", {}).get("Regex"), spec["model"].get("end_of_word_suffix")
+        self.split = None
+        if pattern and lowers and suffix and [s.get("type") for s in steps[1:]] == ["ByteLevel"]:
+            self.split = re.compile(common_pattern(pattern)).findall
+            bare = spec | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, steps[1]]}, "post_processor": None}
+            self.merges = Tokenizer.from_buffer(json.dumps(bare).encode())
+            self.merges.encode_special_tokens = True
+            self.is_last = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
+            self.is_last[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
         self.uncommon = re.compile(f"[^\x00-{chr(COMMON_END - 1)}]").search
 
-    def _parts_of(self, text: str) -> list[str]:
-        if self.split is None or self.uncommon(text):
-            return [w.decode() for w in text.encode().split()]
-        return self.split(text.lower())
+    def _as_they_stand(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.words.new.get, words))
+        fresh = list(dict.fromkeys(w for w, ids in zip(words, found) if ids is None and self.words.get(w) is None))
+        for i in range(0, len(fresh), NEW_PARTS):  # the tokenizer's own results are large
+            some = fresh[i : i + NEW_PARTS]
+            self.words.new.update(zip(some, self._encode(some)))
+        return [self.words.new[w] if ids is None else ids for w, ids in zip(words, found)]
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids as little-endian 32-bit integers."""
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _ids_of(self, parts: list[str]) -> list[bytes]:
-        """Ids of distinct parts, as little-endian 32-bit words."""
+        """Ids of distinct pre-tokens."""
         self.parts.turn()
         found = list(map(self.parts.new.get, parts))
         fresh = [p for p, ids in zip(parts, found) if ids is None and self.parts.get(p) is None]
-        for i in range(0, len(fresh), NEW_PARTS):  # the tokenizer's own results are large
+        for i in range(0, len(fresh), NEW_PARTS):
             some = fresh[i : i + NEW_PARTS]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.parts.new[p] = np.array(e.ids, "<u4").tobytes()
+            ids = np.array(self.merges.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.is_last[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                self.parts.new.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                self.parts.new.update(zip(some, self._encode(some)))
         return [self.parts.new[p] if ids is None else ids for p, ids in zip(parts, found)]
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Each text's ids as little-endian 32-bit words."""
-        for i in range(0, len(texts), NUMBERED_TEXTS):
-            yield from self._numbered(texts[i : i + NUMBERED_TEXTS])
+        """Each text's ids as little-endian 32-bit integers."""
+        ends = np.cumsum([len(t or "") for t in texts]) // NUMBERED_CHARS
+        for i, j in zip(starts := [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist()], [*starts[1:], len(texts)]):
+            yield from self._numbered(texts[i:j])
 
     def _numbered(self, texts: list[str | None]) -> Iterator[bytes]:
-        flat_parts, offsets = [], [0]
-        for text in texts:
-            flat_parts += self._parts_of(text or "")
+        flat_parts, offsets, whole = [], [0], {}
+        self.words.turn()
+        for k, text in enumerate(texts):
+            text = text or ""
+            low = text.lower()
+            if self.split is None or (not text.isascii() and (self.uncommon(text) or self.uncommon(low))):
+                whole[k] = b"".join(self._as_they_stand([w.decode() for w in text.encode().split()]))
+            else:
+                flat_parts += self.split(low)
             offsets.append(len(flat_parts))
         numbered = pa.array(flat_parts, pa.string()).dictionary_encode()
         each = self._ids_of(numbered.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(each), "<u4")
-        lens = np.array([len(x) // 4 for x in each], np.int64)
+        lens = np.array(list(map(len, each)), np.int64) // 4
         starts = np.cumsum(lens) - lens
         number = numbered.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(lens[number])]).astype(np.int64)
         ids = flat[np.repeat(starts[number] - ends[:-1], lens[number]) + np.arange(ends[-1])]
-        bounds = ends[offsets]
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            yield ids[a:b].tobytes()
+        bounds = (4 * ends[offsets]).tolist()
+        raw = ids.tobytes()
+        for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+            yield whole[k] if k in whole else raw[a:b]
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, place bigint"
@@ -122,16 +152,21 @@ def pieces(docs: DataFrame, vocabulary_file: str, capacity: int = CAPACITY) -> D
         end = np.array([END_ID], "<u4").tobytes()
         places: dict[int, int] = defaultdict(int)
         for batch in batches:
-            rows = []
+            columns: list[list] = [[] for _ in range(6)]
+            doc_ids, piece_nos, starts, lengths, crcs, ranks = columns
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
                 ids += end
                 n = len(ids) // 4
                 for piece, start in enumerate(range(0, n, capacity)):
                     length = min(capacity, n - start)
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    rows.append((doc_id, piece, start, length, crc, part, places[length]))
+                    doc_ids.append(doc_id)
+                    piece_nos.append(piece)
+                    starts.append(start)
+                    lengths.append(length)
+                    crcs.append(zlib.crc32(ids[4 * start : 4 * (start + length)]))
+                    ranks.append(places[length])
                     places[length] += 1
-            columns = zip(*rows) if rows else [[]] * 7
+            columns.insert(5, [part] * len(doc_ids))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)

@@ -370,3 +370,31 @@ def test_chats_read_back(spark):
     first = done.where("conv_id = 1").first().formatted
     assert first.count("### assistant:\n") == 1 and first.count("</turn>\n") == 3
     assert chat.format_chats(frame.limit(0)).count() == 0
+
+
+def test_word_ids_equal_the_tokenizers_on_every_character():
+    from tokenizers import Tokenizer
+
+    with open(WORDS, "rb") as f:
+        vocabulary = f.read()
+    tokenizer = Tokenizer.from_buffer(vocabulary)
+    tokenizer.encode_special_tokens = True
+    rnd = random.Random(1)
+    signs = [chr(c) for c in range(0x3000)] + [chr(c) for c in range(0xA640, 0xD800, 7)] + ["\U00010400", "\U0001F600"]
+    texts = [f"a{c}b {c} x{c} {c}'s |{c}| {c}" for c in signs]
+    texts += ["".join(rnd.choice(signs) if rnd.random() < 0.5 else rnd.choice("ab 'sA1|\n\t") for _ in range(30)) for _ in range(2000)]
+    texts += ["Əliyev Bakıda", "a|b | c", "|", "", "| |", "<|endoftext|>"]
+    got = packing.WordIds(vocabulary)(texts)
+    want = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [e.ids for e in want]
+
+
+def test_top_k_of_large_components(spark):
+    rows = [(0, [1e8, 1.0]), (1, [1.0, 2.0]), (2, [3e4, 1.5]), (3, [-7.0, 1e9]), (50, [2.0**40, -3.0]), (4, [5.5, 0.25])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").where("vec_id <> 50"), F.col("vec_id") % 50 == 0, 5).collect()
+    assert {r.vec_id: r.score for r in got}[1] == 25600000000 * 256 + 256 * 512
+    weight = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    want = sorted(((-sum(a * b for a, b in zip(weight[0], weight[i])), i) for i in (1, 2, 3, 4)))
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(i, -s) for s, i in want]
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, 5).collect()
