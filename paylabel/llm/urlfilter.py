@@ -44,9 +44,15 @@ class Rule(NamedTuple):
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Links that make two urls one resource: a canonical link, and a redirect by refresh.
-CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\burl\s*=\s*[\"']?([^\"'\s>]+)"
+#: Comments, elements whose content is no markup, and the tags that say where a page stands.
+TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|template|xmp)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<tag>link|meta|base)\b(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    re.DOTALL | re.IGNORECASE,
+)
+#: One attribute: its name, and its whole value (quoted or not).
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
+REFRESH = re.compile(r"""\s*[\d.]*\s*[;,]?\s*url\s*=\s*(?:"([^"]*)|'([^']*)|(.*))""", re.IGNORECASE | re.DOTALL)
 
 
 def host_of(url: Column) -> Column:
@@ -100,19 +106,52 @@ def _decoded(m: re.Match) -> str:
     return html5.get(name, m.group())
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    reference = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)")
+REFERENCE = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)")
+
+
+def attributes(text: str) -> dict[str, str]:
+    """Decoded attributes by lower-case name; of repeated ones the first one counts."""
+    found: dict[str, str] = {}
+    for name, a, b, c in ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), REFERENCE.sub(_decoded, a or b or c))
+    return found
+
+
+def links_of(html: str) -> tuple[list[str], str | None]:
+    """The targets of a page's canonical links and refreshes, and of its first base element."""
+    targets, base = [], None
+    for m in TAG.finditer(html):
+        if m.group("tag") is None:
+            continue
+        tag, given = m.group("tag").lower(), attributes(m.group("attrs"))
+        if tag == "base":
+            base = given.get("href") if base is None else base
+        elif tag == "link" and "canonical" in given.get("rel", "").lower().split():
+            targets.append(given.get("href", ""))
+        elif tag == "meta" and given.get("http-equiv", "").strip().lower() == "refresh":
+            if found := REFRESH.match(given.get("content", "")):
+                targets.append(found.group(1) or found.group(2) or found.group(3) or "")
+    return [t.strip() for t in targets if t.strip()], base
+
+
+def _read_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hrefs = [reference.sub(_decoded, h) for h in batch.column("href").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("url"), pa.array(hrefs, pa.string())], names=["url", "href"])
+        urls, hrefs, bases = [], [], []
+        for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
+            found, base = links_of(html)
+            for href in found:
+                urls.append(url)
+                hrefs.append(href)
+                bases.append(base)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (urls, hrefs, bases)], names=["url", "href", "base"])
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """src, dst: identities that a canonical link or a redirect joins."""
-    found = pages.where(F.col("html").rlike("(?i)canonical|refresh"))
-    href = F.explode(F.concat(F.regexp_extract_all("html", F.lit(CANONICAL), 1), F.regexp_extract_all("html", F.lit(REFRESH), 1)))
-    links = found.select("url", href.alias("href")).mapInArrow(_decode, "url string, href string")
-    edges = links.select(url_key(F.col("url")).alias("src"), url_key(resolve(F.col("url"), F.col("href"))).alias("dst"))
+    found = pages.where(F.col("html").rlike("(?i)canonical|refresh")).select("url", "html")
+    links = found.mapInArrow(_read_links, "url string, href string, base string")
+    base = F.when(F.col("base").isNotNull(), resolve(F.col("url"), F.col("base"))).otherwise(F.col("url"))
+    edges = links.select(url_key(F.col("url")).alias("src"), url_key(resolve(base, F.col("href"))).alias("dst"))
     return edges.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct()
 
 
@@ -152,7 +191,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], edges: DataFrame | None = Non
     judged = pages.select("page_id", "url").select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), url_key(F.col("url")).alias("key")
     )
-    judged = judged.withColumn("hit", best_rule(F.col("host"), F.col("path"), rules)).join(classes, "key", "left")
+    judged = judged.withColumn("hit", best_rule(F.col("host"), F.col("path"), rules))
+    # urls without a host have no aliases; as null keys they would all meet in one task
+    alone = judged.where("key IS NULL").withColumn("class_verdict", F.lit(None).cast("string")).withColumn("class_id", F.lit(None).cast("string"))
+    judged = judged.where("key IS NOT NULL").join(classes, "key", "left").unionByName(alone)
     return judged.select(
         "page_id",
         "host",
