@@ -4,7 +4,7 @@ Base spans come from three patterns (assign, access, hex).  The battery looks at
 maximal run of key characters of MIN_LENGTH or more and adds spans of kind ``random``:
 
 1. An encoding (hex, base32, base36, base62 or base64) is inferred: the smallest alphabet
-   that holds the run.
+   that holds the run's symbols; - and _ may part them (as in a UUID) and say nothing.
 2. The null hypothesis of the battery is ordinary text of that encoding: a first-order model of
    symbols and pairs, counted by Spark in the distinct words of every text of the table, outside
    base spans and the runs under test (whose own pairs would hide them), folded to the alphabet's case and
@@ -25,7 +25,8 @@ maximal run of key characters of MIN_LENGTH or more and adds spans of kind ``ran
 
 A run that overlaps a base span adds nothing; base spans always stay.
 
-Defined cases: a null text is empty; positions are code points, ends exclusive; repeated
+Defined cases: a null text is empty; texts of any length are scanned whole; of overlapping base spans of two kinds both
+stay, and spans that start together are in the order of the kinds; positions are code points, ends exclusive; repeated
 rows give repeated results; an empty table gives no rows; only the named columns are read.
 """
 
@@ -94,11 +95,12 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def infer_encoding(run: str) -> tuple[str, str]:
-    symbols = set(run)
+    """The smallest alphabet that holds the run; - and _ may stand between its parts."""
+    symbols = set(run) - set("-_")
     for name, alphabet in ALPHABETS:
         if symbols <= set(alphabet):
-            if name == "base64":  # either the standard or the url-safe pair of signs
-                alphabet = BASE62 + ("-_" if symbols & set("-_") else "+/")
+            if name == "base64":  # without the signs of the other, url-safe pair, which are separators here
+                alphabet = BASE62 + "+/"
             return name, alphabet
     return "base64", BASE64
 
