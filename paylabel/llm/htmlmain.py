@@ -3,7 +3,7 @@
 Pages of one host share templates.  Every page is read as a token stream, nested by its
 tags, and the streams of a host are aligned one after the other into a wrapper:
 
-* equal tokens match; a token on one side only becomes an optional;
+* equal tokens match (boxes such as div only if they hold mostly the same); a token on one side only becomes an optional;
 * neighbouring repetitions of one token, or of a group of up to three, become a repeated group;
 * text becomes a slot.
 
@@ -13,15 +13,18 @@ pages a host has.  Partitions infer partial wrappers in one pass, equal ones are
 key, and the rest are aligned in two rounds, the first of them salted, so that no task sees
 all pages of a large host.
 
-A page is then read with its host's wrapper.  If the wrapper has article regions, the page's
-text is what they hold.  A page without one gives its whole body without constant slots: a
-text at one place (path of elements) is constant if it stands on CONSTANT_PAGES pages of the
-host or more, and on CONSTANT_SHARE of them.  Pages count once for each different text that
-they hold, so copies of a page, and repetitions within one, make nothing constant; the counts
-are aggregates over the whole table, whatever its partitions.  Regions whose tag or
+A page is then aligned with its host's wrapper, which gives each of its texts a slot.  If the wrapper has
+article regions (article, main, or their roles), the page's text is what they hold.  On hosts with pages that
+have none, Spark counts how the slots behave: a text is constant if it stands in its slot on CONSTANT_PAGES pages of the
+host or more, and on CONSTANT_SHARE of them (copies of a page, and repetitions within one, count once); the
+weight of a slot is its varying text outside links.  The host's region is found by walking from the top into the one
+container that holds REGION_SHARE of the weight and REGION_BLOCKS texts of a page or more; a page gives the
+region's whole text, with the headings beside and before it.  Where no container stands out, the page gives its body without constant texts.
+Regions whose tag or
 class marks menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-reader comments are left out in either case; a class word never drops an article region, nor the only
-one's surroundings.  Character references are decoded, white space
+reader comments are left out in either case.  A class word is a loose mark: it must be the whole name but for words of
+boxes; it never drops an article region, nor the only one's surroundings, and in an article no
+heading and no run of text.  Character references are decoded, white space
 inside a block becomes one space, and non-empty blocks are joined by one line end.
 
 Defined cases: null or empty html gives an empty text; pages without a host share one
@@ -38,7 +41,8 @@ import json
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
@@ -54,6 +58,8 @@ WIDTH, DEPTH, GROUP = 64, 60, 3
 OPEN_HOSTS = 2000
 #: Pages of different text that must agree before a slot counts as constant, and their share of the host's.
 CONSTANT_PAGES, CONSTANT_SHARE = 3, 0.5
+#: Share of a host's varying text that a container must hold to be its region, and texts of a page in it.
+REGION_SHARE, REGION_BLOCKS = 0.6, 2
 #: Tasks over which the partial wrappers of a host are dealt at first.
 SALTS = 16
 
@@ -76,6 +82,14 @@ DROPPED_WORDS = frozenset(
     "footer header login menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion related "
     "remark remarks replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Of these words the ones that name a region inside an article: reader comments, adverts, notices and links to elsewhere.
+INSIDE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments consent cookie cookies discussion disqus newsletter notice notices "
+    "promo promotion related remark remarks replies reply respond share sharing sidebar social sponsor sponsored subscribe subscription".split()
+)
+#: Beside a dropped word in one class name these name the box only (comment-list); any other word makes it a name of content (comment-analysis).
+BOX_WORDS = frozenset("area bar block bottom box column container group holder inner item items left list outer panel right row section slot top unit wrap wrapper zone".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 MAIN = frozenset(["article", "main"])
 
@@ -88,22 +102,23 @@ TOKEN = re.compile(
 #: One attribute: its name, and its whole value (quoted or not).
 ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 WORD = re.compile(r"[a-z]+")
-#: Before a dropped word in one class name these say what an element has or lacks, not what it is (has-sidebar).
-LAYOUT_WORDS = frozenset("has have no non not with without".split())
 
 
-def names_dropped(value: str) -> bool:
+def names_dropped(value: str, words: frozenset[str] = DROPPED_WORDS) -> bool:
     """Whether a class or id value names a region that is no article text."""
     for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().split():
-        words = WORD.findall(name)
-        if any(w in DROPPED_WORDS and (i == 0 or words[i - 1] not in LAYOUT_WORDS) for i, w in enumerate(words)):
+        found = WORD.findall(name)
+        if any(w in words for w in found) and all(w in words or w in BOX_WORDS for w in found):
             return True
     return False
 
 
-def key_of(tag: str, attrs: str) -> tuple[str, bool]:
+def key_of(tag: str, attrs: str, inside: bool = False) -> tuple[str, bool]:
     """The tag, with ! if its attributes mark a region that is no article text, or * if they mark the main one;
-    and whether only a class or id word says !."""
+    and whether only a class or id word says !.
+
+    Inside an article a class word marks blocks only, never a heading or a run of text.
+    """
     if not attrs or tag in ("html", "body"):
         return tag, False
     found: dict[str, str] = {}
@@ -114,7 +129,10 @@ def key_of(tag: str, attrs: str) -> tuple[str, bool]:
         return tag + "!", False
     if role in ("main", "article"):
         return tag + "*", False
-    if tag not in MAIN and (names_dropped(found.get("class", "")) or names_dropped(found.get("id", ""))):
+    if tag in MAIN or (inside and (tag not in BLOCK or tag in HEADINGS)):
+        return tag, False
+    words = INSIDE_WORDS if inside else DROPPED_WORDS
+    if names_dropped(found.get("class", ""), words) or names_dropped(found.get("id", ""), words):
         return tag + "!", True
     return tag, False
 
@@ -131,7 +149,7 @@ def parse(page: str | None) -> list:
     around: list[tuple | None] = [(0, None, None)]
     regions: list[tuple] = []
 
-    tags = ["#page"]
+    tags, within = ["#page"], [False]
     opened: Counter[str] = Counter()
 
     def pop_to(names: set[str], stops: set[str]) -> None:
@@ -140,7 +158,7 @@ def parse(page: str | None) -> list:
         for at in range(len(stack) - 1, 0, -1):
             if tags[at] in names:
                 opened.subtract(tags[at:])
-                del stack[at:], tags[at:], around[at:]
+                del stack[at:], tags[at:], around[at:], within[at:]
                 return
             if tags[at] in stops:
                 return
@@ -169,7 +187,7 @@ def parse(page: str | None) -> list:
             pop_to({"p"}, {"article", "aside", "blockquote", "body", "button", "div", "footer", "form", "header", "li", "main", "nav", "section", "table", "td", "th"})
         if tag in SIBLINGS:
             pop_to(SIBLINGS[tag], STOPS[tag])
-        key, loose = key_of(tag, m.group("attrs"))
+        key, loose = key_of(tag, m.group("attrs"), within[-1])
         node = [key, []]
         stack[-1][1].append(node)
         marks = around[-1]
@@ -188,6 +206,7 @@ def parse(page: str | None) -> list:
             tags.append(tag)
             opened[tag] += 1
             around.append(marks)
+            within.append(within[-1] or is_main(key))
     least = min((r[0] for r in regions), default=0)
     for marks in [r for r in regions if r[0] == least]:
         while marks[0] and marks[1][0].endswith("!"):
@@ -282,6 +301,20 @@ def flattened(node: list) -> list:
     return out
 
 
+#: Boxes in which a page lays out its regions.
+CONTAINERS = frozenset("html body div section center table tbody tr td".split())
+#: Elements that say nothing of what they hold.
+GENERIC = frozenset("div section td center".split())
+
+
+def kind_of(node: list) -> str:
+    """The key by which elements are aligned: boxes of different content (by their most frequent children) are different."""
+    if node[0] not in GENERIC:
+        return node[0]
+    found = Counter(child[0].rstrip("!*") for child in node[1] if not isinstance(child, str))
+    return f"{node[0]}~{min(found, key=lambda k: (-found[k], k)) if found else '#text'}"
+
+
 def wrapper_of(node: list, level: int = 1) -> list:
     """The wrapper of one page."""
     items, texts = [], []
@@ -298,7 +331,7 @@ def wrapper_of(node: list, level: int = 1) -> list:
             flush()
             items.append(wrapper_of(child, level + 1))
     flush()
-    return [node[0], "", bounded(folded(items))]
+    return [kind_of(node), "", bounded(folded(items))]
 
 
 def has_main(wrapper: list) -> bool:
@@ -316,12 +349,6 @@ def is_main(key: str) -> bool:
     return key.endswith("*") or key in MAIN
 
 
-def main_text(page: list, wrapper: list, constant: set[int] | frozenset[int] = frozenset()) -> str:
-    """The blocks of the page's main regions under its host's wrapper and constant slots."""
-    in_main = has_main(wrapper) and _find_main(page)  # the region is optional: this page may lack it
-    return _blocks(page, in_main, frozenset() if in_main else constant)
-
-
 def _find_main(node: list) -> bool:
     todo = [node]
     while todo:
@@ -338,13 +365,141 @@ def step(path: int, key: str) -> int:
     return (path * 1_000_003 + zlib.crc32(key.encode()) + 1) % (2**61 - 1)
 
 
-def slot_of(path: int, text: str) -> int:
-    """The number of a text at its place."""
-    return int.from_bytes(hashlib.blake2b(f"{path} {text}".encode(errors="surrogatepass"), digest_size=8).digest(), signed=True)
+def number_of(*parts: object) -> int:
+    return int.from_bytes(hashlib.blake2b(" ".join(map(str, parts)).encode(errors="surrogatepass"), digest_size=8).digest(), signed=True)
+
+
+#: Stands for the items of an element that the wrapper does not have.
+NOWHERE: list = ["", "", []]
+
+
+class Places:
+    """The items of a wrapper's node as places in order, a repeated group's items side by side."""
+
+    def __init__(self, items: list):
+        self.items: list[list] = []
+        self.names: list[str] = []
+        self.group: list[tuple[int, int] | None] = []
+        for i, item in enumerate(items):
+            unit = item[2] if item[0].startswith("#group ") else [item]
+            span = (len(self.items), len(self.items) + len(unit)) if item[0].startswith("#group ") else None
+            for j, x in enumerate(unit):
+                self.items.append(x)
+                self.names.append(f"{i}.{j}")
+                self.group.append(span)
+        self.by_key: dict[str, list[int]] = {}
+        for at, item in enumerate(self.items):
+            self.by_key.setdefault(item[0], []).append(at)
+
+    def next(self, key: str, at: int) -> int | None:
+        """The place of an element after place ``at``: that one again if it repeats, in the same group's
+        next round, or the next of its key; the first one where the order is lost."""
+        places = self.by_key.get(key)
+        if not places:
+            return None
+        if at >= 0 and self.items[at][0] == key and (self.items[at][1] in ("+", "*") or key == "#text"):
+            return at
+        later = [p for p in places if p > at]
+        if at >= 0 and (span := self.group[at]):
+            inside = [p for p in places if span[0] <= p < span[1]]
+            if inside:
+                return next((p for p in inside if p > at), inside[0])
+        return later[0] if later else places[0]
+
+
+def aligned_texts(page: list, wrapper: list, places: dict[int, Places] | None = None) -> Iterator[tuple]:
+    """The page in its order, as the wrapper places it: ("open" | "close", path, key) around elements
+    outside dropped regions and ("text", path, text, whether it stands in a link)."""
+    known = places if places is not None else {}
+    todo: list[tuple] = [("node", page, wrapper, 0, 1, False)]
+    while todo:
+        what, node, w, path, level, in_link = todo.pop()
+        if what != "node":
+            yield what, path, node
+            continue
+        key = node[0]
+        if is_dropped(key):
+            continue
+        yield "open", path, key
+        below: list[tuple] = []
+        if id(w) not in known:
+            known[id(w)] = Places(w[2])
+        order, at = known[id(w)], -1
+        in_link = in_link or key == "a"
+        for child in node[1]:
+            text = isinstance(child, str)
+            if text and not squash(child):
+                below.append(("text", child, None, path, 0, in_link))
+                continue
+            kind = "#text" if text else kind_of(child)
+            found = order.next(kind, at)
+            at = found if found is not None else at
+            name = order.names[found] if found is not None else "?"
+            to = step(path, f"{name} {kind}")
+            if text:
+                below.append(("text", child, None, to, 0, in_link))
+            else:
+                # what lies deeper than the wrapper is placed among the items of its last level
+                deeper = w if level >= DEPTH else order.items[found] if found is not None else NOWHERE
+                below.append(("node", child, deeper, to, level + 1, in_link))
+        below.append(("close", key, None, path, 0, False))
+        for item in reversed(below):
+            todo.append(item if item[0] != "text" else ("text" + ("+" if item[5] else ""), item[1], None, item[3], 0, False))
+
+
+class Region(NamedTuple):
+    """Where a host's main text stands: a place of its wrapper and the one above; or its constant texts."""
+
+    path: int | None = None
+    above: int | None = None
+    constant: frozenset[int] = frozenset()
+
+
+def main_text(page: list, wrapper: list, constant: set[int] | frozenset[int] = frozenset(), region: Region | None = None, places: dict[int, Places] | None = None) -> str:
+    """The blocks of the page's main text: its article regions; else the host's region; else the body without constant texts."""
+    region = region or Region(constant=frozenset(constant))
+    if has_main(wrapper) and _find_main(page):  # the region is optional: this page may lack it
+        return _blocks(aligned_texts(page, wrapper, places), lambda key, path: is_main(key))
+    events = list(aligned_texts(page, wrapper, places))
+    if region.path is not None and any(e[0] == "open" and e[1] == region.path for e in events):
+        return _blocks(_with_headings(events, region), lambda key, path: path == region.path)
+    return _blocks(events, lambda key, path: True, region.constant)
+
+
+def _with_headings(events: list[tuple], region: Region) -> Iterator[tuple]:
+    """Headings beside the region and before it become part of it."""
+    first = next(i for i, e in enumerate(events) if e[0] == "open" and e[1] == region.path)
+    depth, keep = 0, -1
+    for i, e in enumerate(events):
+        if e[0] == "open":
+            parent = depth
+            depth += 1
+            if i < first and keep < 0 and e[2].rstrip("*") in ("h1", "h2") and parents_are(events, i, region.above):
+                keep = parent
+                yield "open", region.path, "div"
+        yield e
+        if e[0] == "close":
+            depth -= 1
+            if depth == keep:
+                keep = -1
+                yield "close", region.path, "div"
+
+
+def parents_are(events: list[tuple], at: int, path: int | None) -> bool:
+    """Whether the element that opens at ``at`` stands directly in ``path``."""
+    closed = 0
+    for e in reversed(events[:at]):
+        if e[0] == "close":
+            closed += 1
+        elif e[0] == "open":
+            if not closed:
+                return e[1] == path
+            closed -= 1
+    return False
 
 
-def _blocks(page: list, only_main: bool, constant: set[int] | frozenset[int], slots: set[int] | None = None) -> str:
-    """The text by blocks; slots receives the slots that give text."""
+def _blocks(events: Iterable[tuple], opens: Callable[[str, int], bool], constant: frozenset[int] = frozenset()) -> str:
+    """The text by blocks, of the elements that ``opens`` names and what stands in them."""
     blocks: list[str] = []
     run: list[str] = []
 
@@ -354,35 +509,71 @@ def _blocks(page: list, only_main: bool, constant: set[int] | frozenset[int], sl
         if text:
             blocks.append(text)
 
-    todo: list[tuple | None] = [(page, 0, not only_main)]
-    while todo:
-        if (item := todo.pop()) is None:
-            end_block()
-            continue
-        node, path, inside = item
-        if isinstance(node, str):
-            if slots is not None and (text := squash(node)):
-                slots.add(slot_of(path, text))
-            if inside and not (constant and (text := squash(node)) and slot_of(path, text) in constant):
-                run.append(node)
-            continue
-        key = node[0]
-        if is_dropped(key):
+    inside: list[bool] = [False]
+    for kind, path, what in events:
+        if kind.startswith("text"):
+            if inside[-1] and not (constant and (text := squash(what)) and number_of(path, text) in constant):
+                run.append(what)
             continue
-        path = step(path, key)
-        inside = inside or is_main(key)
-        tag = key.rstrip("*")
+        tag = what.rstrip("*")
         if tag == "br":
-            run.append(" ")
-            continue
-        if tag in BLOCK:
+            if kind == "open":
+                run.append(" ")
+        elif tag in BLOCK:
             end_block()
-            todo.append(None)
-        todo += [(child, path, inside) for child in reversed(node[1])]
+        if kind == "open":
+            inside.append(inside[-1] or opens(what, path))
+        else:
+            inside.pop()
     end_block()
     return "\n".join(blocks)
 
 
+def slot_texts(page: list, wrapper: list, places: dict[int, Places] | None = None) -> list[tuple[int, str, bool]]:
+    """(slot, text, whether in a link) of the page's texts outside dropped regions."""
+    return [(path, squash(what), kind == "text+") for kind, path, what in aligned_texts(page, wrapper, places) if kind.startswith("text") and squash(what)]
+
+
+def choose_region(wrapper: list, weight: dict[int, float], blocks: dict[int, float]) -> tuple[int | None, int | None]:
+    """The place of the main text by how the slots behave, and the place above it.
+
+    ``weight`` has each slot's characters of varying text outside links, ``blocks`` how often a page has it.
+    From the top the walk goes on into the one container that holds REGION_SHARE of the
+    weight, as long as it holds several texts of a page; None if it never leaves the top.
+    """
+    totals: dict[int, tuple[float, float]] = {}
+    # what repeats in a page, and what is no box, belongs to the container around it
+    children: dict[int, list[tuple[int, str]]] = {}
+    blocked: set[int] = set()
+
+    def add(node: list, path: int) -> tuple[float, float]:
+        total = (0.0, 0.0)
+        order = Places(node[2])
+        children[path] = []
+        for item, name in zip(order.items, order.names):
+            to = step(path, f"{name} {item[0]}")
+            own = (weight.get(to, 0.0), blocks.get(to, 0.0)) if item[0] == "#text" else (0.0, 0.0) if is_dropped(item[0]) else add(item, to)
+            tag = item[0].split("~")[0].rstrip("*")
+            if item[0] != "#text" and item[1] not in ("+", "*"):
+                children[path].append((to, item[0]))
+            if own[0] > 0 and tag not in CONTAINERS and tag not in ("h1", "h2"):
+                blocked.add(path)
+            total = (total[0] + own[0], total[1] + own[1])
+        totals[path] = total
+        return total
+
+    add(wrapper, 0)
+    at, above, chosen = 0, None, (None, None)
+    while totals[at][0] > 0 and at not in blocked:
+        best = max((c for c in children[at] if c[0] in totals), key=lambda c: totals[c[0]][0], default=None)
+        if best is None or totals[best[0]][0] < REGION_SHARE * totals[at][0] or totals[best[0]][1] < REGION_BLOCKS:
+            break
+        above, at = at, best[0]
+        if best[1] not in ("html", "body"):
+            chosen = (at, above)
+    return chosen
+
+
 # -- the jobs ----------------------------------------------------------------------------------
 
 
@@ -428,51 +619,82 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page's digest and its slots' texts: slot, text's number, characters, whether in a link."""
+    loaded = worker_cache("html-slots", dict)
     for batch in batches:
         digests, slots = [], []
-        for page in batch.column("html").to_pylist():
-            found: set[int] = set()
-            digests.append(slot_of(0, _blocks(parse(page), False, frozenset(), found)))
-            slots.append(sorted(found))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array(digests, pa.int64()), pa.array(slots, pa.list_(pa.int64()))], names=["host", "page", "slots"]
-        )
+        for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
+            if wrapper not in loaded:
+                if len(loaded) >= OPEN_HOSTS:
+                    loaded.clear()
+                loaded[wrapper] = json.loads(wrapper), {}
+            found = slot_texts(parse(page), *loaded[wrapper])
+            digests.append(number_of(*(f"{p} {t}" for p, t, _ in found)))
+            slots.append([{"slot": p, "text": number_of(p, t), "chars": len(t), "link": link} for p, t, link in found])
+        kind = pa.list_(pa.struct([("slot", pa.int64()), ("text", pa.int64()), ("chars", pa.int64()), ("link", pa.bool_())]))
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(digests, pa.int64()), pa.array(slots, kind)], names=["host", "page", "slots"])
+
+
+def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for wrapper, slots in zip(batch.column("wrapper").to_pylist(), batch.column("slots").to_pylist()):
+            weight = {s["slot"]: s["weight"] for s in slots or []}
+            blocks = {s["slot"]: s["often"] for s in slots or []}
+            found.append(choose_region(json.loads(wrapper), weight, blocks))
+        columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), *columns], names=["host", "region", "above"])
 
 
-def constant_slots(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """host, constant array<bigint>: the constant slots of the given hosts that have any.
+def regions(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """host, region, above, constant array<bigint>: where the main text of the given hosts stands.
 
-    At most 1 / CONSTANT_SHARE times as many as a page holds on average.
+    Copies of a page count once.  A slot's text is constant if it stands on CONSTANT_PAGES pages or more
+    and on a share of CONSTANT_SHARE of the host's; constant ones and links have no weight.  A host's slots
+    are as many as its wrapper has, its constant texts at most 1 / CONSTANT_SHARE times as many as a page holds on average.
     """
-    of_hosts = pages.select(host_of(F.col("url")).alias("host"), "html").join(hosts, "host", "left_semi")
-    slots = written(of_hosts.mapInArrow(_slots, "host string, page bigint, slots array<bigint>"), "html_slots")
-    total = slots.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("total"))
-    counts = slots.select("host", "page", F.explode("slots").alias("slot")).distinct().groupBy("host", "slot").agg(F.count("*").alias("n"))
-    often = counts.where(F.col("n") >= CONSTANT_PAGES).join(total, "host").where(F.col("n") >= F.col("total") * CONSTANT_SHARE)
-    return often.groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("constant"))
+    of_hosts = pages.select(host_of(F.col("url")).alias("host"), "html").join(wrappers, "host")
+    rows = of_hosts.select("host", "html", "wrapper").mapInArrow(
+        _slots, "host string, page bigint, slots array<struct<slot:bigint,text:bigint,chars:bigint,link:boolean>>"
+    )
+    # one row of each page's copies, by an aggregate that sums where the rows lie
+    rows = written(rows.groupBy("host", "page").agg(F.first("slots").alias("slots")), "html_slots")
+    total = rows.groupBy("host").agg(F.count("*").alias("total"))
+    texts = rows.select("host", "page", F.explode("slots").alias("s")).groupBy("host", "s.slot", "s.text", "s.link")
+    texts = texts.agg(F.countDistinct("page").alias("n"), F.count("*").alias("times"), F.sum("s.chars").alias("chars")).join(total, "host")
+    texts = texts.withColumn("constant", (F.col("n") >= CONSTANT_PAGES) & (F.col("n") >= F.col("total") * CONSTANT_SHARE))
+    texts = written(texts, "html_texts")
+    constant = texts.where("constant").groupBy("host").agg(F.sort_array(F.collect_set("text")).alias("constant"))
+    weight = F.sum(F.when(F.col("constant") | F.col("link"), 0).otherwise(F.col("chars"))).cast("double")
+    slots = texts.groupBy("host", "slot").agg(weight.alias("weight"), (F.sum("times") / F.max("total")).alias("often"))
+    slots = slots.groupBy("host").agg(F.collect_list(F.struct("slot", "weight", "often")).alias("slots"))
+    chosen = wrappers.join(slots, "host", "left").select("host", "wrapper", "slots").mapInArrow(_regions, "host string, region bigint, above bigint")
+    return chosen.join(constant, "host", "left")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, host, text: the main text of every page."""
     wrappers = written(infer_wrappers(pages), "html_wrappers")
-    whole = wrappers.where("whole").select("host")
+    whole = wrappers.where("whole").select("host", "wrapper")
     if whole.isEmpty():
-        wrappers = wrappers.withColumn("constant", F.lit(None).cast("array<bigint>"))
+        none = F.lit(None).cast("bigint")
+        wrappers = wrappers.select("*", none.alias("region"), none.alias("above"), F.lit(None).cast("array<bigint>").alias("constant"))
     else:
-        wrappers = written(wrappers.join(constant_slots(pages, whole), "host", "left"), "html_readers")
+        wrappers = written(wrappers.join(regions(pages, whole), "host", "left"), "html_readers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded = worker_cache("html-wrappers", dict)
         for batch in batches:
             texts = []
-            columns = (batch.column(n) for n in ("html", "wrapper", "constant"))
-            for page, wrapper, constant in zip(*(c.to_pylist() for c in columns)):
-                key = wrapper, tuple(constant or ())
+            columns = (batch.column(n) for n in ("html", "wrapper", "region", "above", "constant"))
+            for page, wrapper, region, above, constant in zip(*(c.to_pylist() for c in columns)):
+                key = wrapper, region, above, tuple(constant or ())
                 if key not in loaded:
                     if len(loaded) >= OPEN_HOSTS:
                         loaded.clear()
-                    loaded[key] = json.loads(wrapper) if wrapper else ["#page", "", []], frozenset(key[1])
-                texts.append(main_text(parse(page), *loaded[key]))
+                    loaded[key] = json.loads(wrapper) if wrapper else ["#page", "", []], Region(region, above, frozenset(key[3])), {}
+                shape, place, known = loaded[key]
+                texts.append(main_text(parse(page), shape, region=place, places=known))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(texts, pa.string())],
                 names=["page_id", "url", "host", "text"],
