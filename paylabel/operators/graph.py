@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paylabel.functions import features as fx
 from paylabel.functions.hashing import hash_tokens, profile_tokens
+from paylabel.operators.factorise import factorise
 from paylabel.operators.snapshots import expand_to_snapshots
 
-# A date whose dense window matrix (senders x recipients) is at most this many
-# cells is factorised inside one task; larger dates go to the distributed SVD.
-DENSE_CELL_LIMIT = 4_000_000
-
 
 def with_canonical_recipient(txn: DataFrame) -> DataFrame:
     return txn.withColumn("recipient_canon_id", fx.canonical_recipient())
@@ -112,123 +106,15 @@ def hashed_recipients(
 # ------------------------------------------------------------------- SVD
 
 
-def svd_rank(n_rows: int, n_cols: int, svd_dim: int) -> int:
-    return int(min(svd_dim, max(2, min(n_rows, n_cols) - 1)))
-
-
-def _fix_signs(v: np.ndarray) -> np.ndarray:
-    """Make the largest-magnitude entry of every column positive."""
-    if v.size == 0:
-        return v
-    idx = np.argmax(np.abs(v), axis=0)
-    signs = np.sign(v[idx, np.arange(v.shape[1])])
-    signs[signs == 0] = 1.0
-    return v * signs
-
-
-def _dense_svd_group(pdf: pd.DataFrame, svd_dim: int) -> pd.DataFrame:
-    date = pdf["snapshot_date"].iloc[0]
-    senders = pd.Index(pdf["sender_id"].unique())
-    items = pd.Index(sorted(pdf["recipient_canon_id"].unique()))
-    a = np.zeros((len(senders), len(items)))
-    a[senders.get_indexer(pdf["sender_id"]), items.get_indexer(pdf["recipient_canon_id"])] = pdf["weight"].to_numpy()
-    k = svd_rank(a.shape[0], a.shape[1], svd_dim)
-    _, s, vt = np.linalg.svd(a, full_matrices=False)
-    k = min(k, len(s))
-    emb = _fix_signs(vt[:k].T) * np.sqrt(s[:k])
-    out = np.zeros((len(items), svd_dim))
-    out[:, :k] = emb
-    return pd.DataFrame({"snapshot_date": date, "recipient_canon_id": list(items), "svd_vec": list(out)})
-
-
-def recipient_svd_dense(edges: DataFrame, svd_dim: int = 64) -> DataFrame:
-    """Per-date factorisation for dates whose window matrix is size-checked small."""
-    schema = T.StructType(
-        [
-            T.StructField("snapshot_date", T.DateType()),
-            T.StructField("recipient_canon_id", T.StringType()),
-            T.StructField("svd_vec", T.ArrayType(T.DoubleType())),
-        ]
-    )
-    return edges.groupBy("snapshot_date").applyInPandas(lambda pdf: _dense_svd_group(pdf, svd_dim), schema)
-
-
-def _window_matrix(edges_one_date: DataFrame):
-    """One date's matrix with the larger side as rows: (matrix, columns, numbered recipients, whether they are the rows, rows)."""
-    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
-
-    items = edges_one_date.select("recipient_canon_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["recipient_canon_id", "_i"])
-    users = edges_one_date.select("sender_id").distinct().rdd.map(lambda r: r[0]).zipWithIndex().toDF(["sender_id", "_u"])
-    n_items, n_users = items.count(), users.count()
-    items_as_rows = n_items >= n_users
-    n_rows, n_cols = (n_items, n_users) if items_as_rows else (n_users, n_items)
-    e = edges_one_date.join(items, "recipient_canon_id").join(users, "sender_id")
-    rc = ("_i", "_u") if items_as_rows else ("_u", "_i")
-    coo = CoordinateMatrix(e.select(*rc, "weight").rdd.map(lambda r: MatrixEntry(r[0], r[1], float(r[2]))), n_rows, n_cols)
-    return coo, n_cols, items, items_as_rows, n_rows
-
+def recipient_svd(edges: DataFrame, svd_dim: int = 64) -> DataFrame:
+    """``snapshot_date, recipient_canon_id, svd_vec``: right singular vectors times the root of
+    their singular values, ``svd_dim`` wide; dates of any size share one job (see ``factorise``)."""
+    return factorise(edges, svd_dim).vectors
 
-def recipient_svd_distributed(edges_one_date: DataFrame, svd_dim: int = 64) -> DataFrame:
-    """Distributed rank-k SVD of one date's edges (``RowMatrix.computeSVD``).
-
-    The larger side becomes the distributed rows and the smaller side the
-    columns, so the only local factor (``V``, columns x k) is bounded by the
-    smaller side.  Recipient vectors are ``V·sqrt(s)`` of ``A`` (senders x
-    recipients): they come from the distributed ``U`` when recipients are the
-    rows (``Aᵀ = V S Uᵀ``), else from the local ``V``.  Components are signed
-    like the dense path (largest-magnitude entry positive).
-    """
-    spark = edges_one_date.sparkSession
-    date = edges_one_date.select("snapshot_date").limit(1).collect()[0][0]
-    coo, n_cols, items, items_as_rows, n_rows = _window_matrix(edges_one_date)
-    k = min(svd_rank(n_rows, n_cols, svd_dim), n_cols)
-    svd = coo.toIndexedRowMatrix().computeSVD(k, computeU=items_as_rows)
-    s = np.array(svd.s.toArray())
-    kk = len(s)
-    scale = np.sqrt(s)
-    if items_as_rows:
-        vec = spark.createDataFrame(svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()])), "_i long, u array<double>")
-        comps = vec.select(F.posexplode("u").alias("c", "x")).groupBy("c").agg(F.max_by("x", F.abs("x")).alias("x"))
-        # k (<= svd_dim) signs: a bounded result brought to the driver
-        signs = {int(r.c): (-1.0 if r.x < 0 else 1.0) for r in comps.collect()}
-        factors = [float(scale[i]) * signs.get(i, 1.0) for i in range(kk)]
-        scaled = vec.withColumn(
-            "svd_vec", fx.pad_right(F.zip_with("u", F.array(*[F.lit(f) for f in factors]), lambda a, b: a * b), svd_dim)
-        )
-    else:
-        v = _fix_signs(svd.V.toArray()) * scale  # n_items x k, the smaller side
-        rows = [(int(i), [float(x) for x in v[i]] + [0.0] * (svd_dim - kk)) for i in range(v.shape[0])]
-        scaled = spark.createDataFrame(rows, "_i long, svd_vec array<double>")
-    return scaled.join(items, "_i").select(F.lit(date).cast("date").alias("snapshot_date"), "recipient_canon_id", "svd_vec")
-
-
-def recipient_svd(
-    edges: DataFrame, svd_dim: int = 64, dense_cell_limit: int = DENSE_CELL_LIMIT, max_concurrent_dates: int = 4
-) -> DataFrame:
-    """All dates: size-checked dates factorised per task, the rest distributed.
-
-    The check is a per-date aggregate (distinct senders x distinct
-    recipients); dates over the limit are the only ones that reach the driver
-    loop, each as a distributed SVD job.
-    """
-    sizes = edges.groupBy("snapshot_date").agg(
-        (F.approx_count_distinct("sender_id", 0.01) * F.approx_count_distinct("recipient_canon_id", 0.01)).alias("cells")
-    )
-    # one row per oversized date: bounded by the number of dates
-    big = [r[0] for r in sizes.where(F.col("cells") > F.lit(dense_cell_limit * 0.9)).select("snapshot_date").collect()]
-    small_edges = edges.join(F.broadcast(sizes.where(F.col("cells") <= F.lit(dense_cell_limit * 0.9)).select("snapshot_date")), "snapshot_date", "left_semi") if big else edges
-    out = recipient_svd_dense(small_edges, svd_dim)
-    if big:
-        # oversized dates are independent factorisations: submit them as concurrent jobs
-        from concurrent.futures import ThreadPoolExecutor
 
-        def one(d):
-            return recipient_svd_distributed(edges.where(F.col("snapshot_date") == F.lit(d)), svd_dim)
-
-        with ThreadPoolExecutor(max_workers=min(max_concurrent_dates, len(big))) as pool:
-            for part in pool.map(one, big):
-                out = out.unionByName(part)
-    return out
+def singular_values(edges: DataFrame, svd_dim: int = 64) -> DataFrame:
+    """``snapshot_date, rank, singular_value``: every date's ``svd_dim`` leading ones (all, if fewer), descending."""
+    return factorise(edges, svd_dim).values
 
 
 def recipient_state(edges: DataFrame, hashed: DataFrame, svd_dim: int = 64, active: DataFrame | None = None) -> DataFrame:
@@ -254,38 +140,3 @@ def snapshot_stats(df: DataFrame, id_col: str) -> DataFrame:
     return df.groupBy("snapshot_date").agg(
         F.countDistinct(id_col).alias("n_active"), F.count(F.lit(1)).alias("n_window_rows")
     )
-
-
-
-def _singular_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    senders = pd.Index(pdf["sender_id"].unique())
-    items = pd.Index(pdf["recipient_canon_id"].unique())
-    a = np.zeros((len(senders), len(items)))
-    a[senders.get_indexer(pdf["sender_id"]), items.get_indexer(pdf["recipient_canon_id"])] = pdf["weight"].to_numpy()
-    s = np.linalg.svd(a, compute_uv=False)
-    return pd.DataFrame({"snapshot_date": pdf["snapshot_date"].iloc[0], "rank": np.arange(1, len(s) + 1, dtype="int32"), "singular_value": s})
-
-
-def _singular_distributed(edges_one_date: DataFrame, date) -> DataFrame:
-    """The same values from the distributed decomposition; those under its cut-off are zero."""
-    matrix, n_cols = _window_matrix(edges_one_date)[:2]
-    s = [float(x) for x in matrix.toIndexedRowMatrix().computeSVD(n_cols).s.toArray()]
-    rows = [(date, i + 1, x) for i, x in enumerate(s + [0.0] * (n_cols - len(s)))]  # as many as the smaller side
-    return edges_one_date.sparkSession.createDataFrame(rows, "snapshot_date date, rank int, singular_value double")
-
-
-def singular_values(edges: DataFrame, dense_cell_limit: int = DENSE_CELL_LIMIT) -> DataFrame:
-    """All singular values of every date's window matrix, descending (``rank`` 1 = largest).
-
-    Dates are size-checked like ``recipient_svd``; larger ones are decomposed distributed.
-    """
-    sizes = edges.groupBy("snapshot_date").agg(
-        (F.approx_count_distinct("sender_id", 0.01) * F.approx_count_distinct("recipient_canon_id", 0.01)).alias("cells")
-    )
-    large = F.col("cells") > F.lit(dense_cell_limit * 0.9)
-    big = [r[0] for r in sizes.where(large).select("snapshot_date").collect()]  # at most one row per date
-    small = edges.where(~F.col("snapshot_date").isin(big)) if big else edges
-    out = small.groupBy("snapshot_date").applyInPandas(_singular_group, "snapshot_date date, rank int, singular_value double")
-    for date in big:
-        out = out.unionByName(_singular_distributed(edges.where(F.col("snapshot_date") == F.lit(date)), date))
-    return out

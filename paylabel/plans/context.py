@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from paylabel.functions import features as fx
 from paylabel.functions.textvec import with_hashed_sentence_vector
 from paylabel.operators.snapshots import fit_category_vocab
+from paylabel.plans import trainer
+from paylabel.plans.networks import AutoEncoder
+from paylabel.session import shared_path
 
 NUMERIC = ["amount_log", "hour_sin", "hour_cos"]
 
@@ -128,16 +131,50 @@ def fit_ctx_embedding(ctx: DataFrame, k: int = 128):
     return model, mse
 
 
-def load_ctx_embedding(path: str):
-    from pyspark.ml.feature import PCAModel
+def held_out(id_col: str = "txn_id", one_in: int = 10) -> F.Column:
+    """Rows kept for validation, by a hash of their id."""
+    return F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(one_in)) == 0
 
-    return PCAModel.load(path)
+
+def fit_ctx_autoencoder(
+    ctx: DataFrame,
+    code: int = 128,
+    hidden: int = 256,
+    epochs: int = 5,
+    lr: float = 1e-3,
+    patience: int = 3,
+    drop: float = 0.2,
+    batch_rows: int = trainer.BATCH_ROWS,
+    seed: int = 42,
+    checkpoint: str | None = None,
+) -> trainer.Fitted:
+    """The context encoder: a normalised, non-linear auto-encoder trained on the context vectors.
+
+    A tenth of the rows is held out; ``extra["history"]`` holds the losses of every epoch, the
+    parameters are those of the best one.
+    """
+    spark = ctx.sparkSession
+    d = ctx.select(F.size("ctx_vec").alias("d")).first()["d"]
+    root = shared_path(spark, "blocks", "ctx", unique=True)
+    rows, encode = ctx.select("txn_id", "ctx_vec"), trainer.vectors("ctx_vec")
+    steps = trainer.rounds_of(rows.count(), batch_rows)
+    train = trainer.pack_blocks(rows.where(~held_out()), f"{root}/train", encode, "txn_id", steps, seed)
+    val = trainer.pack_blocks(rows.where(held_out()), f"{root}/val", encode, "txn_id", 1, seed)
+    net = AutoEncoder(d, code, hidden, drop)
+    state = trainer.fit(net, train, val, epochs, lr, patience, seed, checkpoint)
+    return trainer.Fitted(net, state.best if state.best is not None else state.params, {"history": state.history})
+
+
+def load_ctx_embedding(path: str) -> trainer.Fitted:
+    return trainer.Fitted.load(SparkSession.getActiveSession(), path)
 
 
 def embed(ctx: DataFrame, model) -> DataFrame:
     """Adds ``ctx_emb``, the fitted embedding of ``ctx_vec``."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
+    if isinstance(model, trainer.Fitted):
+        return model.apply(ctx, trainer.vectors("ctx_vec"), ["ctx_vec"], "ctx_emb")
     return model.transform(ctx.withColumn("x", array_to_vector("ctx_vec"))).withColumn("ctx_emb", vector_to_array("z")).drop("x", "z")
 
 

@@ -7,13 +7,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylabel.plans import context, scoring, stores, training
-from paylabel.plans.encoders import fit_next_event_models
+from paylabel.plans.encoders import fit_next_event_models, fit_sender_encoder
 from paylabel.operators import snapshots
 from paylabel.operators.ranking import exact_quantiles
 from paylabel.functions import features as fx
@@ -24,10 +25,11 @@ REQUIRED_TABLES = ["transactions", "recipient_entity", "merchant_profile", "pers
 #: Reported name and folder of each fitted artifact.
 ARTIFACTS = {
     "ctx_artifacts": "ctx",
-    "ctx_embedding": "ctx_pca",
+    "ctx_embedding": "ctx_encoder",
     "amount_quantiles": "amount_quantiles",
     "next_event_type": "next_event_y_type",
     "next_event_amount": "next_event_y_amount",
+    "sender_encoder": "sender_encoder",
     "classifier": "classifier",
 }
 
@@ -63,21 +65,40 @@ def check_inputs(spark: SparkSession, data: dict[str, DataFrame | None], paths:
     return spark.createDataFrame(rows, "item string, kind string, present boolean")
 
 
-def fit_encoders(spark: SparkSession, data: dict[str, DataFrame], paths: Paths, text_dim: int = 16, emb_dim: int = 128) -> context.CtxArtifacts:
-    """Fit context artifacts (scaler, vocabularies), the PCA context embedding and
-    the next-event models; save the artifacts and the amount quantiles."""
+def fit_encoders(
+    spark: SparkSession,
+    data: dict[str, DataFrame],
+    paths: Paths,
+    text_dim: int = 300,
+    emb_dim: int = 128,
+    ctx_epochs: int = 5,
+    sender_epochs: int = 5,
+    sender_hidden: int = 128,
+    run_id: str | None = None,
+) -> context.CtxArtifacts:
+    """Fit context artifacts (scaler, vocabularies), the context auto-encoder, the recurrent
+    sender encoder and its linear baseline; save them and the amount quantiles.
+
+    Both trainings write a checkpoint after every epoch; a stopped run goes on from it under the same ``run_id``.
+    """
+    progress = f"{paths.root}/training/{run_id or uuid.uuid4().hex[:12]}"
     t = data["transactions"]
     art = context.fit_ctx(t, text_dim)
     art.save(spark, f"{paths.artifacts}/ctx")
     ctx = context.build_ctx(t, art)
-    model, _ = context.fit_ctx_embedding(ctx, emb_dim)
-    io.save_model(model, f"{paths.artifacts}/ctx_pca")
+    encoder = context.fit_ctx_autoencoder(ctx, emb_dim, epochs=ctx_epochs, checkpoint=f"{progress}/ctx_encoder")
+    encoder.save(spark, f"{paths.artifacts}/ctx_encoder")
     ev = snapshots.event_features(t, art.tt_vocab, art.ch_vocab)
     q = exact_quantiles(ev, "amount_log", [0.2, 0.4, 0.6, 0.8])
     io.save_table(q, f"{paths.artifacts}/amount_quantiles")
     edges = [q.where(F.col("q_idx") == i).select("value").scalar() for i in range(4)]
     hist = snapshots.sender_history(ev.withColumn("amt_bin", fx.bin_by_edges("amount_log", edges)))
     ex = snapshots.next_event_examples(hist, ["amount_log", "hour_sin", "hour_cos", "tt_idx", "ch_idx"], ["tt_idx", "amt_bin"])
+    ex = ex.checkpoint(eager=True)
+    sender = fit_sender_encoder(
+        ex, len(art.tt_vocab), len(art.ch_vocab), sender_hidden, sender_epochs, checkpoint=f"{progress}/sender_encoder"
+    )
+    sender.save(spark, f"{paths.artifacts}/sender_encoder")
     heads, losses = fit_next_event_models(ex, len(art.tt_vocab))
     for head, fitted in heads.items():
         io.save_model(fitted, f"{paths.artifacts}/next_event_{head}")
@@ -88,7 +109,7 @@ def fit_encoders(spark: SparkSession, data: dict[str, DataFrame], paths: Paths,
 def build_ctx(spark: SparkSession, data: dict[str, DataFrame], paths: Paths, mode: str = "inference") -> DataFrame:
     art = context.CtxArtifacts.load(spark, f"{paths.artifacts}/ctx")
     out = context.build_ctx(data["transactions"], art, mode)
-    out = context.embed(out, context.load_ctx_embedding(f"{paths.artifacts}/ctx_pca"))
+    out = context.embed(out, context.load_ctx_embedding(f"{paths.artifacts}/ctx_encoder"))
     io.sink_ctx(out, f"{paths.ctx}_{mode}")
     return spark.read.parquet(f"{paths.ctx}_{mode}")
 
@@ -113,10 +134,11 @@ def fit_classifier(
     val_split: float = 0.2,
     split_method: str = "date",
     hidden: tuple[int, ...] = (512, 256),
-    max_iters: tuple[int, ...] = (25, 50, 100),
+    epochs: int = 8,
     patience: int = 3,
     svd_dim: int = 64,
     hash_dim: int = 32,
+    run_id: str | None = None,
 ):
     art = context.CtxArtifacts.load(spark, f"{paths.artifacts}/ctx")
     ctx = spark.read.parquet(f"{paths.ctx}_train")
@@ -131,9 +153,10 @@ def fit_classifier(
         raise ValueError(f"split_method must be 'date' or 'random', not {split_method!r}")
     split = split.checkpoint(eager=True)
     model, metrics = training.fit_classifier(
-        split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden, max_iters, patience
-    )
-    io.save_model(model, f"{paths.artifacts}/classifier")
+        split.where("split = 'train'"), split.where("split = 'val'"), 10, hidden, epochs=epochs, patience=patience,
+        checkpoint=f"{paths.root}/training/{run_id or uuid.uuid4().hex[:12]}/classifier",
+    )
+    model.save(spark, f"{paths.artifacts}/classifier")
     return model, metrics
 
 
@@ -153,8 +176,8 @@ def classify_requests(spark: SparkSession, requests: DataFrame, replies: DataFra
     return scoring.classify_requests(requests, scoring.load_scorer(spark, paths.artifacts, paths.x_snd, paths.x_rcv), replies)
 
 
-def run_training(spark, data, paths: Paths, text_dim: int = 16, emb_dim: int = 128, **clf_args):
-    fit_encoders(spark, data, paths, text_dim, emb_dim)
+def run_training(spark, data, paths: Paths, text_dim: int = 300, emb_dim: int = 128, encoder_args: dict | None = None, **clf_args):
+    fit_encoders(spark, data, paths, text_dim, emb_dim, **(encoder_args or {}))
     build_ctx(spark, data, paths, "train")
     build_sender_store(spark, data, paths)
     build_recipient_store(spark, data, paths)

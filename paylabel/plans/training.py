@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylabel.functions import features as fx
 from paylabel.operators.ranking import bucketed_rank, exact_quantiles
+from paylabel.plans import trainer
 from paylabel.plans.context import require_columns
+from paylabel.plans.networks import Classifier
+from paylabel.session import shared_path
 from paylabel.sources import io
 
 
@@ -113,71 +119,88 @@ def stratified_split(df: DataFrame, val_split: float = 0.2, seed: int = 42, labe
 # ---------------------------------------------------------------- model
 
 
+def _confusion(net: Classifier, params: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("data").to_pylist():
+                block = trainer.unpack(raw)
+                pairs, n = np.unique(np.stack([block["y"], net.outputs(params, block).argmax(axis=1)]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(p, pa.int32()) for p in pairs), pa.array(n, pa.int64())], names=["label", "pred", "n"])
+
+    return run
+
+
+def epoch_metrics(net: Classifier, blocks: DataFrame) -> Callable[[np.ndarray], dict[str, float]]:
+    """Validation accuracy and macro-F1 of a parameter vector, from one confusion table."""
+
+    def of(params: np.ndarray) -> dict[str, float]:
+        rows = blocks.select("data").mapInArrow(_confusion(net, params), "label int, pred int, n bigint").groupBy("label", "pred").agg(F.sum("n").alias("n"))
+        table = np.zeros((net.spec["classes"],) * 2)
+        for r in rows.collect():  # classes x classes
+            table[r.label, r.pred] = r.n
+        hit, given, said = table.diagonal(), table.sum(axis=1), table.sum(axis=0)
+        seen = (given + said) > 0
+        return {"accuracy": float(hit.sum() / max(table.sum(), 1)), "f1_macro": float((2 * hit[seen] / (given + said)[seen]).mean()) if seen.any() else 0.0}
+
+    return of
+
+
 def fit_classifier(
     train: DataFrame,
     val: DataFrame,
     n_classes: int,
     hidden: tuple[int, ...] = (512, 256),
-    max_iters: tuple[int, ...] = (25, 50, 100),
+    drops: tuple[float, ...] = (0.3, 0.2),
+    epochs: int = 8,
     patience: int = 3,
     seed: int = 42,
-):
-    """Multilayer perceptron (distributed L-BFGS); the candidate with the lowest
-    validation log-loss wins, stopping after ``patience`` non-improving ones.  Each candidate
-    goes on from the weights of the one before it, so ``max_iters`` are totals.
-
-    Returns ``(model, metrics_df)``.
+    lr: float = 1e-3,
+    batch_rows: int = trainer.BATCH_ROWS,
+    id_col: str = "txn_id",
+    checkpoint: str | None = None,
+) -> tuple[trainer.Fitted, DataFrame]:
+    """Layers with normalisation and dropout, trained by mini-batch Adam on data-parallel gradients.
+
+    After every epoch the validation loss, accuracy and macro-F1 are taken; training stops after ``patience``
+    epochs without a lower loss, and the parameters of the best epoch are kept.  Returns the model, whose
+    ``extra["history"]`` holds all epochs, and the best state's metrics.
     """
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-    from pyspark.ml.functions import array_to_vector
-
     from paylabel.operators.metrics import evaluate
 
-    def prep(df: DataFrame) -> DataFrame:
-        return df.select(array_to_vector("features").alias("fv"), F.col("label_idx").cast("double").alias("label_d"), "label_idx")
-
-    tr, va = prep(train), prep(val)
+    spark = train.sparkSession
     d = train.select(F.size("features")).first()[0]
-    best, best_loss, best_metrics, bad = None, math.inf, None, 0
-    done, weights = 0, None
-    for it in max_iters:
-        mlp = MultilayerPerceptronClassifier(
-            featuresCol="fv", labelCol="label_d", layers=[d, *hidden, n_classes], maxIter=it - done, seed=seed, blockSize=128
-        )
-        if weights is not None:
-            mlp.setInitialWeights(weights)
-        model = mlp.fit(tr)
-        done, weights = it, model.weights
-        # every metric reads the scored rows: score them once
-        scored = score_batch(model, va).select("label", "pred", "logits", "prob").checkpoint(eager=True)
-        metrics = evaluate(scored, n_classes)
-        loss = metrics.select("log_loss").first()[0]
-        if loss < best_loss - 1e-9:
-            best, best_loss, best_metrics, bad = model, loss, metrics, 0
-        else:
-            bad += 1
-            if bad >= patience:
-                break
-    return best, best_metrics
-
-
-def load_classifier(path: str):
-    from pyspark.ml.classification import MultilayerPerceptronClassificationModel
-
-    return MultilayerPerceptronClassificationModel.load(path)
-
-
-def class_probabilities(model, df: DataFrame) -> DataFrame:
-    """``logits`` and ``prob`` for a table with ``fv`` or ``features``; labels are not needed."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    rows = df if "fv" in df.columns else df.withColumn("fv", array_to_vector("features"))
-    return model.transform(rows).withColumn("logits", vector_to_array("rawPrediction")).withColumn("prob", fx.softmax("logits"))
-
-
-def score_batch(model, df: DataFrame) -> DataFrame:
+    root = shared_path(spark, "blocks", "classifier", unique=True)
+    encode = trainer.vectors("features", "label_idx")
+    rows = lambda df: df.select(F.col(id_col), "features", F.col("label_idx").cast("int").alias("label_idx"))
+    steps = trainer.rounds_of(train.count(), batch_rows)
+    tr = trainer.pack_blocks(rows(train), f"{root}/train", encode, id_col, steps, seed)
+    va = trainer.pack_blocks(rows(val), f"{root}/val", encode, id_col, 1, seed)
+    net = Classifier(d, n_classes, tuple(hidden), (tuple(drops) + (0.0,) * len(hidden))[: len(hidden)])
+    state = trainer.fit(net, tr, va, epochs, lr, patience, seed, checkpoint, epoch_metrics(net, va))
+    model = trainer.Fitted(net, state.best if state.best is not None else state.params, {"history": state.history})
+    # every metric reads the scored rows: score them once
+    scored = score_batch(model, rows(val), keep=["label_idx"]).select("label", "pred", "logits", "prob").checkpoint(eager=True)
+    return model, evaluate(scored, n_classes)
+
+
+def training_history(spark: SparkSession, model: trainer.Fitted) -> DataFrame:
+    """One row per epoch: losses, validation accuracy and macro-F1."""
+    rows = [(int(h["epoch"]), h["train_loss"], h["val_loss"], h["accuracy"], h["f1_macro"]) for h in model.extra["history"]]
+    return spark.createDataFrame(rows, "epoch int, train_loss double, val_loss double, accuracy double, f1_macro double")
+
+
+def load_classifier(path: str) -> trainer.Fitted:
+    return trainer.Fitted.load(SparkSession.getActiveSession(), path)
+
+
+def class_probabilities(model: trainer.Fitted, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``keep`` (default: all columns) with ``logits`` and ``prob`` for a table with ``features``; labels are not needed."""
+    return model.apply(df, trainer.vectors("features"), ["features"], "logits", keep).withColumn("prob", fx.softmax("logits"))
+
+
+def score_batch(model: trainer.Fitted, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``logits``, ``prob``, ``pred`` and ``confidence`` for a feature table."""
-    out = class_probabilities(model, df)
+    out = class_probabilities(model, df, keep)
     return out.withColumn("pred", fx.argmax("prob")).withColumn("confidence", F.array_max("prob")).withColumn(
         "label", F.col("label_idx").cast("int")
     )

@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from paylabel import oracle as O
 from paylabel.functions import features as fx
+from paylabel.functions import subword
 from paylabel.functions.replies import confidence_gate, extract_json_reply
 from paylabel.functions.rules import KEYWORD_RULES, apply_rules, type_rule
 from paylabel.functions.text import keyword_match, strip_accents
-from paylabel.functions.textvec import hashed_word_table, sentence_vector_from_table
+from paylabel.functions.textvec import hashed_word_table, sentence_vector_from_table, tokens
 from pyspark.ml.functions import vector_to_array
+from paylabel.operators import recurrence
+from paylabel.operators.factorise import factorise
 from paylabel.operators import cascade as cz
 from paylabel.operators import graph, metrics, snapshots
 from paylabel.operators.ranking import bucketed_rank, exact_quantiles
@@ -84,8 +87,8 @@ def sender_states(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.sender_state(ev, spec.tt_vocab, spec.ch_vocab, spec.lookback_days, spec.half_life_days)
 
 
-#: Width of the context embedding: below the context vector's 26, so that it is learned.
-EMB_DIM = 16
+#: Width of the context encoder's output.
+EMB_DIM = 128
 
 #: Stores that queries only read: built once per application and input.
 _BUILT: dict[tuple[str, str, str], tuple] = {}
@@ -136,8 +139,12 @@ def stub_scored(spark: SparkSession, sf: str) -> DataFrame:
     return s.withColumn("pred", fx.argmax("prob")).withColumn("label", F.col("label_idx"))
 
 
-def ctx_art(spark: SparkSession, sf: str) -> context.CtxArtifacts:
-    return context.fit_ctx(txn(spark, sf), text_dim=16)
+def ctx_art(spark: SparkSession, sf: str, text_dim: int = 16) -> context.CtxArtifacts:
+    return context.fit_ctx(txn(spark, sf), text_dim=text_dim)
+
+
+#: Width of the sentence vectors that the models are trained on.
+TEXT_DIM = 300
 
 
 def edges_all_period(spark: SparkSession, sf: str) -> DataFrame:
@@ -924,6 +931,34 @@ def q_sender_state(spark, sf):
     return s.select("sender_id", ds("snapshot_date").alias("snapshot_date"), "n_window_txns", r6(fx.checksum("state")).alias("checksum"))
 
 
+def _gate_sql(weights, biases=None):
+    lines = [" + ".join(f"({w!r}) * {c}" for w, c in zip(row, ("e.amount_log", "e.hour_sin", "e.hour_cos"))) for row in weights]
+    return [f"1.0 / (1.0 + exp(-({b!r} + {x})))" for x, b in zip(lines, biases)] if biases else lines
+
+
+@register(
+    "sender_gated_state",
+    O.with_("txn", "feat", "ap AS (SELECT DISTINCT sender_id, txn_date AS d FROM feat WHERE sender_id IS NOT NULL)")
+    + ", "
+    + "gz AS (SELECT ap.sender_id, ap.d, e.txn_time_utc AS t, e.txn_id, "
+    + ", ".join(f"{z} AS z{i}" for i, z in enumerate(_gate_sql(recurrence.GATE_WEIGHTS, recurrence.GATE_BIASES)))
+    + ", "
+    + ", ".join(f"{v} AS v{i}" for i, v in enumerate(_gate_sql(recurrence.VALUE_WEIGHTS)))
+    + """ FROM ap JOIN feat e ON e.sender_id = ap.sender_id AND e.txn_date BETWEEN ap.d - 10 AND ap.d),
+gl AS (SELECT *, """
+    + ", ".join(f"coalesce(sum(ln(1 - z{i})) OVER later, 0) AS s{i}" for i in range(4))
+    + """ FROM gz WINDOW later AS (PARTITION BY sender_id, d ORDER BY t, txn_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+SELECT sender_id, CAST(d AS VARCHAR) AS snapshot_date, CAST(count(*) AS BIGINT) AS n_window_txns, """
+    + ", ".join(f"{O.r6(f'sum(z{i} * v{i} * exp(s{i}))')} AS h{i}" for i in range(4))
+    + " FROM gl GROUP BY sender_id, d",
+)
+def q_sender_gated_state(spark, sf):
+    """The order-indexed gated state of every active sender and day."""
+    tt, ch = vocabs(spark, sf)
+    s = recurrence.gated_sender_state(snapshots.event_features(txn(spark, sf), tt, ch))
+    return s.select("sender_id", ds("snapshot_date").alias("snapshot_date"), "n_window_txns", *[r6(F.get("state", i)).alias(f"h{i}") for i in range(4)])
+
+
 # ================================================== 2.6 sort / limit
 
 
@@ -1209,6 +1244,18 @@ def q_ctx_features(spark, sf):
     return c.select("txn_id", F.size("ctx_vec").alias("n_dims"), r6(fx.checksum("ctx_vec")).alias("checksum"))
 
 
+@register(
+    "ctx_features_wide",
+    O.with_("txn", "feat", O.VOCAB, O.SCALED, O.CTXLONG, O.TEXTLONG.replace("range(0, 16)", "range(0, 300)"))
+    + f""", allv AS (SELECT txn_id, dim, v FROM ctxl UNION ALL SELECT txn_id, 3 + (SELECT nt + nc FROM nv) + dim, v FROM textl)
+SELECT txn_id, CAST(3 + (SELECT nt + nc FROM nv) + 300 AS INT) AS n_dims, round(sum((dim + 1) * v), 5) + 0.0 AS checksum FROM allv GROUP BY txn_id""",
+)
+def q_ctx_features_wide(spark, sf):
+    """Context vectors with the full 300-wide sentence vector, as the models take them."""
+    c = context.build_ctx(txn(spark, sf), ctx_art(spark, sf, TEXT_DIM))
+    return c.select("txn_id", F.size("ctx_vec").alias("n_dims"), (F.round(fx.checksum("ctx_vec"), 5) + F.lit(0.0)).alias("checksum"))
+
+
 # ============================================ 2.10 training set, splits, metrics
 
 _VALID = "valid AS (SELECT f.*, lm.idx AS label_idx FROM feat f JOIN lm ON lm.code = f.category)"
@@ -1469,6 +1516,35 @@ def q_order_singular(spark, sf):
     return graph.singular_values(e).select(ds("snapshot_date").alias("snapshot_date"), "rank", r6("singular_value").alias("singular_value"))
 
 
+#: Edges of every window, and the leading right singular vector of each date by power iteration.
+_EDGES_SQL = f"""ra AS ({_RCV_ACTIVE}),
+ed AS MATERIALIZED (SELECT ra.d, f.sender_id AS s, f.recipient_canon_id AS r, ln(1 + sum(f.amount)) AS w
+FROM ra JOIN feat f ON f.recipient_canon_id = ra.recipient_canon_id AND f.txn_date BETWEEN ra.d - 10 AND ra.d
+WHERE f.sender_id IS NOT NULL GROUP BY ra.d, f.sender_id, f.recipient_canon_id)"""
+_POWER_SQL = """pw AS (
+  SELECT 0 AS k, d, r, CAST(1.0 AS DOUBLE) AS v, CAST(1.0 AS DOUBLE) AS lam FROM (SELECT DISTINCT d, r FROM ed)
+  UNION ALL
+  SELECT k, d, r, y / sqrt(sum(y * y) OVER (PARTITION BY d)), sqrt(sum(y * y) OVER (PARTITION BY d)) FROM (
+    SELECT z.k + 1 AS k, z.d, ed.r, sum(ed.w * z.z) AS y
+    FROM (SELECT max(pw.k) AS k, ed.d, ed.s, sum(ed.w * pw.v) AS z FROM pw JOIN ed ON ed.d = pw.d AND ed.r = pw.r WHERE pw.k < 60 GROUP BY ed.d, ed.s) z
+    JOIN ed ON ed.d = z.d AND ed.s = z.s GROUP BY z.k, z.d, ed.r) q)"""
+
+
+@register(
+    "svd_leading",
+    O.with_("txn", "feat", _EDGES_SQL, _POWER_SQL).replace("WITH ", "WITH RECURSIVE ", 1)
+    + """SELECT CAST(d AS VARCHAR) AS snapshot_date, r AS recipient_canon_id, round(v * sqrt(sqrt(lam)), 4) + 0.0 AS leading,
+       round(sqrt(lam), 4) + 0.0 AS singular_value FROM pw WHERE k = 60""",
+)
+def q_svd_leading(spark, sf):
+    """Every recipient's leading coordinate and its date's largest singular value (the SQL finds them by power iteration)."""
+    f = factorise(graph.interaction_edges(txn(spark, sf), 10), 64, rounds=7)  # to four digits
+    top = f.values.where("rank = 1").select("snapshot_date", "singular_value")
+    v = f.vectors.join(F.broadcast(top), "snapshot_date")  # one row per date
+    four = lambda x: F.round(x, 4) + F.lit(0.0)
+    return v.select(ds("snapshot_date").alias("snapshot_date"), "recipient_canon_id", four(F.get("svd_vec", 0)).alias("leading"), four("singular_value").alias("singular_value"))
+
+
 @register("recipient_snapshot")
 def q_recipient_snapshot(spark, sf):
     root, _ = built_recipient_store(spark, sf, "rcv_snapshot")
@@ -1478,9 +1554,43 @@ def q_recipient_snapshot(spark, sf):
 
 @register("ctx_embedding")
 def q_ctx_embedding(spark, sf):
-    c = context.build_ctx(txn(spark, sf), ctx_art(spark, sf))
-    model, mse = context.fit_ctx_embedding(c, EMB_DIM)
-    return mse.select(F.lit(model.getK()).alias("k"), r6("mse").alias("reconstruction_mse"))
+    """Losses of the context auto-encoder's epochs, and its embedding's width."""
+    model = trained_ctx_encoder(spark, sf)
+    rows = [(int(h["epoch"]), h["train_loss"], h["val_loss"]) for h in model.extra["history"]]
+    h = spark.createDataFrame(rows, "epoch int, train_loss double, val_loss double")
+    return h.select(F.lit(model.net.spec["code"]).alias("k"), "epoch", r6("train_loss").alias("train_loss"), r6("val_loss").alias("val_loss"))
+
+
+def trained_ctx_encoder(spark: SparkSession, sf: str):
+    """The context auto-encoder, trained once per application and input."""
+    key = (spark.sparkContext.applicationId, sf, "ctx_encoder")
+    if key not in _BUILT:
+        _BUILT[key] = context.fit_ctx_autoencoder(context.build_ctx(txn(spark, sf), ctx_art(spark, sf, TEXT_DIM)), EMB_DIM)
+    return _BUILT[key]
+
+
+@register("ctx_embedding_rows", O.with_("txn") + "SELECT txn_id, 128 AS dim, true AS normalised FROM txn")
+def q_ctx_embedding_rows(spark, sf):
+    """Every transaction's context embedding: its width, and that the last layer normalised it (before gain and shift: mean 0, variance 1)."""
+    model = trained_ctx_encoder(spark, sf)
+    p = model.net.split(model.params)
+    gain, shift = ([float(x) for x in p[f"encoder.5.{k}"]] for k in ("gain", "shift"))
+    e = context.embed(context.build_ctx(txn(spark, sf), ctx_art(spark, sf, TEXT_DIM)), model)
+    unit = F.zip_with(F.zip_with("ctx_emb", F.lit(shift), lambda x, b: x - b), F.lit(gain), lambda x, g: x / g)
+    e = e.withColumn("u", unit).withColumn("mean", fx.dot_sum("u") / F.size("u")).withColumn("second", fx.dot_sum(F.transform("u", lambda x: x * x)) / F.size("u"))
+    return e.select("txn_id", F.size("ctx_emb").alias("dim"), ((F.abs("mean") < 1e-6) & (F.col("second") <= 1.0 + 1e-6) & (F.col("second") > 0.5)).alias("normalised"))
+
+
+@register("sender_encoder")
+def q_sender_encoder(spark, sf):
+    """Losses of the recurrent sender encoder's epochs (type and amount heads together)."""
+    from paylabel.plans.encoders import fit_sender_encoder
+
+    tt, ch = vocabs(spark, sf)
+    model = fit_sender_encoder(_examples(spark, sf), len(tt), len(ch))
+    rows = [(int(h["epoch"]), h["train_loss"], h["val_loss"]) for h in model.extra["history"]]
+    h = spark.createDataFrame(rows, "epoch int, train_loss double, val_loss double")
+    return h.select("epoch", r6("train_loss").alias("train_loss"), r6("val_loss").alias("val_loss"))
 
 
 @register("next_event_models")
@@ -1495,9 +1605,9 @@ def trained_parts(spark: SparkSession, sf: str) -> dict:
     key = (spark.sparkContext.applicationId, sf, "trained")
     if key not in _BUILT:
         root = shared_path(spark, "artifacts", "trained", unique=True)
-        art = ctx_art(spark, sf)
+        art = ctx_art(spark, sf, TEXT_DIM)
         ctx = context.build_ctx(txn(spark, sf), art, mode="train")
-        embedder, _ = context.fit_ctx_embedding(ctx, EMB_DIM)
+        embedder = trained_ctx_encoder(spark, sf)
         sroot, sspec = built_sender_store(spark, sf, "trained")
         rroot, rspec = built_recipient_store(spark, sf, "trained")
         ctx = context.embed(ctx, embedder)
@@ -1507,9 +1617,9 @@ def trained_parts(spark: SparkSession, sf: str) -> dict:
         model, m = training.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), 10)
         # saved and loaded, as the jobs do
         art.save(spark, f"{root}/ctx")
-        io.save_model(embedder, f"{root}/ctx_pca")
-        io.save_model(model, f"{root}/classifier")
-        _BUILT[key] = {"metrics": m.checkpoint(eager=True), "rows": split, "scorer": scoring.load_scorer(spark, root, sroot, rroot)}
+        embedder.save(spark, f"{root}/ctx_encoder")
+        model.save(spark, f"{root}/classifier")
+        _BUILT[key] = {"root": root, "stores": (sroot, rroot), "model": model, "metrics": m.checkpoint(eager=True), "rows": split, "scorer": scoring.load_scorer(spark, root, sroot, rroot)}
     return _BUILT[key]
 
 
@@ -1518,18 +1628,27 @@ def q_train_classifier(spark, sf):
     return trained_parts(spark, sf)["metrics"]
 
 
-@register(
-    "score_batch",
-    O.with_("txn", "feat", "lm", _VALID) + "SELECT txn_id, true AS label_in_taxonomy, true AS confidence_in_range FROM valid",
-)
+@register("train_history")
+def q_train_history(spark, sf):
+    """Every epoch of the classifier's training: losses, validation accuracy and macro-F1."""
+    h = training.training_history(spark, trained_parts(spark, sf)["model"])
+    return h.select("epoch", *[r6(c).alias(c) for c in ("train_loss", "val_loss", "accuracy", "f1_macro")])
+
+
+@register("score_batch")
 def q_score_batch(spark, sf):
-    """All valid rows scored; the fitted outputs are checked by their domain."""
+    """All valid rows scored by the trained classifier: code and confidence."""
     parts = trained_parts(spark, sf)
-    scored = training.score_batch(parts["scorer"].classifier, parts["rows"])
+    scored = training.score_batch(parts["scorer"].classifier, parts["rows"], keep=["txn_id", "label_idx"])
     lm = F.broadcast(label_map(spark).select(F.col("idx").alias("pred"), F.col("code").alias("pred_code")))  # 10 rows
-    return scored.join(lm, "pred", "left").select(
-        "txn_id", F.col("pred_code").isNotNull().alias("label_in_taxonomy"), F.col("confidence").between(0.1 - 1e-9, 1.0 + 1e-9).alias("confidence_in_range")
-    )
+    return scored.join(lm, "pred", "left").select("txn_id", "pred_code", r6("confidence").alias("confidence"))
+
+
+class _Placed:
+    """Artifacts and stores that queries have built, as ``jobs.Paths`` names them."""
+
+    def __init__(self, artifacts: str, x_snd: str, x_rcv: str):
+        self.artifacts, self.x_snd, self.x_rcv = artifacts, x_snd, x_rcv
 
 
 def _timed_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -1571,6 +1690,34 @@ def q_cascade_model(spark, sf):
     ).unionByName(rejected.withColumn("decided_by", F.lit("rejected")), allowMissingColumns=True)
 
 
+@register("cascade_predictions")
+def q_cascade_predictions(spark, sf):
+    """Every decided request with its final label and confidence, the trained model's own included."""
+    decided, _ = scoring.classify_requests(_timed_requests(spark, sf), trained_parts(spark, sf)["scorer"], fixtures.external_replies(spark, sf))
+    return decided.select("txn_id", "decided_by", "final_label", r6("final_confidence").alias("final_confidence"))
+
+
+@register(
+    "stream_classify",
+    _CASCADE_SQL.replace("CASE WHEN r.success THEN 'layer1_rule' WHEN l2.l2ok THEN 'layer2_llm' ELSE 'layer3_model' END AS decided_by", _DECIDED_SQL)
+    + """SELECT txn_id, decided_by FROM dec
+UNION ALL SELECT txn_id, 'rejected' FROM txn WHERE txn_id NOT IN (SELECT txn_id FROM dec)""",
+)
+def q_stream_classify(spark, sf):
+    """Requests streamed through rules, replies and the trained model; decided and rejected ones from the two sinks."""
+    from paylabel.streaming.jobs import classified, classify_stream
+
+    parts = trained_parts(spark, sf)
+    sroot, rroot = parts["stores"]
+    base = shared_path(spark, "streams", "classify", unique=True)
+    requests = _timed_requests(spark, sf)
+    requests.write.parquet(f"{base}/landing")
+    paths = _Placed(parts["root"], sroot, rroot)
+    classify_stream(spark, f"{base}/landing", requests.schema, fixtures.external_replies(spark, sf), paths, f"{base}/out", f"{base}/checkpoint")
+    decided, rejected = classified(spark, f"{base}/out")
+    return decided.select("txn_id", "decided_by").unionByName(rejected.select("txn_id", F.lit("rejected").alias("decided_by")))
+
+
 @register("text_vector_word2vec")
 def q_text_vector_word2vec(spark, sf):
     """Sentence vectors from a Word2Vec model fitted on the memos (table-join form)."""
@@ -1581,6 +1728,21 @@ def q_text_vector_word2vec(spark, sf):
     return v.select("txn_id", r6(fx.l2_norm("text_vec")).alias("norm"))
 
 
+@register(
+    "text_vector_subword",
+    O.with_("txn")
+    + """SELECT txn_id, 300 AS dim, len(list_filter(string_split_regex(coalesce(msg_content, ''), '\\s+'), lambda x: x <> '')) > 0 AS has_vector FROM txn""",
+)
+def q_text_vector_subword(spark, sf):
+    """Sentence vectors of 300 dimensions from learnt words and their n-grams; every word has one, so only empty memos have none."""
+    t = txn(spark, sf)
+    words = subword.fit_words(t, "msg_content").checkpoint(eager=True)
+    vocabulary = t.select(F.explode(tokens("msg_content")).alias("word"))
+    table = subword.word_vectors(vocabulary, words, subword.ngram_vectors(words))
+    v = subword.sentence_vectors(t, "txn_id", "msg_content", table)
+    return v.select("txn_id", F.size("text_vec").alias("dim"), (fx.l2_norm("text_vec") > 0).alias("has_vector"))
+
+
 @register(
     "profile_tokens_bridged",
     _TOKENS_SQL.replace(

@@ -44,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
         configured = tempfile.mkdtemp(prefix="paylabel-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -3,15 +3,15 @@
 Store layout (one per feature family)::
 
     <root>/daily/date=YYYY-MM-DD/part-*.parquet   one partition per snapshot date
-    <root>/cumulative/v=000001/part-*.parquet     upserted view, one folder per version
+    <root>/cumulative/...                         upserted view (``upsert_store``)
 
-The cumulative view is never overwritten in place: a new version folder is
-written from the previous one and readers pick the highest complete version
-(``_SUCCESS`` present), so a reader never sees a half-written table.
+The cumulative view is never overwritten in place: a batch writes its own rows, and a
+manifest that appears whole makes them count, so a reader never sees a half-written table.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from pathlib import Path
 
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylabel.sources.upsert_store import UpsertStore
+
 LABEL_MAP_PATH = str(Path(__file__).resolve().parent.parent / "data" / "label_map.json")
 
 TRANSACTION_SCHEMA = T.StructType(
@@ -72,15 +74,19 @@ def scan_by_suffix(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def scan_label_map(spark: SparkSession, path: str = LABEL_MAP_PATH) -> DataFrame:
-    """``{code: {index, name}}`` JSON -> dimension rows ``(code, idx, name)``."""
-    raw = spark.read.option("multiLine", "true").json(path)
-    codes = raw.columns
-    stacked = raw.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("code"), F.col(f"`{c}`.index").alias("idx"), F.col(f"`{c}`.name").alias("name")) for c in codes])
-        ).alias("e")
-    )
-    return stacked.select("e.code", F.col("e.idx").cast("int").alias("idx"), "e.name")
+    """``{code: {index, name}}`` JSON -> dimension rows ``(code, idx, name)``.
+
+    The taxonomy that comes with the package is read where the package is, on the driver; any
+    other file through Spark, so that it may stand in any store.
+    """
+    if path == LABEL_MAP_PATH:
+        with open(path) as f:
+            taxonomy = json.load(f)
+    else:
+        text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+        taxonomy = json.loads(text)
+    rows = [(code, int(e["index"]), e["name"]) for code, e in taxonomy.items()]
+    return spark.createDataFrame(rows, "code string, idx int, name string").coalesce(1)
 
 
 def scan_display_names(spark: SparkSession, entity: DataFrame | str | None) -> DataFrame:
@@ -158,35 +164,17 @@ def stored_dates(spark: SparkSession, store_root: str) -> list[str]:
     return list_partition_values(spark, daily_root(store_root), "date")
 
 
-def _versions(spark: SparkSession, store_root: str) -> list[str]:
-    root = cumulative_root(store_root)
-    done = []
-    for v in list_partition_values(spark, root, "v"):
-        if path_exists(spark, f"{root}/v={v}/_SUCCESS"):
-            done.append(v)
-    return done
-
-
 def scan_cumulative(spark: SparkSession, store_root: str) -> DataFrame | None:
-    versions = _versions(spark, store_root)
-    if not versions:
-        return None
-    return spark.read.parquet(f"{cumulative_root(store_root)}/v={versions[-1]}")
+    """The upserted view, or ``None`` if nothing was stored."""
+    return UpsertStore(spark, cumulative_root(store_root)).rows()
 
 
-def sink_upsert_cumulative(spark: SparkSession, new_rows: DataFrame, store_root: str, key: str) -> DataFrame:
-    """Drop stored rows whose key is in ``new_rows``, append ``new_rows``; new version."""
-    existing = scan_cumulative(spark, store_root)
-    if existing is None:
-        merged = new_rows
-    else:
-        kept = existing.join(new_rows.select(key).distinct(), on=key, how="left_anti")
-        merged = kept.unionByName(new_rows, allowMissingColumns=True)
-    versions = _versions(spark, store_root)
-    nxt = int(versions[-1]) + 1 if versions else 1
-    target = f"{cumulative_root(store_root)}/v={nxt:06d}"
-    merged.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+def sink_upsert_cumulative(spark: SparkSession, new_rows: DataFrame, store_root: str, key: str) -> None:
+    """Stored rows whose key is in ``new_rows`` give way to them; only the new rows, and buckets that
+    have gathered many batches, are written.  Superseded files go."""
+    store = UpsertStore(spark, cumulative_root(store_root))
+    store.upsert(new_rows, key)
+    store.vacuum()
 
 
 def scan_snapshots(spark: SparkSession, store_root: str, dates: DataFrame) -> DataFrame | None:

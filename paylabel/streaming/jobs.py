@@ -3,9 +3,11 @@
 * ``stream_score`` — transaction files arriving in a folder are scored by the
   cascade in micro-batches (``foreachBatch``: each batch runs the exact batch
   cascade against the static stores and replies, so batch = stream).
+* ``classify_stream`` — the same surface on the trained parts: newest stored vectors,
+  classifier, decisions and rejects as two sinks.
 * ``stream_daily_edges`` — per-day sender -> recipient activity: each micro-batch
   stores its own sums under its id and a reader merges them, so all days and late
-  rows count (``daily_edges_stream`` is the watermarked append form).
+  rows count.
 
 Both run with ``trigger(availableNow=True)`` so they drain what is present and
 stop; on a cluster the same code runs with a processing-time trigger.
@@ -16,9 +18,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylabel.functions import features as fx
 from paylabel.operators import cascade as cz
+from paylabel.plans import scoring
+from paylabel.plans.jobs import Paths
 from paylabel.session import shared_path
 from paylabel.sources import fixtures, io
 
@@ -63,25 +68,32 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
-def utc_instant(ts_ntz: str) -> F.Column:
-    """The UTC instant of a wall-clock (NTZ) timestamp, whatever the session time zone."""
-    t = F.col(ts_ntz)
-    secs = F.date_format(t, "ss.SSSSSS").cast("decimal(8,6)")
-    return F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), secs, F.lit("UTC"))
-
-
-def daily_edges_stream(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    # windows align to epoch days; with UTC instants those are the calendar days of the
-    # transaction times, and the day label is epoch-day arithmetic (no session zone)
-    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int"))
-    return (
-        events.withColumn("event_time", utc_instant("txn_time_utc"))
-        .withColumn("recipient_canon_id", fx.canonical_recipient())
-        .withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 day").alias("w"), "sender_id", "recipient_canon_id")
-        .agg(F.sum("amount").alias("amount_sum"), F.count(F.lit(1)).alias("n"))
-        .select(day.alias("day"), "sender_id", "recipient_canon_id", "amount_sum", "n")
-    )
+def classify_stream(
+    spark: SparkSession, landing: str, schema: T.StructType, replies: DataFrame, paths: Paths, out: str, checkpoint: str, files_per_batch: int = 4
+) -> None:
+    """Requests arriving as files, decided with the trained parts; drains what is there.
+
+    Every micro-batch looks up the newest stored vectors anew, so a store published while the stream runs serves
+    the next batch.  Decisions and rejects are two sinks; a batch writes each under its own id, so
+    a repeated batch replaces what it wrote and every request counts once in exactly one of them.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        scorer = scoring.load_scorer(spark, paths.artifacts, paths.x_snd, paths.x_rcv)
+        decided, rejected = scoring.classify_requests(batch, scorer, replies)
+        decided = decided.select("txn_id", "decided_by", "final_label", "final_confidence")
+        decided.write.mode("overwrite").parquet(f"{out}/decided/batch={batch_id}")
+        rejected.write.mode("overwrite").parquet(f"{out}/rejected/batch={batch_id}")
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+    stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def classified(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """``(decided, rejected)``: what the stream has written so far."""
+    decided = "txn_id string, decided_by string, final_label string, final_confidence double, batch int"
+    rejected = "txn_id string, reject_reason string, batch int"
+    return spark.read.schema(decided).parquet(f"{out}/decided"), spark.read.schema(rejected).parquet(f"{out}/rejected")
 
 
 def daily_edges(events: DataFrame) -> DataFrame:

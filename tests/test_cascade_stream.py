@@ -67,41 +67,6 @@ def test_svd_energy_invariant(spark):
         assert np.isclose(energy[d], w2[d], rtol=1e-9)
 
 
-import pytest
-
-
-@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])  # recipients > senders, then senders > recipients
-def test_distributed_svd_matches_dense(spark, sf):
-    e = graph.interaction_edges(fixtures.transactions(spark, sf), 10)
-    d = e.agg(F.max("snapshot_date")).first()[0]
-    one = e.where(F.col("snapshot_date") == F.lit(d))
-    dense = {r.recipient_canon_id: np.array(r.svd_vec) for r in graph.recipient_svd_dense(one, 8).collect()}
-    dist = {r.recipient_canon_id: np.array(r.svd_vec) for r in graph.recipient_svd_distributed(one, 8).collect()}
-    assert dense.keys() == dist.keys()
-    a = np.vstack([dense[k] for k in sorted(dense)])
-    b = np.vstack([dist[k] for k in sorted(dist)])
-    # same singular subspace scaled by sqrt(s): compare Gram matrices (sign/rotation free)
-    assert np.allclose(a @ a.T, b @ b.T, atol=1e-6)
-
-
-def test_recipient_svd_all_dates_distributed(spark):
-    """Every date forced through the concurrent distributed path equals the dense path."""
-    e = graph.interaction_edges(fixtures.transactions(spark, SF), 10).checkpoint(eager=True)
-    dense = graph.recipient_svd(e, 8)
-    dist = graph.recipient_svd(e, 8, dense_cell_limit=0)
-    by_date = {}
-    for name, df in (("dense", dense), ("dist", dist)):
-        for r in df.collect():
-            by_date.setdefault(str(r.snapshot_date), {}).setdefault(name, {})[r.recipient_canon_id] = np.array(r.svd_vec)
-    assert len(by_date) == e.select("snapshot_date").distinct().count()
-    for d, parts in by_date.items():
-        assert parts["dense"].keys() == parts["dist"].keys()
-        keys = sorted(parts["dense"])
-        a = np.vstack([parts["dense"][k] for k in keys])
-        b = np.vstack([parts["dist"][k] for k in keys])
-        assert np.allclose(a @ a.T, b @ b.T, atol=1e-6), d
-
-
 def test_daily_edges_independent_of_session_time_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
@@ -115,16 +80,6 @@ def test_daily_edges_independent_of_session_time_zone(spark):
     assert utc_rows and utc_rows == other_rows
 
 
-def test_oversized_dates_keep_their_singular_values(spark):
-    rows = [("2024-01-0%d" % d, f"s{i}", f"r{(i * 7 + j) % 11}", float(i + j + d)) for d, n in ((1, 4), (2, 30)) for i in range(n) for j in range(3)]
-    e = spark.createDataFrame(rows, "snapshot_date string, sender_id string, recipient_canon_id string, weight double")
-    e = e.withColumn("snapshot_date", F.to_date("snapshot_date")).groupBy("snapshot_date", "sender_id", "recipient_canon_id").agg(F.sum("weight").alias("weight"))
-    values = lambda df: {(r.snapshot_date, r["rank"]): r.singular_value for r in df.collect()}
-    dense, mixed = values(graph.singular_values(e)), values(graph.singular_values(e, dense_cell_limit=60))
-    assert dense.keys() == mixed.keys() and {d for d, _ in dense} == {r[0] for r in e.select("snapshot_date").distinct().collect()}
-    assert all(abs(dense[k] - mixed[k]) < 1e-5 for k in dense)
-
-
 def test_recipient_paid_by_unknown_senders_only_stays_active(spark):
     edges = spark.createDataFrame([("2024-01-01", "s", "r1", 1.0), ("2024-01-01", "t", "r2", 2.0)], "d string, sender_id string, recipient_canon_id string, weight double")
     edges = edges.withColumn("snapshot_date", F.to_date("d")).drop("d")

@@ -20,7 +20,7 @@ def trained(spark):
         "person_profile": fixtures.person_profile(spark, SF),
     }
     paths = jobs.Paths(shared_path(spark, "jobs", unique=True))
-    _, metrics = jobs.run_training(spark, data, paths, emb_dim=8, hidden=(16, 8), max_iters=(5, 10), svd_dim=64)
+    _, metrics = jobs.run_training(spark, data, paths, emb_dim=8, hidden=(16, 8), epochs=3, svd_dim=64, text_dim=16, encoder_args={"ctx_epochs": 2, "sender_epochs": 1, "sender_hidden": 8})
     return data, paths, metrics
 
 
@@ -46,7 +46,7 @@ def test_requests_are_scored_as_in_training(spark, trained):
     assert not any(k.endswith("7") for k in got)
     art = context.CtxArtifacts.load(spark, f"{paths.artifacts}/ctx")
     as_txn = scoring.request_transactions(req)
-    emb = {r.txn_id: list(r.ctx_emb) for r in context.embed(context.build_ctx(as_txn, art), context.load_ctx_embedding(f"{paths.artifacts}/ctx_pca")).collect()}
+    emb = {r.txn_id: list(r.ctx_emb) for r in context.embed(context.build_ctx(as_txn, art), context.load_ctx_embedding(f"{paths.artifacts}/ctx_encoder")).collect()}
     some = sorted(got)[:40]
     feats = spark.createDataFrame(
         [(k, emb[k] + list(snd[rows[k].sender_id].snd_emb) + list(rcv[rows[k].recipient_entity_id].rcv_emb)) for k in some], "txn_id string, features array<double>"

@@ -83,7 +83,7 @@ def test_jobs_surface(spark):
     assert before["transactions"] and not before["x_snd"]
     art = context.fit_ctx(data["transactions"])
     art.save(spark, f"{paths.artifacts}/ctx")
-    io.save_model(context.fit_ctx_embedding(context.build_ctx(data["transactions"], art), 8)[0], f"{paths.artifacts}/ctx_pca")
+    context.fit_ctx_autoencoder(context.build_ctx(data["transactions"], art), 8, epochs=1).save(spark, f"{paths.artifacts}/ctx_encoder")
     ctx = jobs.build_ctx(spark, data, paths, "train")
     assert set(context.TRAIN_COLUMNS) <= set(ctx.columns)
     jobs.build_sender_store(spark, data, paths)
