@@ -25,6 +25,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paylabel.session import shared_path
+
 #: Columns of the block beyond the wanted rank, and multiplications by A and its transpose.
 OVERSAMPLE, ROUNDS = 16, 3
 #: Squared singular values below this share of the largest one count as zero: what a Gram matrix in float64 can tell.
@@ -88,7 +90,7 @@ def _grams(block: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
     parts = block.select("d", "vec").mapInArrow(_gram, "d int, g array<double>")
     total = parts.groupBy("d").agg(vector_to_array(Summarizer.sum(array_to_vector("g"))).alias("g"))
     out = {}
-    for row in total.toLocalIterator():
+    for row in total.collect():
         g = np.array(row.g[1:])
         width = int(round(len(g) ** 0.5))
         out[row.d] = int(round(row.g[0])), g.reshape(width, width)
@@ -127,13 +129,20 @@ def _rotation(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.sqrt(np.where(values > ZERO * max(values[0], np.finfo(float).tiny), values, 0)), vectors[:, order]
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """Materialise once, in the shared folder."""
+    path = shared_path(df.sparkSession, "factorise", unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def factorise(edges: DataFrame, svd_dim: int = 64, oversample: int = OVERSAMPLE, rounds: int = ROUNDS, cut: Callable[[DataFrame], DataFrame] | None = None) -> Factors:
     """The leading ``svd_dim`` singular vectors and values of each date's matrix.
 
-    ``cut`` materialises a block between jobs (default: a checkpoint in the shared folder).
+    ``cut`` materialises a block between jobs (default: a table in the shared folder).
     """
     spark = edges.sparkSession
-    cut = cut or (lambda df: df.checkpoint(eager=True))
+    cut = cut or _written
     width, date = svd_dim + oversample, F.date_from_unix_date("d").alias("snapshot_date")
     e = cut(edges.select(F.unix_date("snapshot_date").alias("d"), F.col("sender_id").alias("s"), F.col("recipient_canon_id").alias("r"), "weight").where("d IS NOT NULL AND s IS NOT NULL AND r IS NOT NULL AND weight IS NOT NULL"))
 

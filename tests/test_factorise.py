@@ -101,7 +101,7 @@ def test_nothing_and_only_zero_weights(spark):
 
 def test_window_energy(spark):
     e = graph.interaction_edges(fixtures.transactions(spark, "/root/testdata/sf0.001"), 10)
-    energy = {r[0]: r[1] for r in graph.singular_values(e, 200).groupBy("snapshot_date").agg(F.sum(F.col("singular_value") ** 2)).collect()}
+    energy = {r[0]: r[1] for r in graph.singular_values(e, 40).groupBy("snapshot_date").agg(F.sum(F.col("singular_value") ** 2)).collect()}
     weights = {r[0]: r[1] for r in e.groupBy("snapshot_date").agg(F.sum(F.col("weight") ** 2)).collect()}
     assert energy.keys() == weights.keys() and all(np.isclose(energy[d], weights[d], rtol=1e-9) for d in energy)
 
