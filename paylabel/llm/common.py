@@ -37,7 +37,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     compressed, read by column, and its size is known to the planner."""
     path = shared_path(df.sparkSession, "llm", name, unique=True)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made, once nothing that is still to run reads them."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def worker_cache(name: str, make: Callable[[], Any]) -> Any:
