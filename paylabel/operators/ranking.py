@@ -8,8 +8,8 @@ of the job.  ``bucketed_rank`` computes the same number as
 
 where ``bucket`` is any expression monotone in the ordering (an hour of the
 timestamp, a hash prefix).  The first term comes from a partially aggregated
-``(key, bucket) -> count`` table whose size is bounded by the number of
-buckets, not by the data; the second splits a hot key into as many tasks as
+``(key, bucket) -> count`` table with one row per key and bucket that occur (with fine
+buckets and sparse keys about as many as there are rows); the second splits a hot key into as many tasks as
 it has buckets.
 """
 
