@@ -51,15 +51,16 @@ def _start(width: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: F.pmod(F.xxhash64("r", j), F.lit(2**30)) / F.lit(float(2**29)) - 1.0)
 
 
-def _times(rows: DataFrame, by: str) -> DataFrame:
-    """Per (date, by): the sum of weight times vec over rows (date, by, weight, vec).
+def _times(rows: DataFrame, by: str, signed: bool) -> DataFrame:
+    """Per (date, by): the sum of weight times vec (a vector) over rows (date, by, weight, vec).
 
-    The aggregate takes weights of one sign, so that of the edge goes into its vector.
+    The aggregate takes weights of one sign; where some are negative their sign goes into the vector.
     """
-    signed = F.when(F.col("weight") < 0, F.transform("vec", lambda x: -x)).otherwise(F.col("vec"))
-    rows = rows.where("weight <> 0").select("d", by, F.abs("weight").alias("weight"), array_to_vector(signed).alias("vec"))
-    total = rows.groupBy("d", by).agg(Summarizer.sum(F.col("vec"), F.col("weight")).alias("vec"))
-    return total.select("d", by, vector_to_array("vec").alias("vec"))
+    vec = F.col("vec")
+    if signed:
+        vec = F.when(F.col("weight") < 0, array_to_vector(F.transform(vector_to_array(vec), lambda x: -x))).otherwise(vec)
+    rows = rows.where("weight <> 0").select("d", by, F.abs("weight").alias("weight"), vec.alias("vec"))
+    return rows.groupBy("d", by).agg(Summarizer.sum(F.col("vec"), F.col("weight")).alias("vec"))
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
@@ -87,7 +88,7 @@ def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _grams(block: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
     """date -> (rows, Gram matrix); one row per date reaches the driver."""
-    parts = block.select("d", "vec").mapInArrow(_gram, "d int, g array<double>")
+    parts = block.select("d", vector_to_array("vec").alias("vec")).mapInArrow(_gram, "d int, g array<double>")
     total = parts.groupBy("d").agg(vector_to_array(Summarizer.sum(array_to_vector("g"))).alias("g"))
     out = {}
     for row in total.collect():
@@ -118,7 +119,8 @@ def _turned(block: DataFrame, by: str, turn: dict[int, np.ndarray]) -> DataFrame
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("d"), batch.column(by), flat], names=["d", by, "vec"])
 
-    return block.select("d", by, "vec").mapInArrow(run, f"d int, {by} string, vec array<double>")
+    turned = block.select("d", by, vector_to_array("vec").alias("vec")).mapInArrow(run, f"d int, {by} string, vec array<double>")
+    return turned.withColumn("vec", array_to_vector("vec"))
 
 
 def _rotation(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,16 +148,17 @@ def factorise(edges: DataFrame, svd_dim: int = 64, oversample: int = OVERSAMPLE,
     width, date = svd_dim + oversample, F.date_from_unix_date("d").alias("snapshot_date")
     e = cut(edges.select(F.unix_date("snapshot_date").alias("d"), F.col("sender_id").alias("s"), F.col("recipient_canon_id").alias("r"), "weight").where("d IS NOT NULL AND s IS NOT NULL AND r IS NOT NULL AND weight IS NOT NULL"))
 
-    senders = _times(e.select("d", "s", "weight", _start(width).alias("vec")), "s")
+    signed = (e.agg(F.min("weight")).first()[0] or 0) < 0
+    senders = _times(e.select("d", "s", "weight", array_to_vector(_start(width)).alias("vec")), "s", signed)
     basis = None
     for k in range(rounds):
-        block = cut(_times(e.join(senders, ["d", "s"]).select("d", "r", "weight", "vec"), "r"))
+        block = cut(_times(e.join(senders, ["d", "s"]).select("d", "r", "weight", "vec"), "r", signed))
         turn = {day: _whitening(g) for day, (_, g) in _grams(block).items()}
         if not turn:  # no edge weighs anything
             zero = e.select(date, F.col("r").alias("recipient_canon_id")).distinct().withColumn("svd_vec", F.array_repeat(F.lit(0.0), svd_dim))
             return Factors(zero, spark.createDataFrame([], "snapshot_date date, rank int, singular_value double"))
         basis = _turned(block, "r", turn)
-        senders = _times(e.join(basis, ["d", "r"]).select("d", "s", "weight", "vec"), "s")
+        senders = _times(e.join(basis, ["d", "r"]).select("d", "s", "weight", "vec"), "s", signed)
 
     n_recipients = {r.d: r.n for r in e.groupBy("d").agg(F.countDistinct("r").alias("n")).collect()}  # one row per date
     values, turn = [], {}
@@ -168,14 +171,14 @@ def factorise(edges: DataFrame, svd_dim: int = 64, oversample: int = OVERSAMPLE,
     vectors = cut(_turned(basis, "r", turn))
 
     # the largest entry of a component is positive; one row per date and component
-    entries = vectors.select("d", F.posexplode("vec").alias("c", "x"))
+    entries = vectors.select("d", F.posexplode(vector_to_array("vec")).alias("c", "x"))
     most = entries.groupBy("d", "c").agg(F.max_by("x", F.struct(F.abs("x"), "x")).alias("x"))
     signs = {day: np.ones(svd_dim) for day in turn}
     for r in most.where("x < 0").collect():
         signs[r.d][r.c] = -1.0
-    signed = _turned(vectors, "r", {day: np.diag(s) for day, s in signs.items()})
+    final = _turned(vectors, "r", {day: np.diag(s) for day, s in signs.items()}).withColumn("vec", vector_to_array("vec"))
     # recipients whose edges all weigh nothing have a zero vector
-    whole = e.select("d", "r").distinct().join(signed, ["d", "r"], "left")
+    whole = e.select("d", "r").distinct().join(final, ["d", "r"], "left")
     vec = F.coalesce(F.transform("vec", lambda x: F.when(x == 0, 0.0).otherwise(x)), F.array_repeat(F.lit(0.0), svd_dim))
     return Factors(
         whole.select(date, F.col("r").alias("recipient_canon_id"), vec.alias("svd_vec")),
