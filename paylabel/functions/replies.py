@@ -24,14 +24,18 @@ def extract_json_reply(text: str | Column) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     whole = F.try_parse_json(t)
     part = F.try_parse_json(_snippet(t))
-    v = F.coalesce(whole, part)
-    label_raw = F.try_variant_get(v, "$.label", "variant")
-    return F.struct(
-        v.isNotNull().alias("parsed"),
-        label_raw.isNotNull().alias("has_label"),
-        F.try_variant_get(v, "$.label", "string").alias("label"),
-        F.coalesce(F.try_variant_get(v, "$.confidence", "double"), F.lit(0.0)).alias("confidence"),
-    )
+
+    def parts(v: Column) -> Column:
+        label_raw = F.try_variant_get(v, "$.label", "variant")
+        return F.struct(
+            v.isNotNull().alias("parsed"),
+            label_raw.isNotNull().alias("has_label"),
+            F.try_variant_get(v, "$.label", "string").alias("label"),
+            F.coalesce(F.try_variant_get(v, "$.confidence", "double"), F.lit(0.0)).alias("confidence"),
+        )
+
+    # bound once, so that the text is parsed once and not for every part
+    return F.get(F.transform(F.array(F.coalesce(whole, part)), parts), 0)
 
 
 def confidence_gate(label: Column, confidence: Column, threshold: float = CONFIDENCE_THRESHOLD) -> Column:

@@ -55,19 +55,27 @@ def type_rule(tranx_type: str | Column) -> Column:
 def keyword_hit_index(cleaned: Column) -> Column:
     """1-based position of the first matching keyword in priority order, 0 if none.
 
-    One boolean array of whole-word tests and a position lookup: a compact
-    expression that stays inside whole-stage codegen.
+    The text is bound once, as the one element of an array, so that the optimizer cannot
+    repeat its cleaning in every test, wherever it moves the expression.  A word is searched as plain
+    text before its pattern is, and the first match ends the search.
     """
-    return F.array_position(F.array(*[keyword_match(cleaned, kw) for _, _, kw in ordered_keywords()]), True).cast("int")
+
+    def first(text: Column) -> Column:
+        out = None
+        for p, _, kw in ordered_keywords():
+            hit, at = text.contains(kw) & keyword_match(text, kw), F.lit(p + 1)
+            out = F.when(hit, at) if out is None else out.when(hit, at)
+        return out.otherwise(F.lit(0))
+
+    return F.get(F.transform(F.array(cleaned), first), 0)
 
 
 def apply_rules(df: DataFrame, msg: str, tranx_type: str, label_codes: list[str] | None = None, out: str = "rule") -> DataFrame:
     """Adds struct ``out`` = (success, label, reason) of the rule layer.
 
-    The cleaned text and the keyword hit index are separate projections: each
-    is referenced several times downstream, and as columns they are evaluated
-    once per row (the optimizer does not inline a costly expression into
-    several references), which also keeps every stage inside codegen limits.
+    The cleaned text and the keyword hit index are separate projections and each is bound
+    once where it is used: inlined into a filter, an expression is repeated for each of its
+    references, and the text was cleaned anew for every keyword.
     ``label_codes`` gates the type rule the way the reference checks
     membership in its label map.
     """
@@ -83,20 +91,24 @@ def apply_rules(df: DataFrame, msg: str, tranx_type: str, label_codes: list[str]
     )
     labels = F.array(*[F.lit(lbl) for _, lbl, _ in ordered_keywords()])
     words = F.array(*[F.lit(kw) for _, _, kw in ordered_keywords()])
-    kw_hit = F.col("_rule_kw") > 0
-    res = (
-        F.when(
-            F.col("_rule_type").isNotNull(),
-            F.struct(F.lit(True).alias("success"), F.col("_rule_type").alias("label"), F.concat(F.lit("Matched tranx_type="), t).alias("reason")),
-        )
-        .when(
-            kw_hit,
-            F.struct(
-                F.lit(True).alias("success"),
-                F.element_at(labels, F.col("_rule_kw")).alias("label"),
-                F.concat(F.lit("Keyword match '"), F.element_at(words, F.col("_rule_kw")), F.lit("'")).alias("reason"),
-            ),
+
+    def decided(kw: Column) -> Column:
+        return (
+            F.when(
+                F.col("_rule_type").isNotNull(),
+                F.struct(F.lit(True).alias("success"), F.col("_rule_type").alias("label"), F.concat(F.lit("Matched tranx_type="), t).alias("reason")),
+            )
+            .when(
+                kw > 0,
+                F.struct(
+                    F.lit(True).alias("success"),
+                    F.element_at(labels, kw).alias("label"),
+                    F.concat(F.lit("Keyword match '"), F.element_at(words, kw), F.lit("'")).alias("reason"),
+                ),
+            )
+            .otherwise(F.struct(F.lit(False).alias("success"), F.lit(None).cast("string").alias("label"), F.lit("No rule matched").alias("reason")))
         )
-        .otherwise(F.struct(F.lit(False).alias("success"), F.lit(None).cast("string").alias("label"), F.lit("No rule matched").alias("reason")))
-    )
+
+    # the hit is bound once too: a filter on the result, moved to the scan, tests the words once
+    res = F.get(F.transform(F.array("_rule_kw"), decided), 0)
     return staged.withColumn(out, res).drop("_rule_clean", "_rule_kw", "_rule_type")

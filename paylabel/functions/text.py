@@ -45,9 +45,13 @@ def _translate_table() -> tuple[str, str]:
     return "".join(src) + "".join(marks), "".join(dst)
 
 
+def _java_class(spans: list[list[int]], negated: bool = False) -> str:
+    return ("[^" if negated else "[") + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in spans) + "]"
+
+
 @lru_cache(maxsize=1)
-def _beyond_table() -> str:
-    """Java character class of the characters whose stripped form the table cannot give."""
+def _beyond_spans() -> list[list[int]]:
+    """The characters whose stripped form the table cannot give."""
     spans: list[list[int]] = []
     for cp in range(0x80, 0x30000):
         ch = chr(cp)
@@ -59,14 +63,32 @@ def _beyond_table() -> str:
                 spans[-1][1] = cp
             else:
                 spans.append([cp, cp])
-    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in spans) + "]"
+    return spans
+
+
+#: Blocks whose characters most texts are written in: Latin and its accented letters.
+USUAL_BLOCKS = ((0x00, 0x24F), (0x1E00, 0x1EFF))
+
+
+@lru_cache(maxsize=1)
+def _unusual_class() -> str:
+    """Java class, of few spans, that holds every character beyond the table: what is not in the usual blocks, or is beyond."""
+    usual: list[list[int]] = []
+    for first, last in USUAL_BLOCKS:
+        at = first
+        for a, b in [*(s for s in _beyond_spans() if first <= s[0] <= last), [last + 1, last + 1]]:
+            if a > at:
+                usual.append([at, a - 1])
+            at = b + 1
+    return _java_class(usual, negated=True)
 
 
 def strip_accents(c: str | Column) -> Column:
     column = F.col(c) if isinstance(c, str) else c
     src, dst = _translate_table()
     # null for the rows that translate serves: their texts never leave the JVM
-    rest = F.when(column.rlike(_beyond_table()), column)
+    # (the long class is tested only where the short one, which holds it, was met)
+    rest = F.when(column.rlike(_unusual_class()) & column.rlike(_java_class(_beyond_spans())), column)
     return F.coalesce(_strip_exact(rest), F.translate(F.lower(column), src, dst))
 
 
