@@ -125,3 +125,19 @@ def test_tiny_and_larger_dates_share_one_job(spark):
     assert {d for d, _ in values} == set(want)
     for date, (_, _, s) in want.items():
         assert all(abs(values[date, k + 1] - x) < 1e-5 for k, x in enumerate(s))
+
+
+@pytest.mark.parametrize("block_edges", [1, 40, 10_000])
+def test_blocks_of_any_size_give_the_same(spark, mixed, block_edges):
+    got, values, want = compared(spark, mixed.unionByName(edge_table(spark, [("2024-01-02", "s0", "r0", 1.0)])).groupBy("snapshot_date", "sender_id", "recipient_canon_id").agg(F.sum("weight").alias("weight")), 96, block_edges=block_edges)
+    for date, (ids, vectors, s) in want.items():
+        mine = np.vstack([got[date][i] for i in ids])
+        assert np.allclose(mine @ mine.T, vectors @ vectors.T, atol=1e-6) and np.allclose(values[date], s[: len(values[date])], atol=1e-5)
+
+
+def test_window_edges_are_expanded_where_they_are_summed(spark):
+    t = fixtures.transactions(spark, "/root/testdata/sf0.001")
+    e = graph.interaction_edges(t, 10)
+    executed = e._jdf.queryExecution().executedPlan().toString()
+    above = executed[: executed.index("Generate explode(dates")]
+    assert "Exchange" not in above and "Join" not in above
