@@ -79,3 +79,12 @@ def test_latest_per_key(spark):
     first = {r.k: str(r.snapshot_date) for r in snapshots.latest_per_key(df, "k", keep="first").collect()}
     assert last == {"a": "2024-01-03", "b": "2024-01-02"}
     assert first == {"a": "2024-01-01", "b": "2024-01-02"}
+
+
+def test_day_rows_are_expanded_where_they_are_summed(spark):
+    from paylabel.operators import snapshots as sn
+    from paylabel.sources import fixtures as fixed
+
+    ev = sn.event_features(fixed.transactions(spark, "/root/testdata/sf0.001"), ["a"], ["b"])
+    executed = sn.sender_state(ev, ["a"], ["b"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in executed[: executed.index("Generate explode(sequence")]
