@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylabel.functions import features as fx
-from paylabel.functions.textvec import tokens
+from paylabel.functions.textvec import sentence_vector_from_table, tokens
 
 MIN_N, MAX_N, BUCKETS, DIM = 3, 5, 2_000_000, 300
 
@@ -52,11 +52,7 @@ def word_vectors(vocabulary: DataFrame, words: DataFrame, ngrams: DataFrame, buc
 
 def sentence_vectors(docs: DataFrame, id_col: str, text_col: str, table: DataFrame, dim: int = DIM) -> DataFrame:
     """``id_col, text_vec``: the mean over a text's words (a word without a vector counts as zero); zeros for no word."""
-    found = docs.select(id_col, F.explode(tokens(text_col)).alias("word")).join(table, "word")
-    total = found.groupBy(id_col).agg(Summarizer.sum(array_to_vector("vector")).alias("s")).select(id_col, vector_to_array("s").alias("s"))
-    n = docs.select(id_col, F.greatest(F.size(tokens(text_col)), F.lit(1)).alias("n"))
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    return n.join(total, id_col, "left").select(id_col, F.transform(F.coalesce("s", zeros), lambda x: x / F.col("n")).alias("text_vec"))
+    return sentence_vector_from_table(docs, id_col, text_col, table, dim)
 
 
 def fit_words(docs: DataFrame, text_col: str, dim: int = DIM, min_count: int = 1, iterations: int = 1, seed: int = 42) -> DataFrame:
