@@ -135,3 +135,14 @@ def test_sender_encoder_learns_order(spark):
     linear = {r["head"]: r.loss_last for r in losses.collect()}
     best = min(h["val_loss"] for h in model.extra["history"])
     assert best < linear["sum"] and best < np.log(5) + 0.5 * np.log(3)
+
+
+def test_padding_is_not_computed():
+    """What stands in the padding reaches neither loss nor gradient, not even as zero times something."""
+    net, block = CASES[2]
+    flat = net.start(1)
+    padded = np.arange(block["tt"].shape[1]) >= block["n"][:, None]
+    odd = {**block, "x": np.where(padded[:, :, None], np.nan, block["x"])}
+    for rng in (lambda: None, lambda: np.random.default_rng(5)):
+        (a, _, g), (b, _, h) = net.loss(flat, block, rng()), net.loss(flat, odd, rng())
+        assert a == b and np.array_equal(g, h)
