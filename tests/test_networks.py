@@ -146,3 +146,15 @@ def test_padding_is_not_computed():
     for rng in (lambda: None, lambda: np.random.default_rng(5)):
         (a, _, g), (b, _, h) = net.loss(flat, block, rng()), net.loss(flat, odd, rng())
         assert a == b and np.array_equal(g, h)
+
+
+def test_blocks_are_planned_once_for_all_epochs(spark, monkeypatch):
+    df, _, _ = labelled(spark, 300)
+    net = networks.Classifier(6, 3, (8,), (0.2,))
+    blocks = trainer.pack_blocks(df, shared_path(spark, "t", unique=True), trainer.vectors("features", "label_idx"), "txn_id", 2)
+    planned, plan = [], trainer.block_parts
+    monkeypatch.setattr(trainer, "block_parts", lambda x: planned.append(x) or plan(x))
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    state = trainer.fit(net, blocks, blocks, 3, seed=1)
+    assert state.step == 6 and len(planned) == 3  # two parts and the validation blocks
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
