@@ -158,3 +158,26 @@ def test_blocks_are_planned_once_for_all_epochs(spark, monkeypatch):
     state = trainer.fit(net, blocks, blocks, 3, seed=1)
     assert state.step == 6 and len(planned) == 3  # two parts and the validation blocks
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
+
+
+def test_next_event_models_make_the_histories_once(spark):
+    rng = np.random.default_rng(8)
+    hists = [[(k + 1, *(float(v) for v in rng.normal(size=3)), int(rng.integers(0, 5)), 1) for k in range(n)] for n in [1, 7, 3, 7, 2] * 24]
+    rows = [(f"t{i}", h, len(h), i % 3 + 1, i % 5) for i, h in enumerate(hists)]
+    schema = "txn_id string, hist array<struct<seq_no:long,amount_log:double,hour_sin:double,hour_cos:double,tt_idx:int,ch_idx:int>>, hist_len int, tt_idx int, amt_bin int"
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ex = spark.createDataFrame(rows, schema)
+    models, losses = encoders.fit_next_event_models(ex.mapInArrow(counted, ex.schema), 3)
+    assert set(models) == {"y_type", "y_amount"} and losses.count() == 3 and seen.value == len(rows)
+    got = ex.select("hist", "hist_len", "tt_idx", "amt_bin").mapInArrow(encoders.history_vectors(3), "x array<double>, y_type double, y_amount double").collect()
+    for (_, hist, n, kind, amount), r in zip(rows, got, strict=True):
+        want = np.zeros(7)
+        for _, a, s, c, tt, _ in hist:
+            want = want * (1.0 - 0.1) + np.array([a, s, c, *(float(tt == i) for i in range(1, 5))]) * 0.1
+        assert r.x == [*want.tolist(), np.log1p(n)] and (r.y_type, r.y_amount) == (kind, amount)
