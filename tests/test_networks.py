@@ -181,3 +181,15 @@ def test_next_event_models_make_the_histories_once(spark):
         for _, a, s, c, tt, _ in hist:
             want = want * (1.0 - 0.1) + np.array([a, s, c, *(float(tt == i) for i in range(1, 5))]) * 0.1
         assert r.x == [*want.tolist(), np.log1p(n)] and (r.y_type, r.y_amount) == (kind, amount)
+
+
+def test_a_null_in_a_history_is_an_error():
+    import pyarrow as pa
+
+    event = {"amount_log": None, "hour_sin": 0.0, "hour_cos": 1.0, "tt_idx": 1}
+    batch = pa.RecordBatch.from_pylist([{"hist": [event], "hist_len": 1, "tt_idx": 1, "amt_bin": 0}], pa.schema([
+        ("hist", pa.list_(pa.struct([("amount_log", pa.float64()), ("hour_sin", pa.float64()), ("hour_cos", pa.float64()), ("tt_idx", pa.int32())]))),
+        ("hist_len", pa.int32()), ("tt_idx", pa.int32()), ("amt_bin", pa.int32()),
+    ]))
+    with pytest.raises(ValueError, match="amount_log"):
+        list(encoders.history_vectors(3)(iter([batch])))
