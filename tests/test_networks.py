@@ -193,3 +193,47 @@ def test_a_null_in_a_history_is_an_error():
     ]))
     with pytest.raises(ValueError, match="amount_log"):
         list(encoders.history_vectors(3)(iter([batch])))
+
+
+def test_small_steps_are_one_job_an_epoch_and_the_same_steps(spark):
+    df, _, _ = labelled(spark)
+    blocks = trainer.pack_blocks(df.repartition(3), shared_path(spark, "t", unique=True), trainer.vectors("features", "label_idx"), "txn_id", 12)
+    net, dealt = networks.Classifier(6, 3, (8,), (0.2,)), networks.Classifier(6, 3, (8,), (0.2,))
+    dealt.solo_rows = 0
+    spark.sparkContext.setJobGroup("solo", "small steps")
+    one = trainer.fit(net, blocks, blocks, 2, seed=1)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("solo"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    many = trainer.fit(dealt, blocks, blocks, 2, seed=1)
+    assert jobs < 12 and one.step == many.step == 24
+    assert np.allclose(one.params, many.params) and np.allclose([h["val_loss"] for h in one.history], [h["val_loss"] for h in many.history])
+    assert np.allclose([h["train_loss"] for h in one.history], [h["train_loss"] for h in many.history])
+
+
+def test_sums_of_many_tasks_equal_those_of_few(spark, monkeypatch):
+    df, _, _ = labelled(spark)
+    net = networks.Classifier(6, 3, (8,), (0.0,))
+    blocks = trainer.pack_blocks(df.repartition(5), shared_path(spark, "t", unique=True), trainer.vectors("features", "label_idx"), "txn_id", 1)
+    few = trainer.summed(net, net.start(0), blocks)
+    monkeypatch.setattr(trainer, "DIRECT_TASKS", 0)
+    monkeypatch.setattr(trainer, "SEGMENT", 7)
+    many = trainer.summed(net, net.start(0), blocks)
+    assert few[1] == many[1] == 900 and np.isclose(few[0], many[0]) and np.allclose(few[2], many[2])
+
+
+def test_executors_hold_few_rows_and_blocks_at_once(spark):
+    class Counting(networks.Network):
+        """Tells every row how many came with it."""
+
+        shapes: list = []
+
+        def outputs(self, flat, block):
+            return np.full((len(block["x"]), 1), len(block["x"]), np.float64)
+
+    rows = 40 * trainer.BLOCK_ROWS
+    df = spark.range(0, rows, 1, 1).select(F.col("id").cast("string").alias("txn_id"), F.array(F.col("id").cast("double")).alias("features"))
+    seen = trainer.Fitted(Counting(), np.zeros(0)).apply(df, trainer.vectors("features"), ["features"], "n").select("txn_id", F.col("n")[0].alias("n"))
+    assert seen.count() == rows and seen.agg(F.max("n")).first()[0] <= trainer.BLOCK_ROWS
+    blocks = trainer.pack_blocks(df, shared_path(spark, "t", unique=True), trainer.vectors("features"), "txn_id", 1)
+    files = blocks.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("blocks"), F.sum("n").alias("n")).collect()
+    assert max(f.blocks for f in files) <= 32 and sum(f.n for f in files) == rows
