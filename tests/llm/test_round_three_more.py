@@ -236,3 +236,15 @@ def page_text(page):
 )
 def test_class_words_in_an_article(page, want):
     assert page_text(page) == want
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from paylabel.llm.common import FILES_GO, written
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().startswith("shuffle_")}
+
+    before, conf = files(), spark.conf.get(FILES_GO)
+    table = written(spark.range(5000).groupBy((F.col("id") % 50).alias("k")).agg(F.count("*").alias("n")), "t")
+    assert not files() - before and table.count() == 50 and spark.conf.get(FILES_GO) == conf
